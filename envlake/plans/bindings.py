@@ -302,7 +302,8 @@ def flatten_quantities(spark, d):
 # ---------------------------------------------------------------- C10, G5
 def sensor_map_dedupe(spark, d):
     li = T(spark, d, "lineitem")
-    return sensor_map(li, "l_orderkey", "l_returnflag", "l_linenumber", ["l_partkey", "l_quantity"])
+    return sensor_map(li, "l_orderkey", "l_returnflag", "l_linenumber", ["l_partkey", "l_quantity"],
+                      tiebreak=["l_partkey", "l_quantity"])
 
 
 # -------------------------------------------------------------- C13, H4, H5
