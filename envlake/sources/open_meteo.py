@@ -36,11 +36,12 @@ WEATHER_VARS = {"temperature_2m": "temperature", "relative_humidity_2m": "rel_hu
 AIR_VARS = {"pm2_5": "pm2_5", "pm10": "pm10", "us_aqi": "us_aqi", "ozone": "ozone", "uv_index": "uv_index"}
 
 
-def _field(struct_col: str, name: str, df: DataFrame) -> Column:
+def _field(struct_col: str, name: str, df: DataFrame, missing_type: str) -> Column:
+    """Field of a payload struct, or a typed NULL when the payload lacks it."""
     t = df.schema
     for part in struct_col.split("."):
         t = t[part].dataType
-    return F.col(f"{struct_col}.{name}") if name in t.fieldNames() else F.lit(None)
+    return F.col(f"{struct_col}.{name}") if name in t.fieldNames() else F.lit(None).cast(missing_type)
 
 
 def hourly_events(df: DataFrame, kind: str, record_type: str = "forecast", frequency_min: int = 60,
@@ -51,7 +52,7 @@ def hourly_events(df: DataFrame, kind: str, record_type: str = "forecast", frequ
     vars_ = WEATHER_VARS if kind == "weather" else AIR_VARS
     hourly = f"{raw_col}.hourly"
     e = df.select(lat_col, lon_col, tz_col, ingest_col, F.col(f"{raw_col}.hourly_units").alias("__u"),
-                  *[_field(hourly, v, df).alias(f"__a_{v}") for v in vars_],
+                  *[_field(hourly, v, df, "array<double>").alias(f"__a_{v}") for v in vars_],
                   F.posexplode(F.coalesce(F.col(f"{hourly}.time"), F.array())).alias("pos", "__t"))
     return _project(e, kind, record_type, frequency_min, vars_, lambda v: F.get(F.col(f"__a_{v}"), F.col("pos")),
                     lat_col, lon_col, tz_col, ingest_col, df.schema[raw_col].dataType["hourly_units"].dataType)
@@ -68,7 +69,7 @@ def current_events(df: DataFrame, kind: str, raw_col: str = "raw", lat_col: str
     e = df.where(F.col(cur).isNotNull()).select(
         lat_col, lon_col, tz_col, ingest_col,
         (F.col(f"{raw_col}.current_units") if "current_units" in rt.fieldNames() else F.lit(None)).alias("__u"),
-        *[_field(cur, v, df).alias(f"__c_{v}") for v in vars_], F.col(f"{cur}.time").alias("__t"))
+        *[_field(cur, v, df, "double").alias(f"__c_{v}") for v in vars_], F.col(f"{cur}.time").alias("__t"))
     ut = rt["current_units"].dataType if "current_units" in rt.fieldNames() else None
     return _project(e, kind, "current", 15, vars_, lambda v: F.col(f"__c_{v}"), lat_col, lon_col, tz_col,
                     ingest_col, ut)
