@@ -29,6 +29,7 @@ from envlake.plans import driver_tables as D
 from envlake.plans import marts as M
 from envlake.sources.nws import periods_to_events
 from envlake.sources.openaq import sensor_map
+from envlake.session import ensure_checkpoint_dir
 from envlake.sources.publish import to_messages
 
 T = D.table
@@ -375,16 +376,19 @@ def _events_lo(spark, d) -> dt.datetime:
 
 
 def upsert_last_wins(spark, d):
+    ensure_checkpoint_dir(spark)
     ev = T(spark, d, "events").select("user_id", "event_type", "event_id", "ts", "value")
     base = None
     for b in _batches(ev, _events_lo(spark, d)):
         b = b.withColumn("first_ts", F.col("ts"))
         base = upsert_by_key(base, b, ["user_id", "event_type"], ["ts", "event_id"],
                              policy={"first_ts": "keep"}, columns=["event_id", "ts", "value", "first_ts"])
+        base = base.checkpoint(eager=True)      # each merged batch is a stored table
     return base.drop(ORDER_COL)
 
 
 def upsert_coalesce(spark, d):
+    ensure_checkpoint_dir(spark)
     ev = T(spark, d, "events").select(
         "user_id", "event_type", "event_id", "ts",
         F.when(F.col("event_id") % 5 == 0, F.lit(None).cast("double")).otherwise(F.col("value")).alias("value"))
@@ -394,6 +398,7 @@ def upsert_coalesce(spark, d):
         base = upsert_by_key(base, b, ["user_id", "event_type"], ["ts", "event_id"],
                              policy={"value": "coalesce", "last_updated_at_dtz": "touch"},
                              clock_col="ts", columns=["event_id", "value", "last_updated_at_dtz"])
+        base = base.checkpoint(eager=True)
     return base.drop(ORDER_COL)
 
 
@@ -407,6 +412,7 @@ def _order_batches(o: DataFrame, lo: dt.datetime, hi: dt.datetime):
 
 
 def _scd2(spark, d, key, tracked):
+    ensure_checkpoint_dir(spark)
     o = T(spark, d, "orders")
     lo, hi = T(spark, d, "orders").agg(F.min("o_orderdate"), F.max("o_orderdate")).first()
     dim = None
