@@ -87,11 +87,12 @@ def _scd2_reference(data):
     for k, a, b, seq, clock in sorted(data, key=lambda r: r[3]):
         vers = out.setdefault(k, [])
         if vers and (vers[-1]["a"], vers[-1]["b"]) == (a, b):
+            vers[-1]["touch"] = clock
             continue
         if vers:
             vers[-1]["end"] = clock
-        vers.append({"a": a, "b": b, "start": clock, "end": None})
-    return sorted(((k, v["a"], v["b"], v["start"], v["end"], v["end"] is None)
+        vers.append({"a": a, "b": b, "start": clock, "end": None, "touch": clock})
+    return sorted(((k, v["a"], v["b"], v["start"], v["end"], v["end"] is None, v["touch"])
                    for k, vs in out.items() for v in vs), key=repr)
 
 
@@ -105,8 +106,9 @@ def test_scd2_matches_sequential_model_for_any_split(spark):
         dim = None
         for lo, hi in splits:
             b = df.where((F.col("seq") >= lo) & (F.col("seq") < hi))
-            dim = scd2_merge(dim, b, ["k"], ["a", "b"], ["seq"], "clock", "sk", "t").checkpoint(eager=True)
-        got = sorted(((r.k, r.a, r.b, r.effective_start_at_dtz, r.effective_end_at_dtz, r.is_current)
+            dim = scd2_merge(dim, b, ["k"], ["a", "b"], ["seq"], "clock", "sk", "t",
+                             touch_cols=["touched"], bucket=F.floor(F.col("seq") / 7)).checkpoint(eager=True)
+        got = sorted(((r.k, r.a, r.b, r.effective_start_at_dtz, r.effective_end_at_dtz, r.is_current, r.touched)
                       for r in dim.collect()), key=repr)
         assert got == ref
         cur = dim.where("is_current").groupBy("k").count().where("count > 1").count()
