@@ -114,3 +114,33 @@ def volume_anomalies(df: DataFrame, ts_col: str, trailing: int = 14, z_limit: fl
 def marts_nonempty(marts: dict[str, DataFrame]) -> dict[str, bool]:
     """Post-build gate: each mart must have at least one row (one-row probe per mart)."""
     return {name: not df.isEmpty() for name, df in marts.items()}
+
+
+# The three staging-table suites (not-null columns, ranges with
+# their ``mostly`` ratio, allowed values) as declared for the original tables.
+NWS_SUITE = ([Check("not_null", c) for c in ("event_id", "source", "office", "grid_id", "grid_x", "grid_y",
+                                             "start_time", "end_time")]
+             + [Check("in_set", "is_daytime", values=(True, False)),
+                Check("between", "temperature", -60, 60, mostly=0.99),
+                Check("between", "relative_humidity", 0, 100, mostly=0.99),
+                Check("between", "probability_of_precipitation", 0, 100, mostly=0.99),
+                Check("between", "wind_speed", 0, 250, mostly=0.99)])
+AIRNOW_SUITE = ([Check("not_null", c) for c in ("event_id", "source", "date_issue_dtz", "date_forecast_dtz",
+                                                "reporting_area", "state_code", "latitude", "longitude",
+                                                "parameter_name", "aqi", "category_number", "category_name",
+                                                "effective_start_at_dtz", "is_current")]
+                + [Check("between", "aqi", 0, 500, mostly=0.99), Check("between", "category_number", 1, 6),
+                   Check("in_set", "is_current", values=(True, False))])
+OPENAQ_SUITE = ([Check("not_null", c) for c in ("event_id", "openaq_locations_id", "openaq_sensors_id",
+                                                "datetime_utc", "source")]
+                + [Check("between", "value_normalized", 0, None, mostly=0.99),
+                   Check("in_set", "is_valid", values=(True, False))])
+SUITE_UNIQUE = {"nws": ["event_id"], "airnow": ["event_id"], "openaq": ["event_id"]}
+
+
+def suite_verdict(results: DataFrame) -> DataFrame:
+    """Per table: overall success and the list of failed checks (one small
+    aggregate over the results table)."""
+    return results.groupBy("table_name").agg(
+        F.min(F.col("success").cast("int")).cast("boolean").alias("success"),
+        F.collect_list(F.when(~F.col("success"), F.concat_ws(":", "check", "column_name"))).alias("failed"))

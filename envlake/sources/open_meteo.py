@@ -98,3 +98,42 @@ def payload_events(df: DataFrame, kind: str, **kw) -> DataFrame:
     h = hourly_events(df, kind, **kw)
     c = current_events(df, kind, **{k: v for k, v in kw.items() if k not in ("record_type", "frequency_min")})
     return h if c is None else c.unionByName(h, allowMissingColumns=True)
+
+
+def route_by_kind(events: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(weather, air_quality, unroutable): kind = ``data_kind`` unless empty,
+    else ``record_type``; anything else goes to the dead-letter side."""
+    kind = F.coalesce(F.when(F.col("data_kind") != F.lit(""), F.col("data_kind")), F.col("record_type"))
+    k = events.withColumn("__kind", kind)
+    return (k.where(F.col("__kind") == "weather").drop("__kind"),
+            k.where(F.col("__kind") == "air_quality").drop("__kind"),
+            k.where(~F.coalesce(F.col("__kind").isin("weather", "air_quality"), F.lit(False)))
+             .withColumn("error", F.lit("unknown_kind")).drop("__kind"))
+
+
+def event_to_record(ev: DataFrame, kind: str) -> DataFrame:
+    """Open-Meteo event -> staging record: ISO times parsed to UTC, numbers
+    coerced leniently, a missing event id rebuilt from its parts, NOT NULL
+    columns guarded (``error`` set instead of failing the batch)."""
+    from envlake.functions.coerce import float_or_null
+    from envlake.functions.timefn import parse_utc
+    from envlake.functions.ids import fallback_id
+    st, st_err = parse_utc("open_meteo_start_time")
+    en, _ = parse_utc("open_meteo_end_time")
+    ing, _ = parse_utc("ingested_at_dtz")
+    vars_ = WEATHER_VARS if kind == "weather" else AIR_VARS
+    vals = []
+    for name in vars_.values():
+        if name == "is_day":
+            vals.append(F.col("is_day"))
+        else:
+            vals += [float_or_null(name).alias(name), F.col(f"{name}_unit")]
+    eid = fallback_id("event_id", F.lit("open-meteo"), F.lit(kind), "record_type", "latitude", "longitude",
+                      "open_meteo_start_time")
+    err = (F.when(st.isNull() | st_err, F.lit("missing:open_meteo_start_time"))
+           .when(F.col("latitude").isNull() | F.col("longitude").isNull(), F.lit("missing:coordinates")))
+    if kind == "weather":
+        err = err.when(F.col("temperature").isNull(), F.lit("missing:temperature"))
+    return ev.select(eid.alias("event_id"), "record_type", F.col("record_frequency_min").cast("int"),
+                     st.alias("open_meteo_start_time"), en.alias("open_meteo_end_time"), "latitude", "longitude",
+                     *vals, ing.alias("ingested_at_dtz"), err.alias("error"))

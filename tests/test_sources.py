@@ -113,3 +113,22 @@ def test_publish_keeps_null_fields(spark):
     df = spark.createDataFrame([(None, "a")], "id int, name string")
     r = to_messages(df, "id", ["id", "name"], "t").first()
     assert r.key == "unknown" and r.value == '{"id":null,"name":"a"}'
+
+
+def test_open_meteo_route_and_record(spark):
+    ev = open_meteo.payload_events(_om_df(spark, _om_payload()), "weather")
+    odd = ev.limit(1).withColumn("data_kind", F.lit("")).withColumn("record_type", F.lit("other"))
+    w, a, bad = open_meteo.route_by_kind(ev.unionByName(odd))
+    assert (w.count(), a.count(), bad.count()) == (3, 0, 1)
+    rec = open_meteo.event_to_record(w, "weather").orderBy("open_meteo_start_time").collect()
+    assert rec[0].open_meteo_start_time == dt.datetime(2024, 1, 1, 6, 0)
+    assert all(r.error is None for r in rec) and rec[0].event_id.startswith("open-meteo:weather:")
+
+
+def test_fixed_suites_run_on_declared_schema(spark):
+    from envlake import schemas
+    from envlake.operators import quality as Q
+    empty = spark.createDataFrame([], schemas.TABLES["stg_weather_hourly_forecast"])
+    res = Q.run_suite(empty, "nws", Q.NWS_SUITE)
+    assert res.count() == len(Q.NWS_SUITE)
+    assert Q.suite_verdict(res).first().success is True
