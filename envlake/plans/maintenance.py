@@ -29,13 +29,14 @@ def backfill_quality(df: DataFrame) -> DataFrame:
                      F.when(redo, new_status).otherwise(F.col("quality_status")).alias("quality_status"))
 
 
-def bootstrap_tables(spark: SparkSession, root: str, schemas: dict[str, T.StructType],
+def bootstrap_tables(spark: SparkSession, root: str, schemas: dict,
                      partition_by: dict[str, list[str]] | None = None) -> None:
-    """Create an empty Parquet table per declared schema when absent."""
-    import os
+    """Create an empty Parquet table per declared schema (StructType or DDL)
+    when absent."""
+    from envlake.streaming.ingest import read_table_or_none
     for name, schema in schemas.items():
         path = f"{root}/{name}"
-        if os.path.exists(path) and os.listdir(path):
+        if read_table_or_none(spark, path) is not None:
             continue
         w = spark.createDataFrame([], schema).write.mode("ignore")
         if partition_by and name in partition_by:
