@@ -432,6 +432,20 @@ def scd2_bridge(spark, d):
     return _scd2(spark, d, ["o_custkey", "o_orderpriority"], ["o_orderstatus"])
 
 
+def scd2_cascade(spark, d):
+    """Sensor-like child dimension whose tracked attribute is the parent
+    (customer status) version current at each event: a parent re-version opens
+    new child versions (the cascade)."""
+    from envlake.operators.scd2 import assign_versions
+    o = T(spark, d, "orders")
+    parent = assign_versions(o, ["o_custkey"], ["o_orderstatus"], ["o_orderdate", "o_orderkey"])
+    child = parent.select("o_custkey", "o_orderpriority", "o_orderdate", "o_orderkey",
+                          F.col("version_order.o_orderkey").alias("location_version"))
+    dim = scd2_merge(None, child, ["o_custkey", "o_orderpriority"], ["location_version"],
+                     ["o_orderdate", "o_orderkey"], "o_orderdate", "sk", "child_dim", extra_cols=["o_orderkey"])
+    return dim.drop("sk")
+
+
 # ------------------------------------------------------------- L1-L3, K13, E8
 def _customers_xy(spark, d):
     return T(spark, d, "customer").select("c_custkey", D.customer_lat().alias("latitude"),
@@ -566,6 +580,7 @@ QUERIES = {
     "upsert_coalesce": upsert_coalesce,
     "scd2_dimension": scd2_dimension,
     "scd2_bridge": scd2_bridge,
+    "scd2_cascade": scd2_cascade,
     "haversine_pairs": haversine_pairs,
     "nearest_geo": nearest_geo_q,
     "geo_link": geo_link,

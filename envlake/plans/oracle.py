@@ -442,6 +442,20 @@ FROM k WHERE chg = 1"""
 SCD2_DIMENSION = _scd2_sql(["o_custkey"], ["o_orderstatus", "o_orderpriority"])
 SCD2_BRIDGE = _scd2_sql(["o_custkey", "o_orderpriority"], ["o_orderstatus"])
 
+SCD2_CASCADE = """
+WITH f AS (SELECT *, lag(o_orderstatus) OVER w AS ps, row_number() OVER w AS rn
+           FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)),
+g AS (SELECT *, CASE WHEN rn = 1 OR ps IS DISTINCT FROM o_orderstatus THEN o_orderkey END AS chg_key FROM f),
+v AS (SELECT *, last_value(chg_key IGNORE NULLS) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS location_version FROM g),
+s AS (SELECT o_custkey, o_orderpriority, location_version, o_orderkey, o_orderdate,
+             lag(location_version) OVER w2 AS pv, row_number() OVER w2 AS rn2
+      FROM v WINDOW w2 AS (PARTITION BY o_custkey, o_orderpriority ORDER BY o_orderdate, o_orderkey)),
+k AS (SELECT * FROM s WHERE rn2 = 1 OR pv IS DISTINCT FROM location_version)
+SELECT o_custkey, o_orderpriority, location_version, o_orderkey, o_orderdate AS effective_start_at_dtz,
+       lead(o_orderdate) OVER w3 AS effective_end_at_dtz, lead(o_orderdate) OVER w3 IS NULL AS is_current
+FROM k WINDOW w3 AS (PARTITION BY o_custkey, o_orderpriority ORDER BY o_orderdate, o_orderkey)"""
+
 HAVERSINE_PAIRS = f"""
 SELECT c_custkey, n_nationkey,
        round({_gc(C_LAT, C_LON, "(40.0::DOUBLE + n_nationkey * 0.02::DOUBLE)", "(-90.0::DOUBLE + n_nationkey * 0.02::DOUBLE)")}, 6)
@@ -588,6 +602,7 @@ ORACLE_SQL = {
     "upsert_coalesce": UPSERT_COALESCE,
     "scd2_dimension": SCD2_DIMENSION,
     "scd2_bridge": SCD2_BRIDGE,
+    "scd2_cascade": SCD2_CASCADE,
     "haversine_pairs": HAVERSINE_PAIRS,
     "nearest_geo": NEAREST_GEO,
     "geo_link": GEO_LINK,
