@@ -14,18 +14,14 @@ from pyspark.sql import functions as F
 
 
 def _order_struct(order: Sequence[tuple[str, str]]) -> Column:
-    """Ordering key as a struct. Each item is (column, spec) where spec is one of
-    'asc_nulls_last', 'asc_nulls_first', 'desc_nulls_last', 'desc_nulls_first'.
-    For min_by semantics descending columns are negated through their null flag
-    and a reversed comparison: we encode them by wrapping in a struct that the
-    caller resolves with max_by instead (see ``first_per_key``)."""
+    """Ascending ordering key as a struct: each column is preceded by a null
+    flag so NULLs sort first or last as requested. Specs are
+    'asc_nulls_last' / 'asc_nulls_first' (``first_per_key`` maps desc specs
+    onto these and takes the maximum instead of the minimum)."""
     parts = []
     for c, spec in order:
         col = F.col(c)
-        if spec.endswith("nulls_last"):
-            parts.append(col.isNull())
-        else:
-            parts.append(col.isNotNull())
+        parts.append(col.isNull() if spec.endswith("nulls_last") else col.isNotNull())
         parts.append(col)
     return F.struct(*parts)
 
