@@ -58,13 +58,16 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the configured checkpoint folder; only when none is configured
-    (local runs and tests) create a scratch one."""
+    """Return the configured checkpoint folder. Only a local master (tests,
+    a single machine) may fall back to a scratch folder when none is set; on a
+    cluster a folder of one node would lose data, so that raises."""
     d = checkpoint_dir(spark)
-    if d:
+    if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor shares")
+        d = tempfile.mkdtemp(prefix="envlake-ckpt-", dir=os.environ.get("ENVLAKE_SCRATCH"))
+        spark.conf.set("spark.checkpoint.dir", d)
+    # Setting the folder makes Spark create a sub-folder, so only do it once.
+    if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
-        return d
-    d = tempfile.mkdtemp(prefix="envlake-ckpt-", dir=os.environ.get("ENVLAKE_SCRATCH", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
     return d
