@@ -29,7 +29,9 @@ from envlake.llm.common import small_batches
 #: Bounds of the training sample (documents) and of the model (features).
 MAX_POSITIVE = 3000
 MAX_UNLABELLED = 6000
-MAX_FEATURES = 1500
+MAX_FEATURES = 300
+MIN_Z = 6.0
+MIN_POSTERIOR = 0.5
 _SPACE = 1 << 20
 _BREAKS = bytes.maketrans(bytes(c for c in range(128) if not chr(c).isalpha()), b" " * (128 - 52))
 #: Words whose features a Python worker remembers.
@@ -83,7 +85,7 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def nnpu_fit(pos: np.ndarray, unl: np.ndarray, prior: float, steps: int = 400, rate: float = 0.05,
+def nnpu_fit(pos: np.ndarray, unl: np.ndarray, prior: float, steps: int = 800, rate: float = 0.05,
              l2: float = 1e-4) -> tuple[np.ndarray, float]:
     """Weights and bias of the non-negative risk's minimiser (Adam, all rows a step)."""
     w = np.zeros(pos.shape[1] + 1, np.float64)
@@ -115,9 +117,13 @@ def _dense(blobs: list[bytes], features: np.ndarray) -> np.ndarray:
     return out
 
 
-def select_features(pos: list[bytes], unl: list[bytes], most: int) -> np.ndarray:
-    """The features whose shares in P and U differ most against chance, found in
-    five positives or more; sorted."""
+def select_features(pos: list[bytes], unl: list[bytes], prior: float, most: int, least_z: float = MIN_Z,
+                    least_posterior: float = MIN_POSTERIOR) -> np.ndarray:
+    """The features most over-represented in P, sorted: found in five positives or
+    more, ``least_z`` deviations beyond chance (among a million hashed features three
+    would be chance), and with a share of toxic texts among the texts that have it,
+    ``prior * p / u``, of ``least_posterior`` or more even if ``p`` and ``u`` are a
+    standard error off. Weak features would add up in long texts."""
     share = []
     for blobs in (pos, unl):
         n = np.zeros(_SPACE, np.float64)
@@ -126,8 +132,10 @@ def select_features(pos: list[bytes], unl: list[bytes], most: int) -> np.ndarray
         share.append(n)
     (np_, nu), (cp, cu) = (len(pos), len(unl)), share
     p, u = cp / np_, (cu + 1) / (nu + 2)
-    z = np.abs(p - u) / np.sqrt(u * (1 - u) * (1 / np_ + 1 / nu))
-    z[cp < 5] = 0
+    z = (p - u) / np.sqrt(u * (1 - u) * (1 / np_ + 1 / nu))
+    low = p - np.sqrt(p * (1 - p) / np_)
+    high = u + np.sqrt(u * (1 - u) / nu)
+    z[(cp < 5) | (prior * low < least_posterior * high) | (z < least_z)] = 0
     best = np.argsort(-z, kind="stable")[:most]
     return np.sort(best[z[best] > 0]).astype(np.int32)
 
@@ -171,7 +179,7 @@ def train(docs: DataFrame, labels: DataFrame, fold: Column | None = None, label_
     pos, unl = [f for p, f in got if p], [f for p, f in got if not p]
     if not pos or not unl:
         return Model((), (), float(np.log(pi / (1 - pi))))
-    features = select_features(pos, unl, max_features)
+    features = select_features(pos, unl, pi, max_features)
     if not len(features):
         return Model((), (), float(np.log(pi / (1 - pi))))
     w, bias = nnpu_fit(_dense(pos, features), _dense(unl, features), pi)
