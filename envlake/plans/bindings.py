@@ -9,6 +9,7 @@ SQL for each query lives in :mod:`envlake.plans.oracle`.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from envlake.operators import quality as Q
 from envlake.operators.dedupe import first_per_key
 from envlake.operators.geo import link_or_create, nearest_geo
 from envlake.operators.nearest_time import nearest_in_time
-from envlake.operators.scd2 import scd2_merge
+from envlake.operators.scd2 import scd2_step
 from envlake.operators.upsert import ORDER_COL, upsert_by_key
 from envlake.operators.validate import EventSpec, validate
 from envlake.plans import driver_tables as D
@@ -411,17 +412,22 @@ def _order_batches(o: DataFrame, lo: dt.datetime, hi: dt.datetime):
             o.where(F.col("o_orderdate") >= F.lit(c2))]
 
 
-def _scd2(spark, d, key, tracked):
+def _scd2(spark, d, key, tracked, batches=None):
+    """Batches applied one after another, as a store would: the current rows are
+    rewritten by each step, closed versions are only appended."""
     ensure_checkpoint_dir(spark)
     o = T(spark, d, "orders")
-    lo, hi = T(spark, d, "orders").agg(F.min("o_orderdate"), F.max("o_orderdate")).first()
-    dim = None
-    for b in _order_batches(o, lo, hi):
-        dim = scd2_merge(dim, b, key, tracked, ["o_orderdate", "o_orderkey"], "o_orderdate", "sk", "orders_dim",
+    lo, hi = o.agg(F.min("o_orderdate"), F.max("o_orderdate")).first()
+    parts = _order_batches(o, lo, hi)
+    current, closed = None, []
+    for i in batches or range(len(parts)):
+        step = scd2_step(current, parts[i], key, tracked, ["o_orderdate", "o_orderkey"], "o_orderdate", "sk", "orders_dim",
                          touch_cols=["last_updated_at_dtz"], extra_cols=["o_orderkey"])
-        # Lineage is cut after each merge like a stored table (shared checkpoint dir).
-        dim = dim.checkpoint(eager=True)
-    return dim.drop("sk")
+        # Lineage is cut after each step like a stored table (shared checkpoint dir).
+        step = step.checkpoint(eager=True)
+        current = step.where("is_current")
+        closed.append(step.where("not is_current"))
+    return reduce(DataFrame.unionByName, closed, current).drop("sk", "_order")
 
 
 def scd2_dimension(spark, d):
@@ -432,18 +438,35 @@ def scd2_bridge(spark, d):
     return _scd2(spark, d, ["o_custkey", "o_orderpriority"], ["o_orderstatus"])
 
 
+def scd2_replay(spark, d):
+    """The second batch is delivered twice and the first again at the end: the
+    dimension is that of the feed applied once."""
+    return _scd2(spark, d, ["o_custkey"], ["o_orderstatus", "o_orderpriority"], batches=(0, 1, 1, 2, 0))
+
+
 def scd2_cascade(spark, d):
-    """Sensor-like child dimension whose tracked attribute is the parent
-    (customer status) version current at each event: a parent re-version opens
-    new child versions (the cascade)."""
+    """Sensor-like child dimension whose tracked attribute is the parent (customer
+    status) version current at each event: a parent re-version opens new child
+    versions. Parent and child are stored and take the feed in three batches."""
     from envlake.operators.scd2 import assign_versions
+    ensure_checkpoint_dir(spark)
     o = T(spark, d, "orders")
-    parent = assign_versions(o, ["o_custkey"], ["o_orderstatus"], ["o_orderdate", "o_orderkey"])
-    child = parent.select("o_custkey", "o_orderpriority", "o_orderdate", "o_orderkey",
-                          F.col("version_order.o_orderkey").alias("location_version"))
-    dim = scd2_merge(None, child, ["o_custkey", "o_orderpriority"], ["location_version"],
-                     ["o_orderdate", "o_orderkey"], "o_orderdate", "sk", "child_dim", extra_cols=["o_orderkey"])
-    return dim.drop("sk")
+    lo, hi = o.agg(F.min("o_orderdate"), F.max("o_orderdate")).first()
+    order = ["o_orderdate", "o_orderkey"]
+    parent = child = None
+    closed = []
+    for b in _order_batches(o, lo, hi):
+        at = assign_versions(b, ["o_custkey"], ["o_orderstatus"], order, current=parent,
+                             current_version=("effective_start_at_dtz", "o_orderkey"))
+        at = at.select("o_custkey", "o_orderpriority", "o_orderdate", "o_orderkey",
+                       F.col("version_order.o_orderkey").alias("location_version"))
+        step = scd2_step(child, at, ["o_custkey", "o_orderpriority"], ["location_version"], order, "o_orderdate", "sk",
+                         "child_dim", extra_cols=["o_orderkey"]).checkpoint(eager=True)
+        child = step.where("is_current")
+        closed.append(step.where("not is_current"))
+        parent = scd2_step(parent, b, ["o_custkey"], ["o_orderstatus"], order, "o_orderdate", "sk", "parent_dim",
+                           extra_cols=["o_orderkey"]).checkpoint(eager=True).where("is_current")
+    return reduce(DataFrame.unionByName, closed, child).drop("sk", "_order")
 
 
 # ------------------------------------------------------------- L1-L3, K13, E8
@@ -580,6 +603,7 @@ QUERIES = {
     "upsert_coalesce": upsert_coalesce,
     "scd2_dimension": scd2_dimension,
     "scd2_bridge": scd2_bridge,
+    "scd2_replay": scd2_replay,
     "scd2_cascade": scd2_cascade,
     "haversine_pairs": haversine_pairs,
     "nearest_geo": nearest_geo_q,

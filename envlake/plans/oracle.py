@@ -602,6 +602,7 @@ ORACLE_SQL = {
     "upsert_coalesce": UPSERT_COALESCE,
     "scd2_dimension": SCD2_DIMENSION,
     "scd2_bridge": SCD2_BRIDGE,
+    "scd2_replay": SCD2_DIMENSION,
     "scd2_cascade": SCD2_CASCADE,
     "haversine_pairs": HAVERSINE_PAIRS,
     "nearest_geo": NEAREST_GEO,

@@ -1,6 +1,8 @@
 import datetime as dt
 import random
 
+from conftest import SF_SMALL
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -116,6 +118,36 @@ def test_scd2_matches_sequential_model_for_any_split(spark):
         assert dim.select("sk").distinct().count() == dim.count()
 
 
+def test_scd2_ignores_replayed_and_late_rows(spark):
+    cols = "k int, a string, seq int, clock timestamp"
+    feed = [(1, "x", 1, T0), (1, "y", 2, T0 + dt.timedelta(days=1)), (2, "x", 3, T0), (None, "x", 4, T0)]
+    first, late = spark.createDataFrame(feed, cols), spark.createDataFrame([(1, "z", 0, T0 - dt.timedelta(days=3))], cols)
+    dim = None
+    for b in (first, first, late, first):
+        dim = scd2_merge(dim, b, ["k"], ["a"], ["seq"], "clock", "sk", "t", touch_cols=["touched"]).checkpoint(eager=True)
+    got = sorted((r.k, r.a, r.effective_start_at_dtz, r.effective_end_at_dtz, r.is_current) for r in dim.collect())
+    assert got == [(1, "x", T0, T0 + dt.timedelta(days=1), False), (1, "y", T0 + dt.timedelta(days=1), None, True),
+                   (2, "x", T0, None, True)]
+    assert dim.where("effective_end_at_dtz < effective_start_at_dtz").count() == 0
+
+
+def test_scd2_plan_exchanges_the_batch_once(spark):
+    from envlake.operators.scd2 import scd2_step
+    cur = spark.read.schema("k bigint, a string, sk bigint, effective_start_at_dtz timestamp, effective_end_at_dtz timestamp, "
+                            "is_current boolean, _order struct<seq:bigint>").parquet(f"{SF_SMALL}/orders.parquet")
+    upd = spark.read.parquet(f"{SF_SMALL}/orders.parquet").selectExpr("o_custkey k", "o_orderstatus a", "o_orderkey seq", "o_orderdate clock")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        step = scd2_step(None, upd, ["k"], ["a"], ["seq"], "clock", "sk", "t")
+        plan = step._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") <= 4, plan   # batch, summary by key, and back (reused scans aside)
+        assert "CartesianProduct" not in scd2_step(cur, upd, ["k"], ["a"], ["seq"], "clock", "sk", "t")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_nearest_in_time_matches_brute_force(spark):
     random.seed(4)
     left = [(i, random.randint(0, 3), T0 + dt.timedelta(seconds=random.randint(0, 10 * 86400))) for i in range(150)]

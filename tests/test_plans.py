@@ -3,15 +3,15 @@ joins and no row-at-a-time Python in the physical plan."""
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SF_SMALL
+from envlake.plans.bindings import QUERIES
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
 
 
-@pytest.mark.parametrize("name", sorted(n for n in E.queries() if n != "stream_replay"))
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n != "stream_replay"))
 def test_plan_has_no_product_or_python_udf(spark, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     for bad in FORBIDDEN:
         assert bad not in plan, f"{name}: {bad}"
