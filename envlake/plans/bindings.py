@@ -321,34 +321,56 @@ def nearest_top1(spark, d):
 
 # ------------------------------------------------ D1-D4, A2, B4, C2, C22, E11
 def _messages(spark, d) -> DataFrame:
+    """Event messages, some of them faulty: absent, wrongly typed and null fields,
+    text that is cut short or goes on after its end, and JSON that is no object."""
     ev = T(spark, d, "events")
     eid = F.col("event_id")
-    good = F.concat(F.lit('{"event_id": "e'), eid.cast("string"), F.lit('", "source": "events"'),
-                    F.when(eid % 89 == 0, F.lit("")).otherwise(
-                        F.concat(F.lit(', "reporting_area": "u'), F.col("user_id").cast("string"), F.lit('"'))),
-                    F.lit(', "aqi": '),
-                    F.when(eid % 83 == 0, F.lit('"abc"')).otherwise(F.floor("value").cast("string")),
-                    F.lit(', "category_number": '), (F.col("user_id") % 6 + 1).cast("string"),
-                    F.lit(', "extra": 1}'))
-    value = F.when(eid % 97 == 0, F.lit("not json {")).otherwise(good)
-    return ev.select(F.col("event_id").alias("offset"), F.lit("events.airnow").alias("topic"), value.alias("value"))
+    text = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    area = (F.when(eid % 89 == 0, F.lit("")).when(eid % 79 == 0, F.lit(', "reporting_area": 7'))
+            .when(eid % 73 == 0, F.lit(', "reporting_area": null')).when(eid % 71 == 0, F.lit(', "reporting_area": ["u"]'))
+            .otherwise(F.concat(F.lit(', "reporting_area": "u'), F.col("user_id").cast("string"), F.lit('"'))))
+    whole = F.floor("value").cast("string")
+    aqi = (F.when(eid % 83 == 0, F.lit('"abc"')).when(eid % 67 == 0, F.concat(whole, F.lit(".5")))
+           .when(eid % 61 == 0, text(whole)).otherwise(whole))
+    day = F.when(eid % 59 == 0, F.lit("2")).when(eid % 7 == 0, F.lit('"Yes"')).when(eid % 5 == 0, F.lit("0")).otherwise(F.lit("true"))
+    raw = F.when(eid % 53 == 0, F.lit('"text"')).otherwise(F.lit('{"a":1}'))
+    good = F.concat(F.lit('{"event_id": "e'), eid.cast("string"), F.lit('", "source": "events"'), area,
+                    F.lit(', "aqi": '), aqi, F.lit(', "category_number": '), (F.col("user_id") % 6 + 1).cast("string"),
+                    F.lit(', "action_day": '), day, F.lit(', "raw_data": '), raw, F.lit(', "extra": 1}'))
+    value = (F.when(eid % 97 == 0, F.lit("not json {")).when(eid % 101 == 0, F.concat(good, F.lit(" x")))
+             .when(eid % 103 == 0, F.substring(good, 1, 30)).when(eid % 107 == 0, F.lit("5"))
+             .when(eid % 109 == 0, F.lit('["e"]')).otherwise(good))
+    return ev.select(F.col("event_id").alias("offset"), F.lit("events.airnow").alias("topic"),
+                     F.col("user_id").cast("string").alias("key"), (F.col("user_id") % 4).cast("int").alias("partition"),
+                     value.alias("value"))
 
 
 MESSAGE_SPEC = EventSpec("events_airnow", {"event_id": "string", "source": "string", "reporting_area": "string",
-                                           "aqi": "int", "category_number": "int"},
+                                           "aqi": "int", "category_number": "int", "action_day": "boolean",
+                                           "raw_data": "object"},
                          required=("event_id", "source", "reporting_area"))
+MESSAGE_KEEP = ("offset", "topic", "key", "partition")
 
 
 def validate_split(spark, d):
-    valid, _ = validate(_messages(spark, d), MESSAGE_SPEC, keep_cols=("offset",))
-    return valid
+    return validate(_messages(spark, d), MESSAGE_SPEC, keep_cols=("offset",)).valid
+
+
+def malformed_messages(spark, d):
+    """What is no JSON at all is counted and skipped: the messages, for comparison."""
+    return validate(_messages(spark, d), MESSAGE_SPEC, keep_cols=("offset",)).malformed.drop("error")
 
 
 def dead_letters(spark, d):
     from envlake.streaming.dlq import dead_letter_records
-    _, rejected = validate(_messages(spark, d), MESSAGE_SPEC, keep_cols=("offset", "topic"))
-    return dead_letter_records(rejected, batch_ts=F.lit(dt.datetime(2024, 1, 1))).select(
-        "original_topic", "offset", "error", "raw_value")
+    rejected = validate(_messages(spark, d), MESSAGE_SPEC, keep_cols=MESSAGE_KEEP).rejected
+    return dead_letter_records(rejected, batch_ts=F.lit(dt.datetime(2024, 1, 1)))
+
+
+def dead_letter_topic(spark, d):
+    """Dead letters as messages of the ``.dlq`` topic."""
+    from envlake.streaming.dlq import dead_letter_messages
+    return dead_letter_messages(dead_letters(spark, d))
 
 
 # ----------------------------------------------------------------- B1-B3, H7
@@ -597,7 +619,9 @@ QUERIES = {
     "sensor_map_dedupe": sensor_map_dedupe,
     "nearest_top1": nearest_top1,
     "validate_split": validate_split,
+    "malformed_messages": malformed_messages,
     "dead_letters": dead_letters,
+    "dead_letter_topic": dead_letter_topic,
     "publish_payload": publish_payload,
     "upsert_last_wins": upsert_last_wins,
     "upsert_coalesce": upsert_coalesce,

@@ -354,43 +354,50 @@ FROM (SELECT *, row_number() OVER (PARTITION BY n_nationkey ORDER BY distance, s
 WHERE rn = 1"""
 
 MESSAGES_CTE = """
-msg AS (SELECT event_id AS "offset", 'events.airnow' AS topic,
-               CASE WHEN event_id % 97 = 0 THEN 'not json {'
-                    ELSE '{"event_id": "e' || CAST(event_id AS VARCHAR) || '", "source": "events"'
-                         || CASE WHEN event_id % 89 = 0 THEN ''
-                                 ELSE ', "reporting_area": "u' || CAST(user_id AS VARCHAR) || '"' END
-                         || ', "aqi": '
-                         || CASE WHEN event_id % 83 = 0 THEN '"abc"' ELSE CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) END
-                         || ', "category_number": ' || CAST(user_id % 6 + 1 AS VARCHAR) || ', "extra": 1}' END AS value
-        FROM events),
-pj AS (SELECT *, json_valid(value) AND left(trim(value), 1) = '{' AS ok FROM msg),
-pf AS (SELECT *,
-              CASE WHEN ok THEN json_extract_string(value, '$.event_id') END AS f_event_id,
-              CASE WHEN ok THEN json_extract_string(value, '$.source') END AS f_source,
-              CASE WHEN ok THEN json_extract_string(value, '$.reporting_area') END AS f_reporting_area,
-              CASE WHEN ok THEN json_extract_string(value, '$.aqi') END AS f_aqi,
-              CASE WHEN ok THEN json_extract_string(value, '$.category_number') END AS f_category_number
-       FROM pj),
-pe AS (SELECT *,
-              CASE WHEN NOT ok THEN 'malformed_json'
-                   WHEN f_event_id IS NULL THEN 'missing:event_id'
-                   WHEN f_source IS NULL THEN 'missing:source'
-                   WHEN f_reporting_area IS NULL THEN 'missing:reporting_area'
-                   WHEN f_aqi IS NOT NULL AND TRY_CAST(trim(f_aqi) AS DOUBLE) IS NULL THEN 'type:aqi'
-                   WHEN f_category_number IS NOT NULL AND TRY_CAST(trim(f_category_number) AS DOUBLE) IS NULL
-                        THEN 'type:category_number' END AS error
-       FROM pf)"""
+g AS (SELECT event_id AS "offset", user_id, event_id, concat('{"event_id": "e', event_id, '", "source": "events"',
+        CASE WHEN event_id % 89 = 0 THEN '' WHEN event_id % 79 = 0 THEN ', "reporting_area": 7'
+             WHEN event_id % 73 = 0 THEN ', "reporting_area": null' WHEN event_id % 71 = 0 THEN ', "reporting_area": ["u"]'
+             ELSE concat(', "reporting_area": "u', user_id, '"') END,
+        ', "aqi": ', CASE WHEN event_id % 83 = 0 THEN '"abc"' WHEN event_id % 67 = 0 THEN concat(CAST(floor(value) AS BIGINT), '.5')
+             WHEN event_id % 61 = 0 THEN concat('"', CAST(floor(value) AS BIGINT), '"') ELSE concat(CAST(floor(value) AS BIGINT), '') END,
+        ', "category_number": ', user_id % 6 + 1,
+        ', "action_day": ', CASE WHEN event_id % 59 = 0 THEN '2' WHEN event_id % 7 = 0 THEN '"Yes"' WHEN event_id % 5 = 0 THEN '0' ELSE 'true' END,
+        ', "raw_data": ', CASE WHEN event_id % 53 = 0 THEN '"text"' ELSE '{"a":1}' END, ', "extra": 1}') AS good FROM events),
+msg AS (SELECT *, CASE WHEN event_id % 97 = 0 THEN 'not json {' WHEN event_id % 101 = 0 THEN concat(good, ' x')
+             WHEN event_id % 103 = 0 THEN left(good, 30) WHEN event_id % 107 = 0 THEN '5' WHEN event_id % 109 = 0 THEN '["e"]'
+             ELSE good END AS value FROM g),
+pj AS (SELECT *, CASE WHEN json_valid(value) THEN value END AS j FROM msg),
+pf AS (SELECT *, json_type(j) AS t, json_type(j, '$.event_id') AS t_id, json_type(j, '$.source') AS t_source,
+        json_type(j, '$.reporting_area') AS t_area, json_type(j, '$.aqi') AS t_aqi, json_type(j, '$.category_number') AS t_cat,
+        json_type(j, '$.action_day') AS t_day, json_type(j, '$.raw_data') AS t_raw,
+        TRY_CAST(json_extract_string(j, '$.aqi') AS DOUBLE) AS aqi, TRY_CAST(json_extract_string(j, '$.category_number') AS DOUBLE) AS cat,
+        lower(json_extract_string(j, '$.action_day')) AS day FROM pj),
+pe AS (SELECT *, CASE WHEN j IS NULL THEN 'malformed_json' WHEN t <> 'OBJECT' THEN 'not_an_object'
+        WHEN coalesce(t_id, 'NULL') = 'NULL' THEN 'missing:event_id' WHEN coalesce(t_source, 'NULL') = 'NULL' THEN 'missing:source'
+        WHEN coalesce(t_area, 'NULL') = 'NULL' THEN 'missing:reporting_area'
+        WHEN t_id <> 'VARCHAR' THEN 'type:event_id' WHEN t_source <> 'VARCHAR' THEN 'type:source'
+        WHEN t_area <> 'VARCHAR' THEN 'type:reporting_area'
+        WHEN t_aqi <> 'NULL' AND (aqi IS NULL OR aqi <> floor(aqi)) THEN 'type:aqi'
+        WHEN t_cat <> 'NULL' AND (cat IS NULL OR cat <> floor(cat)) THEN 'type:category_number'
+        WHEN t_day <> 'NULL' AND day NOT IN ('true', 'false', '0', '1', 'yes', 'no', 'on', 'off', 't', 'f', 'y', 'n') THEN 'type:action_day'
+        WHEN t_raw <> 'NULL' AND t_raw <> 'OBJECT' THEN 'type:raw_data' END AS error FROM pf)"""
 
 VALIDATE_SPLIT = f"""
 WITH {MESSAGES_CTE}
-SELECT "offset", f_event_id AS event_id, f_source AS source, f_reporting_area AS reporting_area,
-       CAST(TRY_CAST(trim(f_aqi) AS DOUBLE) AS BIGINT) AS aqi,
-       CAST(TRY_CAST(trim(f_category_number) AS DOUBLE) AS BIGINT) AS category_number
+SELECT "offset", json_extract_string(j, '$.event_id') AS event_id, json_extract_string(j, '$.source') AS source,
+       json_extract_string(j, '$.reporting_area') AS reporting_area, CAST(aqi AS BIGINT) AS aqi, CAST(cat AS BIGINT) AS category_number,
+       day IN ('true', '1', 'yes', 'on', 't', 'y') AS action_day, CAST(json_extract(j, '$.raw_data') AS VARCHAR) AS raw_data
 FROM pe WHERE error IS NULL"""
 
-DEAD_LETTERS = f"""
-WITH {MESSAGES_CTE}
-SELECT topic AS original_topic, "offset", error, value AS raw_value FROM pe WHERE error IS NOT NULL"""
+MALFORMED_MESSAGES = f"""WITH {MESSAGES_CTE} SELECT "offset", value AS raw_value FROM pe WHERE error = 'malformed_json'"""
+
+_DLQ = """SELECT CAST(user_id AS VARCHAR) AS key, 'events.airnow' AS original_topic, CAST(user_id % 4 AS INTEGER) AS "partition",
+       "offset", error, value AS raw_value, '2024-01-01T00:00:00Z' AS ts_utc FROM pe WHERE error <> 'malformed_json'"""
+DEAD_LETTERS = f"WITH {MESSAGES_CTE} {_DLQ}"
+
+DEAD_LETTER_TOPIC = f"""WITH {MESSAGES_CTE}, dlq AS ({_DLQ})
+SELECT key, CAST(to_json({{'original_topic': original_topic, 'partition': "partition", 'offset': "offset", 'error': error,
+       'raw_value': raw_value, 'ts_utc': ts_utc}}) AS VARCHAR) AS value, 'events.airnow.dlq' AS topic FROM dlq"""
 
 PUBLISH_PAYLOAD = """
 SELECT CAST(n_nationkey AS VARCHAR) AS key,
@@ -596,7 +603,9 @@ ORACLE_SQL = {
     "sensor_map_dedupe": SENSOR_MAP_DEDUPE,
     "nearest_top1": NEAREST_TOP1,
     "validate_split": VALIDATE_SPLIT,
+    "malformed_messages": MALFORMED_MESSAGES,
     "dead_letters": DEAD_LETTERS,
+    "dead_letter_topic": DEAD_LETTER_TOPIC,
     "publish_payload": PUBLISH_PAYLOAD,
     "upsert_last_wins": UPSERT_LAST_WINS,
     "upsert_coalesce": UPSERT_COALESCE,

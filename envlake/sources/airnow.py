@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from envlake.functions.ids import airnow_event_id, fallback_id
 from envlake.functions.timefn import parse_utc
+from envlake.operators.validate import parse_message
 
 ITEM = T.StructType([
     T.StructField("DateIssue", T.StringType()), T.StructField("DateForecast", T.StringType()),
@@ -25,10 +26,18 @@ def items_to_events(df: DataFrame, items_col: str = "items", keep_cols: tuple =
     ``ActionDay`` may be a JSON boolean or text: ``true``/``"True"`` -> true,
     other text -> false, absent -> NULL. A missing reporting area becomes
     ``unknown``. An item that is not an object, or whose AQI / category number
-    is not an integer, is rejected alone; the rest of its batch is kept."""
-    raw_items = F.from_json(F.col(items_col), T.ArrayType(T.StringType()))
-    e = df.select(*keep_cols, F.posexplode(F.coalesce(raw_items, F.array())).alias("item_pos", "__raw"))
-    p = e.withColumn("__i", F.from_json(F.col("__raw"), ITEM))
+    is not an integer, is rejected alone; the rest of its batch is kept. A body that
+    is not a JSON array is rejected whole, as item -1."""
+    body = parse_message(F.col(items_col))
+    is_array = F.coalesce(F.schema_of_variant(body).startswith("ARRAY"), F.lit(False))
+    d = df.select(*keep_cols, F.col(items_col).alias("__body"), is_array.alias("__is_array"), body.alias("__v"))
+    items = d.where("__is_array").select(
+        *keep_cols, F.posexplode(F.try_variant_get("__v", "$", "array<variant>")).alias("item_pos", "__item"))
+    e = items.select(*keep_cols, "item_pos", F.to_json("__item").alias("__raw"),
+                     F.coalesce(F.schema_of_variant("__item").startswith("OBJECT"), F.lit(False)).alias("__is_object"))
+    p = e.withColumn("__i", F.when(F.col("__is_object"), F.from_json(F.col("__raw"), ITEM)))
+    unread = d.where("not __is_array").select(*keep_cols, F.lit(-1).alias("item_pos"), F.lit("malformed_body").alias("error"),
+                                              F.col("__body").alias("raw_value"))
     aqi = F.trim(F.col("__i.AQI")).try_cast("int")
     cat = F.trim(F.col("__i.Category.Number")).try_cast("int")
     err = (F.when(F.col("__i").isNull(), F.lit("malformed_item"))
@@ -49,7 +58,7 @@ def items_to_events(df: DataFrame, items_col: str = "items", keep_cols: tuple =
         F.col("__i.Discussion").alias("discussion"), F.col("__raw").alias("raw_data"))
     rejected = p.where(F.col("error").isNotNull()).select(*keep_cols, "item_pos", "error",
                                                           F.col("__raw").alias("raw_value"))
-    return events, rejected
+    return events, rejected.unionByName(unread)
 
 
 def event_to_record(ev: DataFrame, clock_col: str | None = None) -> DataFrame:

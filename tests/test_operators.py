@@ -185,17 +185,27 @@ def test_nearest_geo_matches_brute_force(spark):
 
 
 def test_validate_split_errors(spark):
-    spec = EventSpec("t", {"event_id": "string", "source": "string", "n": "int", "kind": "string"},
+    spec = EventSpec("t", {"event_id": "string", "source": "string", "n": "int", "kind": "string", "raw": "object", "b": "boolean"},
                      required=("event_id", "source"), literals={"kind": "weather"})
-    msgs = ['{"event_id": "a", "source": "s", "n": 1, "kind": "weather", "extra": 5}',
-            '{"event_id": "b", "n": "2", "kind": "weather"}', '{"event_id": "c", "source": "s", "n": 1.5}',
-            'nope', '{"event_id": "d", "source": "s", "kind": "air"}', '{"event_id": "e", "source": "s", "n": "3"}']
-    df = spark.createDataFrame([(i, m) for i, m in enumerate(msgs)], "offset long, value string")
-    valid, rejected = validate(df, spec, keep_cols=("offset",))
-    assert [(r.offset, r.n) for r in valid.orderBy("offset").collect()] == [(0, 1), (5, 3)]
-    assert "extra" not in valid.columns
-    assert [(r.offset, r.error) for r in rejected.orderBy("offset").collect()] == [
-        (1, "missing:source"), (2, "type:n"), (3, "malformed_json"), (4, "literal:kind")]
+    cases = [('{"event_id": "a", "source": "s", "n": 1, "kind": "weather", "extra": 5}', None),
+             ('{"event_id": "b", "n": "2", "kind": "weather"}', "missing:source"),
+             ('{"event_id": "c", "source": "s", "n": 1.5}', "type:n"), ("nope", "malformed_json"),
+             ('{"event_id": "d", "source": "s", "kind": "air"}', "literal:kind"), ('{"event_id": "e", "source": "s", "n": "3"}', None),
+             ('{"event_id": 12, "source": "s"}', "type:event_id"), ('{"event_id": true, "source": "s"}', "type:event_id"),
+             ('{"event_id": ["x"], "source": "s"}', "type:event_id"), ('{"event_id": "f", "source": null}', "missing:source"),
+             ('{"event_id": "g", "source": "s"} trailing', "malformed_json"), ('{"event_id": "h", "sour', "malformed_json"),
+             ('{"event_id": "i", "source": "s"}], [2', "malformed_json"), ("5", "not_an_object"), ('["x"]', "not_an_object"), (None, "malformed_json"),
+             ('{"event_id": "j", "source": "s", "raw": "text"}', "type:raw"), ('{"event_id": "k", "source": "s", "raw": {"z": [1]}}', None),
+             ('{"event_id": "l", "source": "s", "b": 2}', "type:b"), ('{"event_id": "m", "source": "s", "b": "Yes"}', None),
+             ('{"event_id": "n", "source": "s", "n": 1e3}', None), ('{"event_id": "o", "source": "s", "n": true}', "type:n")]
+    df = spark.createDataFrame([(i, m) for i, (m, _) in enumerate(cases)], "offset long, value string")
+    got = validate(df, spec, keep_cols=("offset",))
+    valid = {r.offset: r for r in got.valid.collect()}
+    errors = {r.offset: r.error for part in (got.rejected, got.malformed) for r in part.collect()}
+    assert errors == {i: e for i, (_, e) in enumerate(cases) if e}
+    assert sorted(valid) == [i for i, (_, e) in enumerate(cases) if not e]
+    assert (valid[0].n, valid[5].n, valid[20].n, valid[17].raw, valid[19].b) == (1, 3, 1000, '{"z":[1]}', True)
+    assert {r.error for r in got.malformed.collect()} == {"malformed_json"} and "extra" not in got.valid.columns
 
 
 def test_quality_suite_mostly_and_accepted_range(spark):
