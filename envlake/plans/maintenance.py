@@ -33,10 +33,10 @@ def bootstrap_tables(spark: SparkSession, root: str, schemas: dict,
                      partition_by: dict[str, list[str]] | None = None) -> None:
     """Create an empty Parquet table per declared schema (StructType or DDL)
     when absent."""
-    from envlake.streaming.ingest import read_table_or_none
+    from envlake.sources.paths import table_exists
     for name, schema in schemas.items():
         path = f"{root}/{name}"
-        if read_table_or_none(spark, path) is not None:
+        if table_exists(spark, path):
             continue
         w = spark.createDataFrame([], schema).write.mode("ignore")
         if partition_by and name in partition_by:

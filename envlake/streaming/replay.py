@@ -10,13 +10,23 @@ from pyspark.sql import functions as F
 from envlake.operators.upsert import ORDER_COL
 from envlake.operators.validate import EventSpec
 from envlake.streaming.ingest import SourceSpec, run_available, scratch_dir
+from envlake.streaming.store import PART, read_table
 
 EVENTS_SPEC = EventSpec("events", {"event_id": "int", "ts": "timestamp", "user_id": "int", "event_type": "string",
                                    "value": "double", "props": "string"},
                         required=("event_id", "ts", "user_id", "event_type"))
 
 
-def land_as_topic(events: DataFrame, path: str, files: int = 6) -> None:
+#: Messages of one landed topic file.
+FILE_MESSAGES = 50_000
+
+
+def topic_files(events: DataFrame, rows: int = FILE_MESSAGES) -> int:
+    """Files to land, from the number of messages (six at least, to have batches)."""
+    return max(6, -(-events.count() // rows))
+
+
+def land_as_topic(events: DataFrame, path: str, files: int) -> None:
     """Write events as topic messages (key, JSON value, topic, partition, offset, timestamp)."""
     msgs = events.select(
         F.col("user_id").cast("string").alias("key"),
@@ -27,13 +37,16 @@ def land_as_topic(events: DataFrame, path: str, files: int = 6) -> None:
     msgs.repartitionByRange(files, "timestamp").write.mode("overwrite").json(path)
 
 
-def replay_events_as_stream(spark: SparkSession, events: DataFrame, files: int = 6,
-                            files_per_batch: int = 2) -> DataFrame:
+def replay_events_as_stream(spark: SparkSession, events: DataFrame, files: int | None = None,
+                            files_per_batch: int | None = None) -> DataFrame:
+    """The table after the whole topic was read, in three batches unless told otherwise."""
     root = scratch_dir(spark, "replay")
+    files = files or topic_files(events)
+    files_per_batch = files_per_batch or -(-files // 3)
     land_as_topic(events, f"{root}/topic", files)
     spec = SourceSpec(name="events", event=EVENTS_SPEC, key=["user_id", "event_type"],
                       table_path=f"{root}/table", dlq_path=f"{root}/dlq", order_cols=["ts", "event_id"],
                       clock_col=None)
     spec.to_record = lambda v: v.select("user_id", "event_type", "event_id", "ts", "value")
     run_available(spark, spec, f"{root}/topic", f"{root}/checkpoint", max_files_per_trigger=files_per_batch)
-    return spark.read.parquet(spec.table_path).drop(ORDER_COL)
+    return read_table(spark, spec.table_path).drop(ORDER_COL, PART)

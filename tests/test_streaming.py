@@ -40,15 +40,45 @@ def test_bootstrap_refresh_gate_and_run_log(spark, tmp_path):
     assert spark.read.parquet(f"{root}/runs").count() == 1
 
 
-def test_merge_into_partitioned_is_idempotent(spark, tmp_path):
+COLS = ["ts", "user_id", "event_type", "value"]
+
+
+def test_merge_into_is_idempotent_by_any_partitioning(spark, tmp_path):
     from envlake.streaming.ingest import merge_into
-    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").withColumn("day", F.to_date("ts"))
+    from envlake.streaming.store import day_part, read_table
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    for name, kw in (("hash", {"buckets": 4}), ("day", {"part": day_part("ts")})):
+        path = str(tmp_path / name)
+        b1 = ev.where("ts < '2024-01-15'")
+        for _ in range(2):   # second run = replay of the same batch
+            merge_into(spark, path, b1, ["event_id"], ["ts"], columns=COLS, **kw)
+        merge_into(spark, path, ev.where("ts >= '2024-01-15'"), ["event_id"], ["ts"], columns=COLS, **kw)
+        got = read_table(spark, path)
+        assert got.count() == ev.count() and got.select("event_id").distinct().count() == ev.count()
+
+
+def test_interrupted_write_never_shrinks_the_table(spark, tmp_path):
+    import pytest
+    from envlake.streaming.ingest import merge_into
+    from envlake.streaming.store import read_table
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     path = str(tmp_path / "t")
-    b1 = ev.where("ts < '2024-01-15'")
-    for _ in range(2):   # second run = replay of the same batch
-        merge_into(spark, path, b1, ["event_id"], ["ts"], partition_col="day",
-                   columns=["ts", "user_id", "event_type", "value"])
-    merge_into(spark, path, ev.where("ts >= '2024-01-15'"), ["event_id"], ["ts"], partition_col="day",
-               columns=["ts", "user_id", "event_type", "value"])
-    got = spark.read.parquet(path)
-    assert got.count() == ev.count() and got.select("event_id").distinct().count() == ev.count()
+    merge_into(spark, path, ev, ["event_id"], ["ts"], buckets=4, columns=COLS)
+    # Fails in the tasks, after the write has begun.
+    broken = ev.withColumn("ts", F.col("ts") + F.expr("make_dt_interval(1)")).withColumn(
+        "value", F.when(F.col("event_id") % 7 == 3, F.raise_error(F.lit("lost"))).otherwise(F.col("value")).cast("double"))
+    with pytest.raises(Exception, match="lost"):
+        merge_into(spark, path, broken, ["event_id"], ["ts"], buckets=4, columns=COLS)
+    assert read_table(spark, path).count() == ev.count()
+    merge_into(spark, path, ev.limit(10), ["event_id"], ["ts"], buckets=4, columns=COLS)
+    assert read_table(spark, path).count() == ev.count()
+
+
+def test_unreadable_is_not_absent(spark, tmp_path):
+    import pytest
+    from envlake.streaming.store import read_table
+    assert read_table(spark, str(tmp_path / "none")) is None
+    (tmp_path / "t" / "log").mkdir(parents=True)
+    (tmp_path / "t" / "log" / "part-0.json").write_text('{"version": 1, "part": 0, "folder": "%s/gone"}\n' % tmp_path)
+    with pytest.raises(Exception):
+        read_table(spark, str(tmp_path / "t")).count()
