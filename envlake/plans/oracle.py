@@ -7,6 +7,8 @@ DuckDB would otherwise use DECIMAL arithmetic.
 
 from __future__ import annotations
 
+from envlake.plans.ingest_bindings import ORACLE_SQL as INGEST_SQL
+
 # Coordinates from keys (same integer arithmetic as driver_tables.py).
 C_LAT = "(40.0::DOUBLE + CAST((c_custkey * 7919) % 5000 AS DOUBLE) / 10000.0::DOUBLE)"
 C_LON = "(-90.0::DOUBLE + CAST((c_custkey * 104729) % 5000 AS DOUBLE) / 10000.0::DOUBLE)"
@@ -623,4 +625,5 @@ ORACLE_SQL = {
     "volume_anomaly": VOLUME_ANOMALY,
     "backfill_flags": BACKFILL_FLAGS,
     "stream_replay": STREAM_REPLAY,
+    **INGEST_SQL,
 }

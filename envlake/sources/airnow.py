@@ -61,13 +61,14 @@ def items_to_events(df: DataFrame, items_col: str = "items", keep_cols: tuple =
     return events, rejected.unionByName(unread)
 
 
-def event_to_record(ev: DataFrame, clock_col: str | None = None) -> DataFrame:
+def event_to_record(ev: DataFrame, clock_col: str | None = None, keep_cols: tuple = ()) -> DataFrame:
     """AirNow event -> ``stg.airnow_air_quality_forecast`` record (fallback id,
     dates parsed to UTC midnight, raw record kept as JSON text)."""
     di, _ = parse_utc("date_issue", T.StringType())
     dfc, dfc_err = parse_utc("date_forecast", T.StringType())
     clock = F.col(clock_col) if clock_col else F.current_timestamp()
     return ev.select(
+        *keep_cols,
         fallback_id("event_id", F.lit("airnow"), "reporting_area", "date_issue", "date_forecast").alias("event_id"),
         "source", di.alias("date_issue_dtz"), dfc.alias("date_forecast_dtz"), "reporting_area", "state_code",
         "latitude", "longitude", "parameter_name", "aqi", "category_number", "category_name", "action_day",

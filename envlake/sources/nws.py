@@ -61,7 +61,7 @@ def periods_to_events(df: DataFrame, raw_col: str = "raw", meta_col: str = "meta
     return e.select(*cols)
 
 
-def event_to_record(ev: DataFrame, zero_is_null: bool = False) -> DataFrame:
+def event_to_record(ev: DataFrame, zero_is_null: bool = False, keep_cols: tuple = ()) -> DataFrame:
     """NWS event -> ``stg.weather_hourly_forecast`` record: times parsed to UTC,
     fallback id, numbers coerced. Adds ``error`` (first failing guard)."""
     from envlake.functions.coerce import strict_float
@@ -78,7 +78,7 @@ def event_to_record(ev: DataFrame, zero_is_null: bool = False) -> DataFrame:
     err = (F.when(st.isNull(), F.lit("missing:start_time")).when(st_err, F.lit("type:start_time"))
            .when(en_err, F.lit("type:end_time")))
     return ev.select(
-        fallback_id("event_id", "grid_id", "grid_x", "grid_y", "start_time").alias("event_id"),
+        *keep_cols, fallback_id("event_id", "grid_id", "grid_x", "grid_y", "start_time").alias("event_id"),
         "event_type", "source", "office", "grid_id", "grid_x", "grid_y", st.alias("start_time"),
         en.alias("end_time"), "is_daytime", "temperature_trend", "wind_direction", "short_forecast",
         "detailed_forecast", *nums, ing.alias("ingested_at_dtz"), err.alias("error"))

@@ -111,7 +111,7 @@ def route_by_kind(events: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
              .withColumn("error", F.lit("unknown_kind")).drop("__kind"))
 
 
-def event_to_record(ev: DataFrame, kind: str) -> DataFrame:
+def event_to_record(ev: DataFrame, kind: str, keep_cols: tuple = ()) -> DataFrame:
     """Open-Meteo event -> staging record: ISO times parsed to UTC, numbers
     coerced leniently, a missing event id rebuilt from its parts, NOT NULL
     columns guarded (``error`` set instead of failing the batch)."""
@@ -134,6 +134,6 @@ def event_to_record(ev: DataFrame, kind: str) -> DataFrame:
            .when(F.col("latitude").isNull() | F.col("longitude").isNull(), F.lit("missing:coordinates")))
     if kind == "weather":
         err = err.when(F.col("temperature").isNull(), F.lit("missing:temperature"))
-    return ev.select(eid.alias("event_id"), "record_type", F.col("record_frequency_min").cast("int"),
+    return ev.select(*keep_cols, eid.alias("event_id"), "record_type", F.col("record_frequency_min").cast("int"),
                      st.alias("open_meteo_start_time"), en.alias("open_meteo_end_time"), "latitude", "longitude",
                      *vals, ing.alias("ingested_at_dtz"), err.alias("error"))

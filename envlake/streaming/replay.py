@@ -34,7 +34,7 @@ def land_as_topic(events: DataFrame, path: str, files: int) -> None:
                            "user_id", "event_type", "value", "props")).alias("value"),
         F.lit("events").alias("topic"), (F.col("user_id") % 4).cast("int").alias("partition"),
         F.col("event_id").alias("offset"), F.col("ts").alias("timestamp"))
-    msgs.repartitionByRange(files, "timestamp").write.mode("overwrite").json(path)
+    msgs.repartitionByRange(files, "timestamp").write.mode("overwrite").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path)
 
 
 def replay_events_as_stream(spark: SparkSession, events: DataFrame, files: int | None = None,
