@@ -42,23 +42,28 @@ def _days(n: int):
 
 
 # ------------------------------------------------------------------ O1, G1
-def latest_by_location(spark: SparkSession, d: str) -> DataFrame:
-    now = D.events_as_of(spark, d)
-    return M.latest_by_location(D.measurements(spark, d), D.locations(spark, d), D.sensors(spark, d),
+def _latest(spark: SparkSession, d: str, now: dt.datetime) -> DataFrame:
+    since = now - dt.timedelta(days=1)   # the mart's recency, on the raw column
+    return M.latest_by_location(D.measurements(spark, d, since), D.locations(spark, d), D.sensors(spark, d, since),
                                 D.bridge(spark, d), D.licenses(spark, d), now, event_type=D.LATEST_TYPE)
 
 
+def latest_by_location(spark: SparkSession, d: str) -> DataFrame:
+    return _latest(spark, d, D.events_as_of(spark, d))
+
+
 PIVOT_PARAMS = {"click": "latest_click", "view": "latest_view", "purchase": "latest_purchase"}
 
 
 def latest_pivot(spark, d):
     now = D.events_as_of(spark, d)
-    return M.openaq_recent_pivot(latest_by_location(spark, d), now, params=PIVOT_PARAMS)
+    return M.openaq_recent_pivot(_latest(spark, d, now), now, params=PIVOT_PARAMS)
 
 
 # ------------------------------------------------------------------ O2, O3
-def _om_rows(spark, d, event_type: str, record_type: str, per_region: bool = True) -> DataFrame:
-    """events of one type -> Open-Meteo-shaped rows located at the user's region."""
+def _om_rows(spark, d, event_type: str, record_type: str) -> DataFrame:
+    """events of one type -> Open-Meteo-shaped rows located at the user's region; the
+    windows of one start end after one or two hours."""
     ev = T(spark, d, "events").where(F.col("event_type") == event_type)
     c = T(spark, d, "customer").select("c_custkey", "c_nationkey")
     n = T(spark, d, "nation").select("n_nationkey", "n_regionkey")
@@ -69,13 +74,14 @@ def _om_rows(spark, d, event_type: str, record_type: str, per_region: bool = Tru
     return ev.join(loc, "user_id").select(
         F.concat(F.lit(f"{event_type}:"), F.col("event_id").cast("string")).alias("event_id"),
         F.lit(record_type).alias("record_type"), start.alias("open_meteo_start_time"),
-        (start + F.expr("INTERVAL 1 HOUR")).alias("open_meteo_end_time"), "latitude", "longitude",
+        (start + F.make_dt_interval(F.lit(0), F.col("event_id") % 2 + 1)).alias("open_meteo_end_time"), "latitude", "longitude",
         F.col("ts").alias("ingested_at_dtz"), F.col("value").alias("temperature"),
         F.lit("C").alias("temperature_unit"), F.col("value").alias("pm2_5"), F.lit("ug/m3").alias("pm2_5_unit"))
 
 
 def current_snapshot(spark, d):
-    w, a = _om_rows(spark, d, "view", "current"), _om_rows(spark, d, "click", "current")
+    """One place, as in the original: the latest row of either side."""
+    w, a = (_om_rows(spark, d, k, "current").where("latitude = 0") for k in ("view", "click"))
     return M.current_conditions(w, a, wcols=["temperature", "temperature_unit"], acols=["pm2_5", "pm2_5_unit"])
 
 
@@ -107,27 +113,30 @@ def distinct_on_last(spark, d):
 
 
 # ----------------------------------------------------------------------- O4
-def _stg_airnow_from_orders(spark, d, shift_days: int) -> DataFrame:
+def _stg_airnow_from_orders(spark, d, today: dt.date) -> DataFrame:
+    """orders -> forecasts for today, tomorrow and the day after at the customer's place;
+    every seventh is no longer current."""
     o = T(spark, d, "orders")
     cat = F.substring("o_orderpriority", 1, 1).cast("int")
     a = o.select(
-        F.concat(F.lit("order:"), F.col("o_orderkey").cast("string")).alias("event_id"),
-        (F.col("o_orderdate") + _days(shift_days)).alias("date_forecast_dtz"),
+        F.concat(F.lit("order:"), F.col("o_orderkey").cast("string")).alias("event_id"), F.col("o_custkey").alias("location_id"),
+        (F.lit(today).cast("timestamp") + F.make_dt_interval((F.col("o_orderkey") % 3).cast("int"))).alias("date_forecast_dtz"),
         F.col("o_orderstatus").alias("parameter_name"),
         (F.floor(F.col("o_totalprice") / F.lit(800.0)).cast("int") - F.lit(25)).alias("aqi"),
         cat.alias("category_number"), F.col("o_orderpriority").alias("category_name"),
         (F.col("o_orderstatus") == "F").alias("action_day"), F.col("o_orderpriority").alias("discussion"),
-        F.lit(True).alias("is_current"))
+        (F.col("o_orderkey") % 7 != 0).alias("is_current"))
     from envlake.plans.staging import stg_airnow_air_quality_forecast
     return stg_airnow_air_quality_forecast(a)
 
 
-def _stg_weather_from_events(spark, d, shift_days: int) -> DataFrame:
+def _stg_weather_from_events(spark, d, now: dt.datetime) -> DataFrame:
+    """events -> hourly forecasts of the next 60 hours at the user's place (some in the past)."""
     from envlake.plans.staging import stg_weather_hourly_forecast
     ev = T(spark, d, "events")
-    st = F.col("ts") + _days(shift_days)
+    st = F.lit(now).cast("timestamp") + F.make_dt_interval(F.lit(0), (F.col("event_id") % 64 - 4).cast("int"))
     w = ev.select(
-        F.concat(F.lit("wx:"), F.col("event_id").cast("string")).alias("event_id"),
+        F.concat(F.lit("wx:"), F.col("event_id").cast("string")).alias("event_id"), F.col("user_id").alias("location_id"),
         F.lit("nws.hourly_forecast").alias("event_type"), st.alias("start_time"),
         (st + F.expr("INTERVAL 1 HOUR")).alias("end_time"),
         (F.col("value") * 2 - 60).alias("temperature"), F.lit("wmoUnit:degC").alias("temperature_unit"),
@@ -142,14 +151,13 @@ def _stg_weather_from_events(spark, d, shift_days: int) -> DataFrame:
     return stg_weather_hourly_forecast(w)
 
 
+MEASURED_PARAMS = dict(zip(("click", "view", "purchase"), M.MEASURED))
+
+
 def daily_hourly_join(spark, d):
     now = D.events_as_of(spark, d)
-    max_od = D.scalar(T(spark, d, "orders").agg(F.max("o_orderdate")))
-    shift_orders = (now.date() - (max_od.date() - dt.timedelta(days=1))).days
-    a = _stg_airnow_from_orders(spark, d, shift_orders)
-    w = _stg_weather_from_events(spark, d, 1)
-    latest = latest_by_location(spark, d)
-    return M.air_weather_forecast(a, w, latest, now, params=PIVOT_PARAMS)
+    return M.air_weather_forecast(_stg_airnow_from_orders(spark, d, now.date()), _stg_weather_from_events(spark, d, now),
+                                  _latest(spark, d, now), now, params=MEASURED_PARAMS)
 
 
 # ------------------------------------------------------------------ F9 / O5
@@ -311,13 +319,13 @@ def sensor_map_dedupe(spark, d):
 
 # -------------------------------------------------------------- C13, H4, H5
 def nearest_top1(spark, d):
+    """Every nation asks for its nearest supplier; some distances are absent."""
+    from envlake.sources.openaq import nearest_location
     s = T(spark, d, "supplier")
     n = T(spark, d, "nation")
-    cand = n.join(s, n["n_nationkey"] == s["s_nationkey"]).select(
-        "n_nationkey", "s_suppkey", F.abs(F.col("s_acctbal") - F.col("n_nationkey") * F.lit(400.0)).alias("distance"))
-    best = cand.groupBy("n_nationkey").agg(
-        F.min_by(F.struct("s_suppkey", "distance"), F.struct("distance", "s_suppkey")).alias("b"))
-    return best.select("n_nationkey", F.col("b.s_suppkey").alias("s_suppkey"), F.col("b.distance").alias("distance"))
+    dist = F.when(F.col("s_suppkey") % 5 != 0, F.abs(F.col("s_acctbal") - F.col("n_nationkey") * F.lit(400.0)))
+    cand = n.join(s, n["n_nationkey"] == s["s_nationkey"]).select("n_nationkey", F.col("s_suppkey").alias("id"), dist.alias("distance"))
+    return nearest_location(cand, "n_nationkey").withColumnRenamed("id", "s_suppkey")
 
 
 # ------------------------------------------------ D1-D4, A2, B4, C2, C22, E11
@@ -518,12 +526,17 @@ def nearest_geo_q(spark, d):
 
 
 def geo_link(spark, d):
-    links, new_points = link_or_create(_customers_xy(spark, d), _suppliers_xy(spark, d), "c_custkey", "s_suppkey")
-    created = new_points.select("latitude", "longitude", F.lit(True).alias("is_new_point"))
-    cx = _customers_xy(spark, d).join(links, "c_custkey")
-    out = cx.join(created, ["latitude", "longitude"], "left")
-    return out.select("c_custkey", F.when(~F.col("created"), F.col("s_suppkey")).alias("linked_id"), "created",
-                      F.coalesce("is_new_point", F.lit(False)).alias("is_new_point"))
+    """Every fifth customer is linked already and keeps its point."""
+    c = _customers_xy(spark, d)
+    linked = c.where("c_custkey % 5 = 0").select("c_custkey", (-F.col("c_custkey")).alias("s_suppkey"))
+    links, _ = link_or_create(c, _suppliers_xy(spark, d), "c_custkey", "s_suppkey", linked=linked)
+    return links.select("c_custkey", F.when(~F.col("created"), F.col("s_suppkey")).alias("linked_id"), "created")
+
+
+def geo_new_points(spark, d):
+    """The points created: one for each distinct place of unlinked customers."""
+    _, new_points = link_or_create(_customers_xy(spark, d), _suppliers_xy(spark, d), "c_custkey", "s_suppkey")
+    return new_points.select("latitude", "longitude")
 
 
 # --------------------------------------------------------- O8, E8, E9, F10
@@ -633,6 +646,7 @@ QUERIES = {
     "haversine_pairs": haversine_pairs,
     "nearest_geo": nearest_geo_q,
     "geo_link": geo_link,
+    "geo_new_points": geo_new_points,
     "window_read": window_read,
     "quality_suite": quality_suite,
     "unique_check": unique_check,

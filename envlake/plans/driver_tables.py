@@ -51,10 +51,17 @@ def supplier_lon() -> F.Column:
     return F.lit(-90.0) + (F.col("s_suppkey") * F.lit(15485863)) % F.lit(5000) / F.lit(10000.0)
 
 
-def measurements(spark, sf_dir) -> DataFrame:
-    """events -> stg.openaq_measurements_by_location shape (location=user,
-    sensor=event type, time truncated to the hour so ties exist)."""
+def events_since(spark, sf_dir, since: dt.datetime | None) -> DataFrame:
+    """events, from ``since`` on: a bound on the raw column, which reaches the scan."""
     ev = table(spark, sf_dir, "events")
+    return ev if since is None else ev.where(F.col("ts") >= F.lit(since).cast("timestamp"))
+
+
+def measurements(spark, sf_dir, since: dt.datetime | None = None) -> DataFrame:
+    """events -> stg.openaq_measurements_by_location shape (location=user,
+    sensor=event type, time truncated to the hour so ties exist). A reader that wants
+    hours from ``since`` on passes it: a truncated time is never later than the raw one."""
+    ev = events_since(spark, sf_dir, since)
     et = F.when(F.col("event_type") == "error", F.lit(ERROR_TYPE)).otherwise(F.lit(LATEST_TYPE))
     t = F.date_trunc("hour", F.col("ts"))
     v, ok, st = normalize_measurement(F.col("value"))
@@ -77,8 +84,8 @@ def locations(spark, sf_dir) -> DataFrame:
         customer_lon().alias("longitude"), F.lit(True).alias("is_current"))
 
 
-def sensors(spark, sf_dir) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+def sensors(spark, sf_dir, since: dt.datetime | None = None) -> DataFrame:
+    ev = events_since(spark, sf_dir, since)
     return ev.select("event_type").distinct().select(
         F.col("event_type").alias("openaq_sensors_id"), F.col("event_type").alias("parameter_name"),
         F.upper("event_type").alias("parameter_display_name"), F.lit("count").alias("parameter_units"),

@@ -102,7 +102,7 @@ LATEST_PIVOT = f"WITH {O1_CTES}, {PIVOT_CTE} SELECT * FROM piv"
 def _om(kind: str, rtype: str) -> str:
     return f"""SELECT '{kind}:' || CAST(e.event_id AS VARCHAR) AS event_id, '{rtype}' AS record_type,
            date_trunc('hour', e.ts) AS open_meteo_start_time,
-           date_trunc('hour', e.ts) + INTERVAL 1 HOUR AS open_meteo_end_time,
+           date_trunc('hour', e.ts) + INTERVAL 1 HOUR * (e.event_id % 2 + 1) AS open_meteo_end_time,
            CAST(n.n_regionkey AS DOUBLE) AS latitude, 0.0::DOUBLE AS longitude, e.ts AS ingested_at_dtz,
            e.value AS temperature, 'C' AS temperature_unit, e.value AS pm2_5, 'ug/m3' AS pm2_5_unit
     FROM events e JOIN customer c ON e.user_id = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
@@ -113,8 +113,8 @@ PAIR_SELECT = """SELECT w.event_id AS weather_event_id, a.event_id AS air_event_
        w.open_meteo_end_time, w.latitude, w.longitude, w.temperature, w.temperature_unit, a.pm2_5, a.pm2_5_unit"""
 
 CURRENT_SNAPSHOT = f"""
-WITH w AS ({_om('view', 'current')} ORDER BY ingested_at_dtz DESC NULLS FIRST, event_id DESC LIMIT 1),
-     a AS ({_om('click', 'current')} ORDER BY ingested_at_dtz DESC NULLS FIRST, event_id DESC LIMIT 1)
+WITH w AS ({_om('view', 'current')} AND n.n_regionkey = 0 ORDER BY ingested_at_dtz DESC NULLS FIRST, event_id DESC LIMIT 1),
+     a AS ({_om('click', 'current')} AND n.n_regionkey = 0 ORDER BY ingested_at_dtz DESC NULLS FIRST, event_id DESC LIMIT 1)
 {PAIR_SELECT}
 FROM w JOIN a ON w.latitude = a.latitude AND w.longitude = a.longitude"""
 
@@ -135,7 +135,8 @@ a AS (SELECT DISTINCT ON (open_meteo_start_time, open_meteo_end_time) * FROM a0
       ORDER BY open_meteo_start_time, open_meteo_end_time, ingested_at_dtz ASC NULLS LAST, event_id ASC NULLS LAST)
 {PAIR_SELECT}
 FROM w JOIN a ON w.latitude = a.latitude AND w.longitude = a.longitude
-             AND w.open_meteo_start_time = a.open_meteo_start_time"""
+             AND w.open_meteo_start_time = a.open_meteo_start_time
+             AND w.open_meteo_end_time = a.open_meteo_end_time"""
 
 DISTINCT_ON_FIRST = """
 SELECT DISTINCT ON (o_custkey, o_orderpriority)
@@ -152,21 +153,21 @@ _ADJ = "CASE category_number WHEN 1 THEN 25 WHEN 2 THEN 75 WHEN 3 THEN 125 WHEN
 
 DAILY_HOURLY_JOIN = f"""
 WITH {O1_CTES}, {PIVOT_CTE},
-shift AS (SELECT date_trunc('day', (SELECT max(ts) FROM events))
-                 - ((SELECT max(o_orderdate) FROM orders) - INTERVAL 1 DAY) AS d),
-a0 AS (SELECT o_orderdate + (SELECT d FROM shift) AS date_forecast_dtz, o_orderstatus AS parameter_name,
+a0 AS (SELECT date_trunc('day', (SELECT now FROM p)) + INTERVAL 1 DAY * (o_orderkey % 3) AS date_forecast_dtz,
+              o_custkey AS location_id, o_orderstatus AS parameter_name,
               CAST(floor(o_totalprice / 800.0::DOUBLE) AS INTEGER) - 25 AS aqi,
               CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS category_number, o_orderpriority AS category_name,
               o_orderstatus = 'F' AS action_day, o_orderpriority AS discussion
-       FROM orders),
+       FROM orders WHERE o_orderkey % 7 <> 0),
 a1 AS (SELECT *, CASE WHEN aqi BETWEEN 0 AND 500 THEN aqi ELSE {_MID} END AS aqi_clean FROM a0),
-a AS (SELECT date_forecast_dtz, parameter_name, aqi_clean AS aqi,
+a AS (SELECT date_forecast_dtz, location_id, parameter_name, aqi_clean AS aqi,
              CASE WHEN aqi_clean = -1 THEN {_ADJ} ELSE aqi_clean END AS adjusted_aqi,
              category_name, action_day, discussion
       FROM a1, p
       WHERE (CASE WHEN aqi_clean IS NOT NULL AND (aqi_clean < 0 OR aqi_clean > 500) THEN FALSE ELSE TRUE END) = TRUE
         AND (date_forecast_dtz = date_trunc('day', p.now) OR date_forecast_dtz = date_trunc('day', p.now) + INTERVAL 1 DAY)),
-w0 AS (SELECT ts + INTERVAL 1 DAY AS start_time, ts + INTERVAL 1 DAY + INTERVAL 1 HOUR AS end_time,
+w0 AS (SELECT user_id AS location_id, (SELECT now FROM p) + INTERVAL 1 HOUR * (event_id % 64 - 4) AS start_time,
+              (SELECT now FROM p) + INTERVAL 1 HOUR * (event_id % 64 - 3) AS end_time,
               value * 2 - 60 AS temperature, 'wmoUnit:degC' AS temperature_unit, event_type AS temperature_trend,
               value AS relative_humidity, 'wmoUnit:percent' AS relative_humidity_unit, value / 2 AS dewpoint,
               'wmoUnit:degC' AS dewpoint_unit, value * 4 AS wind_speed, 'wmoUnit:km_h-1' AS wind_speed_unit,
@@ -175,7 +176,7 @@ w0 AS (SELECT ts + INTERVAL 1 DAY AS start_time, ts + INTERVAL 1 DAY + INTERVAL
               'wmoUnit:percent' AS probability_of_precipitation_unit, event_type AS short_forecast,
               props AS detailed_forecast
        FROM events),
-w AS (SELECT start_time, end_time,
+w AS (SELECT location_id, start_time, end_time,
              CASE WHEN temperature BETWEEN -80 AND 80 THEN temperature END AS temperature, temperature_unit,
              temperature_trend,
              CASE WHEN relative_humidity BETWEEN 0 AND 100 THEN relative_humidity END AS relative_humidity,
@@ -192,10 +193,10 @@ w AS (SELECT start_time, end_time,
               OR (relative_humidity IS NOT NULL AND (relative_humidity < 0 OR relative_humidity > 100))
               OR (probability_of_precipitation IS NOT NULL AND (probability_of_precipitation < 0 OR probability_of_precipitation > 100))
               OR (wind_speed IS NOT NULL AND (wind_speed < 0 OR wind_speed > 300)))),
-orow AS (SELECT measurement_datetime_utc, latest_click AS latest_temperature, latest_click_units AS latest_temperature_units,
+orow AS (SELECT openaq_locations_id, measurement_datetime_utc, latest_click AS latest_temperature, latest_click_units AS latest_temperature_units,
                 latest_view AS latest_pm25, latest_view_units AS latest_pm25_units,
                 latest_purchase AS latest_relative_humidity, latest_purchase_units AS latest_relative_humidity_units
-         FROM piv ORDER BY measurement_datetime_utc DESC, openaq_locations_id ASC LIMIT 1)
+         FROM piv)
 SELECT p.now AS current_datetime_utc, w.start_time AS forecast_start_time_utc, w.end_time AS forecast_end_time_utc,
        orow.measurement_datetime_utc AS latest_measurement_datetime_utc, 'latest' AS openaq_measurement_scope,
        'daily' AS air_quality_forecast_scope, 'hourly' AS weather_forecast_scope,
@@ -208,11 +209,11 @@ SELECT p.now AS current_datetime_utc, w.start_time AS forecast_start_time_utc, w
        w.wind_gust_unit, w.probability_of_precipitation, w.probability_of_precipitation_unit,
        a.action_day AS air_quality_action_day, a.discussion AS air_quality_discussion, w.short_forecast,
        w.detailed_forecast, w.forecast_day_dtz
-FROM a JOIN w ON a.date_forecast_dtz = w.forecast_day_dtz
-     CROSS JOIN p LEFT JOIN orow ON TRUE"""
+FROM a JOIN w ON a.location_id = w.location_id AND a.date_forecast_dtz = w.forecast_day_dtz
+     JOIN orow ON orow.openaq_locations_id = a.location_id CROSS JOIN p"""
 
 NEAREST_TIME_GLOBAL = """
-WITH lp AS (SELECT ts, value FROM events WHERE event_type = 'purchase' ORDER BY ts DESC LIMIT 1)
+WITH lp AS (SELECT ts, value FROM events WHERE event_type = 'purchase' ORDER BY ts DESC, event_id DESC LIMIT 1)
 SELECT v.event_id, v.user_id, v.ts, lp.ts AS aq_datetime_utc, lp.value AS aq_value,
        round(abs(epoch_us(v.ts) - epoch_us(lp.ts))::DOUBLE / 1000000.0::DOUBLE, 6) AS time_diff_seconds
 FROM events v LEFT JOIN lp ON TRUE WHERE v.event_type = 'view'"""
@@ -349,10 +350,10 @@ FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_returnflag
 WHERE rn = 1"""
 
 NEAREST_TOP1 = """
-WITH c AS (SELECT n_nationkey, s_suppkey, abs(s_acctbal - n_nationkey * 400.0::DOUBLE) AS distance
+WITH c AS (SELECT n_nationkey, s_suppkey, CASE WHEN s_suppkey % 5 <> 0 THEN abs(s_acctbal - n_nationkey * 400.0::DOUBLE) END AS distance
            FROM nation JOIN supplier ON n_nationkey = s_nationkey)
 SELECT n_nationkey, s_suppkey, distance
-FROM (SELECT *, row_number() OVER (PARTITION BY n_nationkey ORDER BY distance, s_suppkey) AS rn FROM c)
+FROM (SELECT *, row_number() OVER (PARTITION BY n_nationkey ORDER BY distance NULLS LAST, s_suppkey) AS rn FROM c)
 WHERE rn = 1"""
 
 MESSAGES_CTE = """
@@ -483,7 +484,10 @@ m AS (SELECT c.c_custkey, b.s_suppkey AS match_id, b.d
 
 NEAREST_GEO = f"WITH {GEO_CTES} SELECT c_custkey, match_id, round(d, 6) AS distance_km FROM m"
 GEO_LINK = f"""WITH {GEO_CTES}
-SELECT c_custkey, match_id AS linked_id, match_id IS NULL AS created, match_id IS NULL AS is_new_point FROM m"""
+SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN -c_custkey ELSE match_id END AS linked_id,
+       c_custkey % 5 <> 0 AND match_id IS NULL AS created FROM m"""
+GEO_NEW_POINTS = f"""WITH {GEO_CTES}
+SELECT DISTINCT plat AS latitude, plon AS longitude FROM c JOIN m USING (c_custkey) WHERE match_id IS NULL"""
 
 
 def _window_read() -> str:
@@ -618,6 +622,7 @@ ORACLE_SQL = {
     "haversine_pairs": HAVERSINE_PAIRS,
     "nearest_geo": NEAREST_GEO,
     "geo_link": GEO_LINK,
+    "geo_new_points": GEO_NEW_POINTS,
     "window_read": WINDOW_READ,
     "quality_suite": QUALITY_SUITE,
     "unique_check": UNIQUE_CHECK,
