@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Check:
-    kind: str            # not_null | between | in_set | accepted_values
+    kind: str            # not_null | between | in_set | accepted_values | unique
     column: str
     low: float | None = None
     high: float | None = None
@@ -44,23 +44,34 @@ def _unexpected(ch: Check) -> Column:
 
 
 def run_suite(df: DataFrame, table_name: str, checks: list[Check]) -> DataFrame:
-    """Evaluate all checks in one pass; one result row per check."""
+    """Evaluate all checks; one result row per check. All but uniqueness share one
+    pass; each ``unique`` check is a grouped count of its column, in which every row
+    whose value occurs again is unexpected."""
+    plain = [ch for ch in checks if ch.kind != "unique"]
     aggs = [F.count(F.lit(1)).alias("__n")]
-    for i, ch in enumerate(checks):
+    for i, ch in enumerate(plain):
         aggs.append(F.count(F.col(ch.column)).alias(f"__nn{i}"))
         aggs.append(F.count(F.when(_unexpected(ch), F.lit(1))).alias(f"__u{i}"))
     row = df.agg(*aggs)
-    parts = []
-    for i, ch in enumerate(checks):
-        base = F.col("__n") if ch.kind == "not_null" else F.col(f"__nn{i}")
-        ratio = F.when(base > 0, F.col(f"__u{i}") / base).otherwise(F.lit(0.0))
-        parts.append(F.struct(
-            F.lit(table_name).alias("table_name"), F.lit(ch.kind).alias("check"),
-            F.lit(ch.column).alias("column_name"), F.col("__n").alias("n"),
-            F.col(f"__nn{i}").alias("nonnull"), F.col(f"__u{i}").alias("unexpected"),
-            F.round(ratio, 6).alias("unexpected_ratio"),
-            ((F.lit(1.0) - ratio) >= F.lit(ch.mostly)).alias("success")))
-    return row.select(F.explode(F.array(*parts)).alias("r")).select("r.*")
+    parts = [_result(table_name, ch, F.col("__n"), F.col(f"__nn{i}"), F.col(f"__u{i}")) for i, ch in enumerate(plain)]
+    out = row.select(F.explode(F.array(*parts)).alias("r")).select("r.*")
+    for ch in checks:
+        if ch.kind == "unique":
+            known = F.col(ch.column).isNotNull()
+            per = df.groupBy(ch.column).agg(F.count(F.lit(1)).alias("__c"))
+            one = per.agg(F.coalesce(F.sum("__c"), F.lit(0)).alias("__n"), F.coalesce(F.sum(F.when(known, F.col("__c"))), F.lit(0)).alias("__nn"),
+                          F.coalesce(F.sum(F.when(known & (F.col("__c") > 1), F.col("__c"))), F.lit(0)).alias("__u"))
+            out = out.unionByName(one.select(_result(table_name, ch, F.col("__n"), F.col("__nn"), F.col("__u")).alias("r")).select("r.*"))
+    return out
+
+
+def _result(table_name: str, ch: Check, n: Column, nonnull: Column, unexpected: Column) -> Column:
+    base = n if ch.kind == "not_null" else nonnull
+    ratio = F.when(base > 0, unexpected / base).otherwise(F.lit(0.0))
+    return F.struct(
+        F.lit(table_name).alias("table_name"), F.lit(ch.kind).alias("check"), F.lit(ch.column).alias("column_name"),
+        n.alias("n"), nonnull.alias("nonnull"), unexpected.alias("unexpected"), F.round(ratio, 6).alias("unexpected_ratio"),
+        ((F.lit(1.0) - ratio) >= F.lit(ch.mostly)).alias("success"))
 
 
 def unique_violations(df: DataFrame, cols: list[str], where: Column | None = None) -> DataFrame:
@@ -111,36 +122,38 @@ def volume_anomalies(df: DataFrame, ts_col: str, trailing: int = 14, z_limit: fl
                       F.coalesce(F.abs(z) > F.lit(z_limit), F.lit(False)).alias("is_anomaly"))
 
 
-def marts_nonempty(marts: dict[str, DataFrame]) -> dict[str, bool]:
-    """Post-build gate: each mart must have at least one row (one-row probe per mart)."""
-    return {name: not df.isEmpty() for name, df in marts.items()}
-
-
-# The three staging-table suites (not-null columns, ranges with
-# their ``mostly`` ratio, allowed values) as declared for the original tables.
-NWS_SUITE = ([Check("not_null", c) for c in ("event_id", "source", "office", "grid_id", "grid_x", "grid_y",
-                                             "start_time", "end_time")]
-             + [Check("in_set", "is_daytime", values=(True, False)),
-                Check("between", "temperature", -60, 60, mostly=0.99),
-                Check("between", "relative_humidity", 0, 100, mostly=0.99),
-                Check("between", "probability_of_precipitation", 0, 100, mostly=0.99),
-                Check("between", "wind_speed", 0, 250, mostly=0.99)])
-AIRNOW_SUITE = ([Check("not_null", c) for c in ("event_id", "source", "date_issue_dtz", "date_forecast_dtz",
-                                                "reporting_area", "state_code", "latitude", "longitude",
-                                                "parameter_name", "aqi", "category_number", "category_name",
-                                                "effective_start_at_dtz", "is_current")]
-                + [Check("between", "aqi", 0, 500, mostly=0.99), Check("between", "category_number", 1, 6),
-                   Check("in_set", "is_current", values=(True, False))])
-OPENAQ_SUITE = ([Check("not_null", c) for c in ("event_id", "openaq_locations_id", "openaq_sensors_id",
-                                                "datetime_utc", "source")]
-                + [Check("between", "value_normalized", 0, None, mostly=0.99),
-                   Check("in_set", "is_valid", values=(True, False))])
-SUITE_UNIQUE = {"nws": ["event_id"], "airnow": ["event_id"], "openaq": ["event_id"]}
+# The three staging-table suites (not-null and unique columns, ranges
+# with their ``mostly`` share, allowed values; NULL is always allowed in a set).
+NWS_SUITE = [
+    Check("unique", "event_id"),
+    *[Check("not_null", c) for c in ("event_id", "source", "office", "grid_id", "grid_x", "grid_y", "start_time", "end_time")],
+    Check("in_set", "is_daytime", values=(True, False)),
+    Check("between", "temperature", -60, 60, mostly=0.99),
+    Check("between", "relative_humidity", 0, 100, mostly=0.99),
+    Check("between", "probability_of_precipitation", 0, 100, mostly=0.99),
+    Check("between", "wind_speed", 0, 250, mostly=0.99)]
+AIRNOW_SUITE = [
+    Check("unique", "event_id"),
+    *[Check("not_null", c) for c in ("event_id", "source", "date_issue_dtz", "date_forecast_dtz", "reporting_area", "state_code",
+                                     "latitude", "longitude", "parameter_name", "aqi", "category_number", "category_name",
+                                     "raw_data", "effective_start_at_dtz")],
+    Check("in_set", "action_day", values=(True, False)),
+    Check("between", "aqi", -1, 500, mostly=0.99),
+    Check("between", "category_number", 1, 6),
+    Check("in_set", "category_name", values=("Good", "Moderate", "Unhealthy for Sensitive Groups", "Unhealthy",
+                                             "Very Unhealthy", "Hazardous"))]
+OPENAQ_SUITE = [
+    Check("unique", "event_id"),
+    *[Check("not_null", c) for c in ("event_id", "openaq_locations_id", "openaq_sensors_id", "datetime_utc", "value", "source",
+                                     "source_version", "event_type", "ingested_at_dtz")],
+    Check("between", "value_normalized", 0, None),
+    Check("in_set", "is_valid", values=(True, False)),
+    Check("in_set", "quality_status", values=("negative_value", "missing_value", "non_numeric_value"))]
 
 
 def suite_verdict(results: DataFrame) -> DataFrame:
-    """Per table: overall success and the list of failed checks (one small
-    aggregate over the results table)."""
+    """Per table: overall success and the failed checks, sorted and comma-joined (one
+    small aggregate over the results table)."""
     return results.groupBy("table_name").agg(
         F.min(F.col("success").cast("int")).cast("boolean").alias("success"),
-        F.collect_list(F.when(~F.col("success"), F.concat_ws(":", "check", "column_name"))).alias("failed"))
+        F.array_join(F.array_sort(F.collect_list(F.when(~F.col("success"), F.concat_ws(":", "check", "column_name")))), ",").alias("failed"))

@@ -27,7 +27,7 @@ from envlake.operators.scd2 import scd2_step
 from envlake.operators.upsert import ORDER_COL, upsert_by_key
 from envlake.operators.validate import EventSpec, validate
 from envlake.plans import driver_tables as D
-from envlake.plans import ingest_bindings
+from envlake.plans import ingest_bindings, suite_bindings
 from envlake.plans import marts as M
 from envlake.sources.nws import periods_to_events
 from envlake.sources.openaq import sensor_map
@@ -655,4 +655,5 @@ QUERIES = {
     "backfill_flags": backfill_flags,
     "stream_replay": stream_replay,
     **ingest_bindings.QUERIES,
+    **suite_bindings.QUERIES,
 }

@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 
 def backfill_quality(df: DataFrame) -> DataFrame:
     """Add ``value_normalized / is_valid / quality_status`` when absent and
-    recompute them from ``value`` where any of the three is NULL. Idempotent:
-    a second run changes nothing (recomputed rows hold no NULL flag)."""
+    recompute them from ``value`` where any of the three is NULL (a valid value's
+    status is NULL, so valid rows are recomputed each time, to the same result)."""
     for c, t in (("value_normalized", "double"), ("is_valid", "boolean"), ("quality_status", "string")):
         if c not in df.columns:
             df = df.withColumn(c, F.lit(None).cast(t))

@@ -8,6 +8,7 @@ DuckDB would otherwise use DECIMAL arithmetic.
 from __future__ import annotations
 
 from envlake.plans.ingest_bindings import ORACLE_SQL as INGEST_SQL
+from envlake.plans.suite_bindings import ORACLE_SQL as SUITE_SQL
 
 # Coordinates from keys (same integer arithmetic as driver_tables.py).
 C_LAT = "(40.0::DOUBLE + CAST((c_custkey * 7919) % 5000 AS DOUBLE) / 10000.0::DOUBLE)"
@@ -631,4 +632,5 @@ ORACLE_SQL = {
     "backfill_flags": BACKFILL_FLAGS,
     "stream_replay": STREAM_REPLAY,
     **INGEST_SQL,
+    **SUITE_SQL,
 }
