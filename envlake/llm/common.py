@@ -51,6 +51,12 @@ def row_key(df: DataFrame) -> list[Column]:
     return [F.xxhash64(F.lit(s), nulls, *cols).alias(f"__row{s}") for s in (1, 2)]
 
 
+def whole_rows(df: DataFrame) -> DataFrame:
+    """``__doc`` (the row as a struct) and its key ``__row1, __row2``: no column of
+    ``df`` can clash with a name used on the way; ``__doc.*`` gives it back."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__doc"), *row_key(df))
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Components of an undirected graph given as long columns ``src, dst``.
 

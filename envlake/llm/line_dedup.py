@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from envlake.llm.common import row_key, small_batches, staged
+from envlake.llm.common import row_key, small_batches, staged, whole_rows
 
 UNITS = {"line": re.compile(r"\n"), "paragraph": re.compile(r"\n[ \t\r]*(?:\n[ \t\r]*)+")}
 #: Shorter units are left alone: license lines, headings and other common short
@@ -107,7 +107,7 @@ def dedup_units(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS,
     lost = repeated_units(docs, unit, min_words, id_col, text_col)
     # One document's own spans, bounded by its text.
     per = lost.groupBy("__row1", "__row2").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("__cut"))
-    keyed = docs.select("*", *row_key(docs))
+    keyed = whole_rows(docs)
     copies = keyed.groupBy("__row1", "__row2").count().where("count > 1").select("__row1", "__row2")
     joined = keyed.join(per, ["__row1", "__row2"], "left")
     if copies.isEmpty():
@@ -127,7 +127,7 @@ def dedup_units(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, spans = [], []
-            for text, cut, copy in zip(b.column(at).to_pylist(), b.column("__cut").to_pylist(), b.column("__copy").to_pylist()):
+            for text, cut, copy in zip(b.column(at).to_pylist(), b.column(len(names)).to_pylist(), b.column(len(names) + 1).to_pylist()):
                 if text is None:
                     texts.append(None)
                     spans.append([])
@@ -148,4 +148,4 @@ def dedup_units(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS,
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
                        + ["kept_spans array<struct<start:bigint,end:bigint>>"])
-    return joined.select(*[F.col(f"`{c}`") for c in names], "__cut", "__copy").mapInArrow(run, schema)
+    return joined.select("__doc.*", "__cut", "__copy").mapInArrow(run, schema)

@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from envlake.llm.common import row_key, staged
+from envlake.llm.common import row_key, staged, whole_rows
 
 PERIOD = 1000
 BLOCK_CHARS = 20_000
@@ -126,12 +126,10 @@ def mix(docs: DataFrame, weights: Mapping | None = None, block_chars: int = BLOC
     # Identical rows keep one place each: they are numbered apart.
     same = rows.groupBy("source", "__row1", "__row2").agg(F.first("__id").alias("__id"), F.first("size").alias("size"), F.count("*").alias("n"))
     n = rows.count()
-    buckets = 1
-    while buckets * bucket_rows < n:
-        buckets *= 2
-    # The order in a source is that of the row's digest; a bucket is a range of it.
-    bits = buckets.bit_length() - 1
-    bucket = F.expr(f"shiftrightunsigned(__row1, {64 - bits})") if bits else F.lit(0).cast("long")
+    bits = max(1, (-(-n // bucket_rows) - 1).bit_length())
+    # The order in a source is that of the row's digest taken as unsigned; a bucket is
+    # a range of it (and holds one sign, so signed order serves within it).
+    bucket = F.expr(f"shiftrightunsigned(__row1, {64 - bits})")
     same = staged(same.withColumn("bucket", bucket), "rows")
     sums = same.groupBy("source", "bucket").agg(F.sum(F.col("size") * F.col("n")).alias("sum"))
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -172,11 +170,8 @@ def mixed(docs: DataFrame, weights: Mapping | None = None, block_chars: int = BL
           id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """Every row of ``docs`` with its columns, in mixed order: partitions are ranges
     of the order and sorted, so files written from it follow each other."""
-    names = docs.columns
     at = mix(docs, weights, block_chars, period, id_col=id_col, text_col=text_col, source_col=source_col)
     # Identical rows stay side by side: the first one's place counts.
     first = at.groupBy("__row1", "__row2").agg(F.min(F.struct("slot", "place", "source")).alias("__at"))
-    one, two = row_key(docs)
-    placed = docs.withColumns({"__row1": one, "__row2": two}).join(first, ["__row1", "__row2"])
-    return (placed.repartitionByRange("__at", "__row1").sortWithinPartitions("__at", "__row1")
-            .select(*[F.col(f"`{c}`") for c in names]))
+    placed = whole_rows(docs).join(first, ["__row1", "__row2"])
+    return placed.repartitionByRange("__at", "__row1").sortWithinPartitions("__at", "__row1").select("__doc.*")

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from envlake.llm.common import connected_components, row_key, small_batches, staged
+from envlake.llm.common import connected_components, row_key, small_batches, staged, whole_rows
 
 SEED = 42
 _LOW = np.uint64(0xFFFFFFFF)
@@ -262,7 +262,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     first = nodes.join(classes, "fp").groupBy("component").agg(F.min("first").alias("first"))
     kept = first.select("first.__row1", "first.__row2")
     copies = (fps.join(kept, ["__row1", "__row2"]).groupBy("__row1", "__row2").count().where("count > 1"))
-    stay = docs.withColumns({"__row1": one, "__row2": two}).join(kept, ["__row1", "__row2"], "left_semi")
+    stay = whole_rows(docs).join(kept, ["__row1", "__row2"], "left_semi")
     if not copies.isEmpty():
         stay = stay.dropDuplicates(["__row1", "__row2"])
-    return stay.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return stay.select("__doc.*")
