@@ -132,7 +132,8 @@ def select_features(pos: list[bytes], unl: list[bytes], prior: float, most: int,
         share.append(n)
     (np_, nu), (cp, cu) = (len(pos), len(unl)), share
     p, u = cp / np_, (cu + 1) / (nu + 2)
-    z = (p - u) / np.sqrt(u * (1 - u) * (1 / np_ + 1 / nu))
+    both = (cp + cu + 1) / (np_ + nu + 2)
+    z = (p - u) / np.sqrt(both * (1 - both) * (1 / np_ + 1 / nu))
     low = p - np.sqrt(p * (1 - p) / np_)
     high = u + np.sqrt(u * (1 - u) / nu)
     z[(cp < 5) | (prior * low < least_posterior * high) | (z < least_z)] = 0
