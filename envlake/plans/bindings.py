@@ -27,7 +27,7 @@ from envlake.operators.scd2 import scd2_step
 from envlake.operators.upsert import ORDER_COL, upsert_by_key
 from envlake.operators.validate import EventSpec, validate
 from envlake.plans import driver_tables as D
-from envlake.plans import ingest_bindings, suite_bindings
+from envlake.plans import ingest_bindings, openaq_bindings, suite_bindings
 from envlake.plans import marts as M
 from envlake.sources.nws import periods_to_events
 from envlake.sources.openaq import sensor_map
@@ -271,15 +271,6 @@ def parallel_arrays(spark, d):
         .select("vec_id", "pos", F.col("v1").cast("double").alias("v1"), F.col("v2").cast("double").alias("v2"))
 
 
-# ------------------------------------------------------ C9-C12, C18-C21
-def nested_envelope(spark, d):
-    from envlake.sources.openaq import build_envelopes, unpack_envelopes
-    o = T(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    li = T(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
-    env = build_envelopes(o, li, "o_orderkey", "l_orderkey")
-    return unpack_envelopes(env, "o_orderkey")
-
-
 # ------------------------------------------------------- C3, C4, C14-C17
 def flatten_quantities(spark, d):
     p = T(spark, d, "part")
@@ -628,7 +619,6 @@ QUERIES = {
     "time_parse_mixed": time_parse_mixed,
     "event_ids": event_ids,
     "parallel_arrays": parallel_arrays,
-    "nested_envelope": nested_envelope,
     "flatten_quantities": flatten_quantities,
     "sensor_map_dedupe": sensor_map_dedupe,
     "nearest_top1": nearest_top1,
@@ -656,4 +646,5 @@ QUERIES = {
     "stream_replay": stream_replay,
     **ingest_bindings.QUERIES,
     **suite_bindings.QUERIES,
+    **openaq_bindings.QUERIES,
 }

@@ -8,6 +8,7 @@ DuckDB would otherwise use DECIMAL arithmetic.
 from __future__ import annotations
 
 from envlake.plans.ingest_bindings import ORACLE_SQL as INGEST_SQL
+from envlake.plans.openaq_bindings import ORACLE_SQL as OPENAQ_SQL
 from envlake.plans.suite_bindings import ORACLE_SQL as SUITE_SQL
 
 # Coordinates from keys (same integer arithmetic as driver_tables.py).
@@ -321,11 +322,6 @@ SELECT vec_id, CAST(i - 1 AS INTEGER) AS pos, CAST(embedding[i] AS DOUBLE) AS v1
        CASE WHEN i <= 40 THEN CAST(embedding[i] AS DOUBLE) END AS v2
 FROM (SELECT vec_id, embedding, generate_subscripts(embedding, 1) AS i FROM embeddings)"""
 
-NESTED_ENVELOPE = """
-SELECT o_orderkey, o_custkey, o_orderstatus, 'tpch' AS source, '1' AS source_version,
-       l_linenumber, l_partkey, l_quantity
-FROM orders JOIN lineitem ON o_orderkey = l_orderkey"""
-
 _START = "(TIMESTAMP '2024-01-01 00:00:00' + INTERVAL 1 HOUR * (p_partkey % 1000))"
 FLATTEN_QUANTITIES = f"""
 SELECT p_partkey,
@@ -605,7 +601,6 @@ ORACLE_SQL = {
     "time_parse_mixed": TIME_PARSE_MIXED,
     "event_ids": EVENT_IDS,
     "parallel_arrays": PARALLEL_ARRAYS,
-    "nested_envelope": NESTED_ENVELOPE,
     "flatten_quantities": FLATTEN_QUANTITIES,
     "sensor_map_dedupe": SENSOR_MAP_DEDUPE,
     "nearest_top1": NEAREST_TOP1,
@@ -633,4 +628,5 @@ ORACLE_SQL = {
     "stream_replay": STREAM_REPLAY,
     **INGEST_SQL,
     **SUITE_SQL,
+    **OPENAQ_SQL,
 }
