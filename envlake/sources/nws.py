@@ -64,7 +64,7 @@ def periods_to_events(df: DataFrame, raw_col: str = "raw", meta_col: str = "meta
 def event_to_record(ev: DataFrame, zero_is_null: bool = False, keep_cols: tuple = ()) -> DataFrame:
     """NWS event -> ``stg.weather_hourly_forecast`` record: times parsed to UTC,
     fallback id, numbers coerced. Adds ``error`` (first failing guard)."""
-    from envlake.functions.coerce import strict_float
+    from envlake.functions.coerce import strict_float, strict_float_error
     from envlake.functions.ids import fallback_id
     st, st_err = parse_utc("start_time", ev.schema["start_time"].dataType)
     en, en_err = parse_utc("end_time", ev.schema["end_time"].dataType)
@@ -75,8 +75,11 @@ def event_to_record(ev: DataFrame, zero_is_null: bool = False, keep_cols: tuple
         for c in (b, f"{b}_min", f"{b}_max"):
             nums.append(strict_float(c, ev.schema[c].dataType, zero_is_null=zero_is_null).alias(c))
         nums.append(F.col(f"{b}_unit"))
-    err = (F.when(st.isNull(), F.lit("missing:start_time")).when(st_err, F.lit("type:start_time"))
+    err = (F.when(st_err, F.lit("type:start_time")).when(st.isNull(), F.lit("missing:start_time"))
            .when(en_err, F.lit("type:end_time")))
+    for q in QUANT_FIELDS:
+        for c in (snake_case_name(q), f"{snake_case_name(q)}_min", f"{snake_case_name(q)}_max"):
+            err = err.when(strict_float_error(c, ev.schema[c].dataType), F.lit(f"type:{c}"))
     return ev.select(
         *keep_cols, fallback_id("event_id", "grid_id", "grid_x", "grid_y", "start_time").alias("event_id"),
         "event_type", "source", "office", "grid_id", "grid_x", "grid_y", st.alias("start_time"),

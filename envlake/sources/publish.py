@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -18,9 +18,11 @@ def to_messages(df: DataFrame, key_col: str | None, value_cols: Sequence[str], t
     return df.select(key.alias("key"), value.alias("value"), F.lit(topic).alias("topic"))
 
 
-def write_messages(msgs: DataFrame, path_or_servers: str, fmt: str = "json", topic: str | None = None) -> None:
+def write_messages(msgs: DataFrame, path_or_servers: str, fmt: str = "json", topic: str | None = None) -> int:
     """Write messages to Kafka (``fmt='kafka'``, needs the connector on the
-    classpath) or to JSON-lines files with the same columns."""
+    classpath) or to JSON-lines files with the same columns; returns how many."""
+    sent = Observation()
+    msgs = msgs.observe(sent, F.count(F.lit(1)).alias("n"))
     if fmt == "kafka":
         w = msgs.write.format("kafka").option("kafka.bootstrap.servers", path_or_servers)
         if topic:
@@ -28,3 +30,4 @@ def write_messages(msgs: DataFrame, path_or_servers: str, fmt: str = "json", top
         w.save()
     else:
         msgs.write.mode("append").json(path_or_servers)
+    return sent.get["n"]

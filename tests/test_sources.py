@@ -1,128 +1,192 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from envlake.operators.validate import parse_message
 from envlake.sources import airnow, nws, open_meteo, openaq
-from envlake.sources.publish import to_messages
-
-INGEST = dt.datetime(2024, 1, 1, 12, 0, 0)
-
-
-def test_nws_periods_flatten(spark):
-    period = {"startTime": "2024-01-01T00:00:00-06:00", "endTime": "2024-01-01T01:00:00-06:00", "isDaytime": False,
-              "windSpeed": {"value": 10, "minValue": 5, "maxValue": 12, "unitCode": "degC"},
-              "temperature": None}
-    raw = json.dumps({"properties": {"periods": [period, dict(period, startTime="2024-01-01T01:00:00-06:00")]}})
-    df = spark.createDataFrame([(raw, ("MKX", 10, 20, "MKX"), INGEST)],
-                               T.StructType([T.StructField("raw", T.StringType()), T.StructField("meta", nws.META),
-                                             T.StructField("ingest_dt", T.TimestampType())]))
-    ev = nws.periods_to_events(df).orderBy("start_time").collect()
-    assert len(ev) == 2
-    e = ev[0]
-    assert (e.wind_speed, e.wind_speed_min, e.wind_speed_max, e.wind_speed_unit) == (10.0, 5.0, 12.0, "degC")
-    assert e.temperature is None and e.temperature_unit is None
-    assert e.event_id.startswith("MKX:10,20:")
-    assert e.ingested_at == "2024-01-01T12:00:00Z"
-    rec = nws.event_to_record(nws.periods_to_events(df)).orderBy("start_time").first()
-    assert rec.start_time == dt.datetime(2024, 1, 1, 6, 0) and rec.error is None
-
-
-def _om_payload(with_current=True, short=False):
-    hourly = {"time": ["2024-01-01T00:00", "2024-01-01T01:00"], "temperature_2m": [1.5, 2.5],
-              "precipitation_probability": [10] if short else [10, 20], "is_day": [0, 1]}
-    units = {"temperature_2m": "°C", "precipitation_probability": "%", "is_day": None}
-    raw = {"hourly": hourly, "hourly_units": units}
-    if with_current:
-        raw["current"] = {"time": "2024-01-01T00:15", "temperature_2m": 1.7, "is_day": 0}
-        raw["current_units"] = {"temperature_2m": "°C"}
-    return raw
-
-
-OM_SCHEMA = T.StructType([
-    T.StructField("hourly", T.StructType([T.StructField("time", T.ArrayType(T.StringType())),
-                                          T.StructField("temperature_2m", T.ArrayType(T.DoubleType())),
-                                          T.StructField("precipitation_probability", T.ArrayType(T.LongType())),
-                                          T.StructField("is_day", T.ArrayType(T.LongType()))])),
-    T.StructField("hourly_units", T.StructType([T.StructField("temperature_2m", T.StringType()),
-                                                T.StructField("precipitation_probability", T.StringType()),
-                                                T.StructField("is_day", T.StringType())])),
-    T.StructField("current", T.StructType([T.StructField("time", T.StringType()),
-                                           T.StructField("temperature_2m", T.DoubleType()),
-                                           T.StructField("is_day", T.LongType())])),
-    T.StructField("current_units", T.StructType([T.StructField("temperature_2m", T.StringType())]))])
-
-
-def _om_df(spark, raw, tz="America/Chicago"):
-    return (spark.createDataFrame([(json.dumps(raw), 43.07, -89.4, tz, INGEST)],
-                                  "raw string, latitude double, longitude double, timezone string, ingest_dt timestamp")
-            .withColumn("raw", F.from_json("raw", OM_SCHEMA)))
-
-
-def test_open_meteo_weather_events(spark):
-    ev = open_meteo.payload_events(_om_df(spark, _om_payload()), "weather").collect()
-    assert len(ev) == 3 and ev[0].record_type == "current"
-    hourly = [e for e in ev if e.record_type == "forecast"]
-    assert hourly[0].precipitation_prob == 10 and hourly[0].open_meteo_start_time == "2024-01-01T06:00:00Z"
-    assert hourly[0].open_meteo_end_time == "2024-01-01T07:00:00Z" and hourly[1].is_day is True
-    assert ev[0].open_meteo_end_time == "2024-01-01T06:30:00Z"
-    assert all(e.open_meteo_start_time.endswith("Z") for e in ev)
-
-
-def test_open_meteo_short_array_and_no_current(spark):
-    raw = _om_payload(with_current=False, short=True)
-    ev = open_meteo.payload_events(_om_df(spark, raw), "weather").orderBy("open_meteo_start_time").collect()
-    assert len(ev) == 2 and ev[1].precipitation_prob is None
-
-
-def test_airnow_items(spark):
-    items = [{"ReportingArea": "Madison", "DateIssue": "2024-01-01", "DateForecast": "2024-01-02",
-              "Category": {"Number": 2, "Name": "Moderate"}, "ActionDay": "true", "AQI": 55},
-             {"DateIssue": "2024-01-01", "DateForecast": "2024-01-02", "ActionDay": False, "AQI": "x"},
-             {"DateIssue": "2024-01-01", "DateForecast": "2024-01-03", "ActionDay": False}]
-    df = spark.createDataFrame([(json.dumps(items),), ("[]",)], "items string")
-    ev, rej = airnow.items_to_events(df)
-    ev = ev.orderBy("item_pos").collect()
-    assert ev[0].event_id == "airnow:Madison:2024-01-01:2024-01-02" and ev[0].action_day is True
-    assert ev[1].reporting_area == "unknown" and ev[1].action_day is False
-    assert [r.error for r in rej.collect()] == ["type:AQI"]
-
-
-def test_openaq_sensor_map_and_envelope(spark):
-    s = spark.createDataFrame([(1, "10", 0, "pm25"), (1, None, 1, "x"), (1, "11", 2, "o3"), (1, "10", 3, "pm10")],
-                              "loc int, id string, pos int, param string")
-    m = {r.id: (r.param, r.first_pos) for r in openaq.sensor_map(s, "loc", "id", "pos", ["param"]).collect()}
-    assert m == {"10": ("pm10", 0), "11": ("o3", 2)}
-    parent = spark.createDataFrame([("5", "loc5"), ("bad", "x")], "id string, name string")
-    kids = spark.createDataFrame([("5", 1, 1.0), ("5", 2, 2.0), ("bad", 3, 3.0)], "pid string, sensor int, v double")
-    env = openaq.build_envelopes(parent, kids, "id", "pid")
-    assert sorted(env.columns) == ["latest", "location", "meta"]
-    rows = openaq.unpack_envelopes(env, "id").collect()
-    assert sorted((r.id, r.sensor) for r in rows) == [("5", 1), ("5", 2)]
-    assert [r.location.id for r in openaq.envelope_errors(env, "id").collect()] == ["bad"]
+from envlake.sources.publish import to_messages, write_messages
 
+FETCHED = dt.datetime(2025, 7, 9, 18, 30, 45, 250_000)
+NWS_SCHEMA = T.StructType([T.StructField("raw", T.StringType()), T.StructField("meta", nws.META), T.StructField("ingest_dt", T.TimestampType())])
 
-def test_nearest_location_zero_distance_is_real(spark):
-    c = spark.createDataFrame([(1, 7, 0.0), (1, 8, 5.0), (1, 9, None), (2, 3, None)], "req int, id int, distance double")
-    got = {r.req: r.id for r in openaq.nearest_location(c, "req").collect()}
-    assert got == {1: 7, 2: 3}
+
+def quantity(value, low=None, high=None, unit="wmoUnit:percent"):
+    return {"value": value, "minValue": low, "maxValue": high, "unitCode": unit}
+
+
+def nws_frame(spark, periods, meta=("ZZT", 3, 88, "ZZT")):
+    raw = json.dumps({"properties": {"periods": periods}}) if periods is not None else json.dumps({"properties": {}})
+    return spark.createDataFrame([(raw, meta, FETCHED)], NWS_SCHEMA)
+
+
+def test_nws_quantities_become_four_columns(spark):
+    hour = {"startTime": "2025-07-09T14:00:00+05:30", "endTime": "2025-07-09T15:00:00+05:30", "isDaytime": True,
+            "relativeHumidity": quantity(71.5, 70, 73), "dewpoint": quantity(0, unit="wmoUnit:degC"), "windGust": None,
+            "probabilityOfPrecipitation": {"value": 5, "unitCode": "wmoUnit:percent"}, "unknownField": {"x": 1}}
+    later = {**hour, "startTime": "2025-07-09T15:00:00+05:30", "endTime": "2025-07-09T16:00:00+05:30", "relativeHumidity": quantity(None)}
+    first, second = nws.periods_to_events(nws_frame(spark, [hour, later])).orderBy("start_time").collect()
+    assert (first.relative_humidity, first.relative_humidity_min, first.relative_humidity_max, first.relative_humidity_unit) == (71.5, 70.0, 73.0, "wmoUnit:percent")
+    assert (first.dewpoint, first.dewpoint_unit, first.dewpoint_max) == (0.0, "wmoUnit:degC", None)
+    assert (first.wind_gust, first.wind_gust_unit, first.temperature) == (None, None, None)
+    assert second.relative_humidity is None and second.relative_humidity_unit == "wmoUnit:percent"
+    assert first.event_id == "ZZT:3,88:2025-07-09T14:00:00+05:30-2025-07-09T15:00:00+05:30"
+    assert first.ingested_at == "2025-07-09T18:30:45Z"
+
+
+def test_nws_without_periods_or_grid(spark):
+    assert nws.periods_to_events(nws_frame(spark, None)).count() == 0
+    assert nws.periods_to_events(nws_frame(spark, [])).count() == 0
+    r = nws.periods_to_events(nws_frame(spark, [{"startTime": "2025-07-09T00:00:00Z"}], meta=(None, None, 4, None))).first()
+    assert r.event_id.startswith("unknown:unknown,4:") and r.end_time is None
 
 
-def test_publish_keeps_null_fields(spark):
-    df = spark.createDataFrame([(None, "a")], "id int, name string")
-    r = to_messages(df, "id", ["id", "name"], "t").first()
-    assert r.key == "unknown" and r.value == '{"id":null,"name":"a"}'
+def test_nws_record_flags_bad_values(spark):
+    ev = nws.periods_to_events(nws_frame(spark, [{"startTime": "2025-07-09T14:00:00+05:30", "endTime": "2025-07-09T15:00:00Z", "windSpeed": quantity(12)},
+                                                 {"startTime": "noon", "endTime": "2025-07-09T15:00:00Z"}, {"endTime": "2025-07-09T15:00:00Z"}]))
+    got = {r.error: r for r in nws.event_to_record(ev).collect()}
+    assert got[None].start_time == dt.datetime(2025, 7, 9, 8, 30) and got[None].wind_speed == 12.0
+    assert set(got) == {None, "type:start_time", "missing:start_time"}
+    text = ev.withColumn("wind_speed", F.lit("brisk"))
+    assert {r.error for r in nws.event_to_record(text.where("start_time like '2025%'")).collect()} == {"type:wind_speed"}
+
+
+AIR_HOURS = {"time": ["2025-03-30T01:00", "2025-03-30T03:00", "2025-03-30T04:00"], "pm10": [12.25, None, 14.0], "ozone": [60.0, 61.0]}
+AIR_SCHEMA = T.StructType([
+    T.StructField("hourly", T.StructType([T.StructField("time", T.ArrayType(T.StringType())), T.StructField("pm10", T.ArrayType(T.DoubleType())),
+                                          T.StructField("ozone", T.ArrayType(T.DoubleType()))])),
+    T.StructField("hourly_units", T.StructType([T.StructField("pm10", T.StringType())])),
+    T.StructField("current", T.StructType([T.StructField("time", T.StringType()), T.StructField("ozone", T.DoubleType())])),
+    T.StructField("current_units", T.StructType([T.StructField("ozone", T.StringType())]))])
+
+
+def air_frame(spark, payload):
+    return (spark.createDataFrame([(json.dumps(payload), 52.5, 13.375, "Europe/Berlin", FETCHED)],
+                                  "raw string, latitude double, longitude double, timezone string, ingest_dt timestamp")
+            .withColumn("raw", F.from_json("raw", AIR_SCHEMA)))
+
+
+def test_open_meteo_hours_are_local_and_arrays_may_be_short(spark):
+    """The clock goes forward between the first two hours; ozone has no third value."""
+    ev = open_meteo.payload_events(air_frame(spark, {"hourly": AIR_HOURS, "hourly_units": {"pm10": "ug"}}), "air_quality").orderBy("open_meteo_start_time").collect()
+    assert [e.open_meteo_start_time for e in ev] == ["2025-03-30T00:00:00Z", "2025-03-30T01:00:00Z", "2025-03-30T02:00:00Z"]
+    assert [e.open_meteo_end_time for e in ev][0] == "2025-03-30T01:00:00Z"
+    assert [(e.pm10, e.ozone, e.us_aqi) for e in ev] == [(12.25, 60.0, None), (None, 61.0, None), (14.0, None, None)]
+    assert {(e.pm10_unit, e.ozone_unit, e.record_type, e.record_frequency_min) for e in ev} == {("ug", None, "forecast", 60)}
+    assert ev[0].event_id == "open-meteo:air_quality:forecast:52.5000:13.3750:2025-03-30T00:00:00Z"
+
+
+def test_open_meteo_current_lasts_a_quarter_hour(spark):
+    now = {"time": "2025-07-09T20:15", "ozone": 88.5}
+    both = open_meteo.payload_events(air_frame(spark, {"hourly": AIR_HOURS, "hourly_units": {}, "current": now, "current_units": {"ozone": "ug"}}), "air_quality")
+    cur = both.where("record_type = 'current'").collect()
+    assert [(c.open_meteo_start_time, c.open_meteo_end_time, c.ozone, c.ozone_unit, c.pm10) for c in cur] == [
+        ("2025-07-09T18:15:00Z", "2025-07-09T18:30:00Z", 88.5, "ug", None)]
+    assert both.count() == 4
+    assert open_meteo.payload_events(air_frame(spark, {"hourly": {"time": []}, "hourly_units": {}}), "air_quality").count() == 0
+
+
+def test_open_meteo_routes_and_records(spark):
+    ev = open_meteo.payload_events(air_frame(spark, {"hourly": AIR_HOURS, "hourly_units": {}}), "air_quality")
+    blank = ev.limit(1).withColumns({"data_kind": F.lit(""), "record_type": F.lit("air_quality")})
+    tide = ev.limit(1).withColumn("data_kind", F.lit("tide"))
+    none = ev.limit(1).withColumns({"data_kind": F.lit(None).cast("string"), "record_type": F.lit(None).cast("string")})
+    w, a, bad = open_meteo.route_by_kind(ev.unionByName(blank).unionByName(tide).unionByName(none))
+    assert (w.count(), a.count(), bad.count()) == (0, 4, 2)
+    rec = open_meteo.event_to_record(a, "air_quality")
+    assert rec.where("error is not null").count() == 0
+    assert rec.agg(F.min("open_meteo_start_time")).first()[0] == dt.datetime(2025, 3, 30, 0, 0)
+    lost = open_meteo.event_to_record(a.withColumn("latitude", F.lit(None).cast("double")), "air_quality")
+    assert {r.error for r in lost.collect()} == {"missing:coordinates"}
+
+
+def test_airnow_items_and_bodies(spark):
+    good = {"ReportingArea": "North Shore", "DateIssue": "2025-07-09", "DateForecast": "2025-07-10 ", "AQI": "101", "ActionDay": "TRUE",
+            "Category": {"Number": 3, "Name": "Unhealthy for Sensitive Groups"}, "Latitude": -33.8}
+    items = [good, "foo", 5, None, [good], {**good, "AQI": 1.5}, {**good, "Category": {"Number": "three"}},
+             {"DateIssue": "2025-07-09", "ActionDay": "maybe"}, {"ReportingArea": "B", "ActionDay": False}]
+    bodies = [json.dumps(items), "[]", "not json", '{"ReportingArea": "x"}', json.dumps([good])[:-4], json.dumps([good]) + " tail", None]
+    df = spark.createDataFrame(list(enumerate(bodies)), "n int, items string")
+    events, rejected = airnow.items_to_events(df, keep_cols=("n",))
+    ev = {r.item_pos: r for r in events.collect()}
+    assert sorted(ev) == [0, 7, 8]
+    assert ev[0].event_id.startswith("airnow:NorthShore:2025-07-09:2025-07-10") and (ev[0].aqi, ev[0].category_number, ev[0].action_day) == (101, 3, True)
+    assert (ev[7].reporting_area, ev[7].action_day, ev[7].aqi) == ("unknown", False, None) and ev[8].action_day is False
+    assert json.loads(ev[0].raw_data) == good
+    bad = sorted((r.n, r.item_pos, r.error) for r in rejected.collect())
+    assert bad == [(0, 1, "malformed_item"), (0, 2, "malformed_item"), (0, 3, "malformed_item"), (0, 4, "malformed_item"), (0, 5, "type:AQI"),
+                   (0, 6, "type:Category.Number"), *[(n, -1, "malformed_body") for n in (2, 3, 4, 5, 6)]]
+
+
+def test_parse_message_wants_one_whole_value(spark):
+    texts = ['{"a":1}', " [1, 2] ", "3", '"s"', '{"a":1} x', '{"a":', "", "1, 2", None]
+    got = spark.createDataFrame(list(enumerate(texts)), "i int, value string").select("i", parse_message(F.col("value")).isNotNull().alias("ok")).collect()
+    assert [r.ok for r in sorted(got)] == [True] * 4 + [False] * 5
+
+
+def test_sensor_map_keeps_last_values_and_first_place(spark):
+    s = spark.createDataFrame([("A", "7", 0, "no2"), ("A", "", 1, "x"), ("A", "9", 2, "so2"), ("A", None, 3, "x"), ("A", "7", 4, "no"), ("B", "7", 0, "co")],
+                              "place string, id string, pos int, param string")
+    got = {(r.place, r.id): (r.param, r.first_pos) for r in openaq.sensor_map(s, "place", "id", "pos", ["param"]).collect()}
+    assert got == {("A", "7"): ("no", 0), ("A", "9"): ("so2", 2), ("B", "7"): ("co", 0)}
+
+
+def envelope(**over):
+    base = {"location": {"id": "41", "name": "Pier", "country": {"id": 9, "code": "NZ"}, "coordinates": {"latitude": -41.3, "longitude": 174.8}},
+            "licenses": [{"openaq_license_id": "12", "name": "open", "commercial_use_allowed": True, "license_attribution_name": "Council", "license_date_from": "2020-02-03"}],
+            "sensors": [{"id": "501", "parameter": {"id": 2, "name": "pm25", "displayName": "PM2.5", "units": "ug"}}, {"id": 502}],
+            "latest": {"results": [{"locationsId": 41, "sensorsId": 501, "datetime": {"utc": "2025-07-09T18:00:00Z"}, "value": -1.0}]},
+            "meta": {"source": "openaq", "version": "v3"}}
+    return json.dumps({**base, **over})
+
+
+def test_envelopes_are_taken_or_refused_whole(spark):
+    result = {"locationsId": 41, "sensorsId": 501, "datetime": {"utc": "2025-07-09T18:00:00Z"}, "value": 2.0}
+    cases = [(envelope(), None), (envelope(licenses=None, sensors=None, latest=None), None),
+             (envelope(location={"id": "4x"}), "invalid:location.id"), (envelope(location={}), "invalid:location.id"), ("{", "invalid:location.id"),
+             (envelope(licenses=[{"openaq_license_id": None}]), "invalid:license.id"), (envelope(sensors=[{"id": "501"}, {"id": "a"}]), "invalid:sensor.id"),
+             (envelope(latest={"results": [result, {**result, "sensorsId": 0}]}), "missing:openaq_sensors_id"),
+             (envelope(latest={"results": [{**result, "locationsId": None}]}), "missing:openaq_locations_id"),
+             (envelope(latest={"results": [{**result, "datetime": {}}]}), "missing:datetime_utc")]
+    got = openaq.parse_envelopes(spark.createDataFrame([(i, v) for i, (v, _) in enumerate(cases)], "n int, value string"))
+    assert {r.n: r.error for r in got.collect()} == {i: e for i, (_, e) in enumerate(cases)}
+    ok = got.where("error is null")
+    loc = {r.n: r for r in openaq.location_rows(ok, ["n"]).collect()}
+    assert (loc[0].openaq_locations_id, loc[0].country_code, loc[0].owner_id, loc[0].latitude) == (41, "NZ", None, -41.3)
+    lic = openaq.license_rows(ok, ["n"]).collect()
+    assert [(r.n, r.openaq_license_id, r.license_date_from_dtz, r.attribution_required) for r in lic] == [(0, 12, dt.datetime(2020, 2, 3), None)]
+    assert [(r.pos, r.openaq_sensors_id, r.parameter_name) for r in openaq.sensor_rows(ok, ["n"]).collect()] == [(0, 501, "pm25"), (1, 502, None)]
+    m = openaq.measurement_rows(ok, ["n"]).collect()
+    assert [(r.event_id, r.is_valid, r.quality_status) for r in m] == [("41:501:openaq.locations.latest:2025-07-09T18:00:00Z", False, "negative_value")]
+
+
+def test_licenses_are_enriched(spark):
+    lic = spark.createDataFrame([("12", "Council"), ("13", None), ("", "x"), ("0", "x"), (None, "x")], "openaq_license_id string, license_attribution_name string")
+    meta = spark.createDataFrame([("12", "open", True, None)], "openaq_license_id string, name string, commercial_use_allowed boolean, attribution_required boolean")
+    got = {r.openaq_license_id: r for r in openaq.enrich_licenses(lic, meta, attribution=("license_attribution_name",)).collect()}
+    assert set(got) == {"12", "13"}
+    assert (got["12"].name, got["12"].commercial_use_allowed, got["12"].attribution_required, got["12"].share_alike_required) == ("open", True, False, False)
+    assert (got["13"].license_attribution_name, got["13"].name, got["13"].commercial_use_allowed) == ("", None, False)
+
+
+def test_an_oversized_envelope_is_an_error(spark):
+    rows = spark.createDataFrame([("k", i, float(i)) for i in range(20)], "key string, pos int, v double")
+    assert [x["v"] for x in openaq.collect_parts(rows, "key", "pos", "items").first()["items"]] == [float(i) for i in range(20)]
+    with pytest.raises(Exception, match="more than 10 items"):
+        openaq.collect_parts(rows, "key", "pos", "items", max_items=10).collect()
+
+
+def test_nearest_location_zero_distance_is_real(spark):
+    c = spark.createDataFrame([("p", 70, 0.0), ("p", 80, 0.1), ("p", 60, None), ("q", 30, None), ("r", 9, 4.0), ("r", 8, 4.0)], "req string, id int, distance double")
+    assert {r.req: r.id for r in openaq.nearest_location(c, "req").collect()} == {"p": 70, "q": 30, "r": 8}
 
 
-def test_open_meteo_route_and_record(spark):
-    ev = open_meteo.payload_events(_om_df(spark, _om_payload()), "weather")
-    odd = ev.limit(1).withColumn("data_kind", F.lit("")).withColumn("record_type", F.lit("other"))
-    w, a, bad = open_meteo.route_by_kind(ev.unionByName(odd))
-    assert (w.count(), a.count(), bad.count()) == (3, 0, 1)
-    rec = open_meteo.event_to_record(w, "weather").orderBy("open_meteo_start_time").collect()
-    assert rec[0].open_meteo_start_time == dt.datetime(2024, 1, 1, 6, 0)
-    assert all(r.error is None for r in rec) and rec[0].event_id.startswith("open-meteo:weather:")
+def test_publish_keeps_null_fields_and_counts(spark, tmp_path):
+    msgs = to_messages(spark.createDataFrame([(None, "buoy"), (6, None)], "id int, name string"), "id", ["id", "name"], "t")
+    assert {(r.key, r.value) for r in msgs.collect()} == {("unknown", '{"id":null,"name":"buoy"}'), ("6", '{"id":6,"name":null}')}
+    assert write_messages(msgs, str(tmp_path / "out")) == 2 and spark.read.json(str(tmp_path / "out")).count() == 2
 
 
 def test_fixed_suites_run_on_declared_schema(spark):
