@@ -84,12 +84,11 @@ def unique_violations(df: DataFrame, cols: list[str], where: Column | None = Non
 
 
 def accepted_range(df: DataFrame, column: str, min_value=None, max_value=None,
-                   combine: str = "and") -> DataFrame:
-    """Violating rows of the dbt-style ``accepted_range`` test.
+                   combine: str = "or") -> DataFrame:
+    """Rows outside the accepted range: below ``min_value`` or above ``max_value``.
 
-    ``combine='and'`` reproduces the original macro, which ANDs the two bounds
-    (so with both bounds set nothing can violate); ``combine='or'`` is the
-    usual meaning. NULL never violates."""
+    The original macro joins the two conditions with AND, so that with both bounds
+    nothing can violate; ``combine='and'`` gives that. NULL never violates."""
     c = F.col(column)
     conds = []
     if min_value is not None:
@@ -151,6 +150,29 @@ OPENAQ_SUITE = [
     Check("in_set", "quality_status", values=("negative_value", "missing_value", "non_numeric_value"))]
 
 
+# What the staging views and marts declare (range, allowed and unique
+# columns). A range is violated below its low or above its high bound.
+_TEMPERATURE = Check("between", "temperature", -150, 150)
+_OPEN_METEO = (_TEMPERATURE, Check("between", "pm2_5", 0, None), Check("between", "us_aqi", 0, None))
+_VALID = Check("accepted_values", "is_valid", values=(True, False))
+MODEL_CHECKS = {
+    "stg_openaq_measurements_by_location": (Check("unique", "event_id"), Check("not_null", "event_id"), Check("between", "value_clean", 0, None), _VALID),
+    "stg_weather_hourly_forecast": (Check("between", "temperature_clean", -80, 80), Check("between", "relative_humidity_clean", 0, 100),
+                                    Check("between", "probability_of_precipitation_clean", 0, 100), Check("between", "wind_speed_clean", 0, 300), _VALID),
+    "stg_airnow_air_quality_forecast": (Check("between", "aqi_clean", 0, 500), _VALID),
+    "fct_openaq_latest_by_location": (Check("between", "measurement_value", 0, None),),
+    "fct_open_meteo_current_weather_air_conditions": _OPEN_METEO,
+    "fct_open_meteo_latest_weather_air_forecast": _OPEN_METEO,
+    "fct_air_weather_forecast": (Check("between", "latest_measured_pm25", 0, None), Check("between", "latest_measured_relative_humidity", 0, 100),
+                                 _TEMPERATURE, Check("between", "probability_of_precipitation", 0, 100)),
+}
+
+
+def model_checks(name: str, df: DataFrame) -> DataFrame:
+    """The declared checks of a view or mart, on the columns it has."""
+    return run_suite(df, name, [ch for ch in MODEL_CHECKS[name] if ch.column in df.columns])
+
+
 def suite_verdict(results: DataFrame) -> DataFrame:
     """Per table: overall success and the failed checks, sorted and comma-joined (one
     small aggregate over the results table)."""

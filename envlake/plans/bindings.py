@@ -578,6 +578,26 @@ def accepted_range_q(spark, d):
     return Q.accepted_range(c, "c_acctbal", min_value=0).select("c_custkey", "c_acctbal")
 
 
+def accepted_range_both(spark, d):
+    li = T(spark, d, "lineitem")
+    return Q.accepted_range(li, "l_quantity", 5, 45).select("l_orderkey", "l_linenumber", "l_quantity")
+
+
+def model_checks(spark, d):
+    """The declared checks on every staging view and mart bound here."""
+    from envlake.plans.staging import stg_openaq_measurements
+    now = D.events_as_of(spark, d)
+    bound = {
+        "stg_openaq_measurements_by_location": stg_openaq_measurements(D.measurements(spark, d).drop("value_clean")),
+        "stg_weather_hourly_forecast": _stg_weather_from_events(spark, d, now),
+        "stg_airnow_air_quality_forecast": _stg_airnow_from_orders(spark, d, now.date()),
+        "fct_openaq_latest_by_location": _latest(spark, d, now),
+        "fct_open_meteo_current_weather_air_conditions": current_by_location(spark, d),
+        "fct_open_meteo_latest_weather_air_forecast": latest_forecast(spark, d),
+        "fct_air_weather_forecast": daily_hourly_join(spark, d)}
+    return reduce(DataFrame.unionByName, [Q.model_checks(n, df) for n, df in bound.items()])
+
+
 def volume_anomaly(spark, d):
     return Q.volume_anomalies(T(spark, d, "events"), "ts")
 
@@ -641,6 +661,8 @@ QUERIES = {
     "quality_suite": quality_suite,
     "unique_check": unique_check,
     "accepted_range": accepted_range_q,
+    "accepted_range_both": accepted_range_both,
+    "model_checks": model_checks,
     "volume_anomaly": volume_anomaly,
     "backfill_flags": backfill_flags,
     "stream_replay": stream_replay,

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from envlake.plans.ingest_bindings import ORACLE_SQL as INGEST_SQL
 from envlake.plans.openaq_bindings import ORACLE_SQL as OPENAQ_SQL
+from envlake.operators.quality import MODEL_CHECKS
 from envlake.plans.suite_bindings import ORACLE_SQL as SUITE_SQL
+from envlake.plans.suite_bindings import checks_sql
 
 # Coordinates from keys (same integer arithmetic as driver_tables.py).
 C_LAT = "(40.0::DOUBLE + CAST((c_custkey * 7919) % 5000 AS DOUBLE) / 10000.0::DOUBLE)"
@@ -555,6 +557,33 @@ GROUP BY o_custkey, o_orderdate HAVING count(*) > 1"""
 
 ACCEPTED_RANGE = "SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal < 0"
 
+ACCEPTED_RANGE_BOTH = "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_quantity < 5 OR l_quantity > 45"
+
+
+def _model_checks() -> str:
+    head, _, _ = DAILY_HOURLY_JOIN.partition("a AS (SELECT date_forecast_dtz")
+    upto, _, _ = DAILY_HOURLY_JOIN.partition("w AS (SELECT location_id")
+    bad = ("(temperature IS NOT NULL AND (temperature < -80 OR temperature > 80)) OR (relative_humidity IS NOT NULL AND (relative_humidity < 0 "
+           "OR relative_humidity > 100)) OR (probability_of_precipitation IS NOT NULL AND (probability_of_precipitation < 0 OR "
+           "probability_of_precipitation > 100)) OR (wind_speed IS NOT NULL AND (wind_speed < 0 OR wind_speed > 300))")
+    clean = ", ".join(f"CASE WHEN {c} BETWEEN {a} AND {b} THEN {c} END AS {c}_clean" for c, a, b in (
+        ("temperature", -80, 80), ("relative_humidity", 0, 100), ("probability_of_precipitation", 0, 100), ("wind_speed", 0, 300)))
+    m2, _, _ = O1_CTES.partition("lm AS (SELECT")
+    every = m2.replace("FROM m WHERE mtype = 'events.latest'", "FROM m").rstrip().rstrip(",")
+    sql = {
+        "stg_openaq_measurements_by_location": f"WITH {every} SELECT * FROM m2",
+        "stg_weather_hourly_forecast": f"{upto.rstrip().rstrip(',')} SELECT {clean}, NOT ({bad}) AS is_valid FROM w0",
+        "stg_airnow_air_quality_forecast": f"{head.rstrip().rstrip(',')} SELECT *, NOT (aqi_clean IS NOT NULL AND (aqi_clean < 0 OR aqi_clean > 500)) AS is_valid FROM a1",
+        "fct_openaq_latest_by_location": LATEST_BY_LOCATION,
+        "fct_open_meteo_current_weather_air_conditions": CURRENT_BY_LOCATION,
+        "fct_open_meteo_latest_weather_air_forecast": LATEST_FORECAST,
+        "fct_air_weather_forecast": DAILY_HOURLY_JOIN}
+    tables = {n: (q, [ch for ch in MODEL_CHECKS[n] if ch.column != "us_aqi"]) for n, q in sql.items()}
+    return checks_sql(tables) + " SELECT * FROM s"
+
+
+MODEL_CHECKS_SQL = _model_checks()
+
 VOLUME_ANOMALY = """
 WITH c AS (SELECT date_trunc('day', ts) AS bucket, count(*) AS n FROM events GROUP BY 1),
 w AS (SELECT bucket, n, avg(n) OVER win AS m, stddev_samp(n) OVER win AS sd FROM c
@@ -623,6 +652,8 @@ ORACLE_SQL = {
     "quality_suite": QUALITY_SUITE,
     "unique_check": UNIQUE_CHECK,
     "accepted_range": ACCEPTED_RANGE,
+    "accepted_range_both": ACCEPTED_RANGE_BOTH,
+    "model_checks": MODEL_CHECKS_SQL,
     "volume_anomaly": VOLUME_ANOMALY,
     "backfill_flags": BACKFILL_FLAGS,
     "stream_replay": STREAM_REPLAY,

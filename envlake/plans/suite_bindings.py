@@ -65,9 +65,10 @@ def _unexpected_sql(ch: Q.Check) -> str:
     return f"CAST({c} AS VARCHAR) NOT IN (" + ", ".join(f"'{str(v).lower() if isinstance(v, bool) else v}'" for v in ch.values) + ")"
 
 
-def _oracle_results() -> str:
+def checks_sql(tables: dict[str, tuple[str, list[Q.Check]]]) -> str:
+    """``WITH ..., s AS (one row a check)`` over the tables' SQL."""
     parts = []
-    for name, (_, sql, suite) in _SUITES.items():
+    for name, (_, suite) in tables.items():
         for ch in suite:
             bad = (f"(SELECT coalesce(sum(k), 0) FROM (SELECT count(*) AS k FROM {name} WHERE {ch.column} IS NOT NULL GROUP BY {ch.column} HAVING count(*) > 1))"
                    if ch.kind == "unique" else f"count(*) FILTER (WHERE {_unexpected_sql(ch)})")
@@ -75,12 +76,16 @@ def _oracle_results() -> str:
             parts.append(f"SELECT '{name}' AS table_name, '{ch.kind}' AS kind, '{ch.column}' AS column_name, count(*) AS n, "
                          f"count({ch.column}) AS nonnull, CAST({bad} AS BIGINT) AS unexpected, CAST({base} AS DOUBLE) AS base, "
                          f"{ch.mostly!r}::DOUBLE AS mostly FROM {name}")
-    tables = ", ".join(f"{name} AS ({sql.replace('STRING', 'VARCHAR')})" for name, (_, sql, _) in _SUITES.items())
-    return (f"WITH {tables}, r AS ({' UNION ALL '.join(parts)}), s AS (SELECT table_name, kind AS \"check\", column_name, n, nonnull, unexpected, "
+    ctes = ", ".join(f"{name} AS ({sql})" for name, (sql, _) in tables.items())
+    return (f"WITH {ctes}, r AS ({' UNION ALL '.join(parts)}), s AS (SELECT table_name, kind AS \"check\", column_name, n, nonnull, unexpected, "
             "round(CASE WHEN base > 0 THEN unexpected / base ELSE 0 END, 6) AS unexpected_ratio, "
             "1.0::DOUBLE - (CASE WHEN base > 0 THEN unexpected / base ELSE 0 END) >= mostly AS success FROM r)")
 
 
+def _oracle_results() -> str:
+    return checks_sql({name: (sql.replace("STRING", "VARCHAR"), suite) for name, (_, sql, suite) in _SUITES.items()})
+
+
 ORACLE_SQL = {
     "staging_suites": _oracle_results() + " SELECT * FROM s",
     "staging_verdicts": _oracle_results() + """
