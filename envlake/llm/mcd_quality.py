@@ -174,9 +174,9 @@ def mcd(rows: DataFrame, support: float = SUPPORT, steps: int = STEPS) -> DataFr
     for start in (robust, _estimates(_moments(rows), 1.0)):
         est = staged(start, "estimates")
         for _ in range(steps):
-            at = rows.join(est, _GROUP).withColumn("d2", _distance()).select(*_GROUP, *Z, "d2")
-            cut = at.groupBy(*_GROUP).agg(F.percentile_approx("d2", support, 2000).alias("cut"))
-            inner = at.join(cut, _GROUP).where("d2 <= cut")
+            at = rows.join(_sendable(est), _GROUP).withColumn("d2", _distance()).select(*_GROUP, *Z, "d2")
+            cut = staged(at.groupBy(*_GROUP).agg(F.percentile_approx("d2", support, 2000).alias("cut")), "cuts")
+            inner = at.join(_sendable(cut), _GROUP).where("d2 <= cut")
             est = staged(_estimates(_moments(inner), central), "estimates")
         ends.append(est)
     a, b = ends
@@ -184,6 +184,15 @@ def mcd(rows: DataFrame, support: float = SUPPORT, steps: int = STEPS) -> DataFr
                   .select(*_GROUP, "e.*"), "estimates")
 
 
+#: Groups whose estimates are sent to every task; more are joined by a shuffle.
+MAX_SENT = 10_000
+
+
+def _sendable(groups: DataFrame) -> DataFrame:
+    """One row a group: broadcast if counted as few (some 400 bytes each)."""
+    return F.broadcast(groups) if groups.limit(MAX_SENT + 1).count() <= MAX_SENT else groups
+
+
 def _normal_quantile(q: float) -> float:
     from statistics import NormalDist
     return NormalDist().inv_cdf(q)
@@ -204,7 +213,7 @@ def _grouped(stats: DataFrame, min_rows: int) -> DataFrame:
            .withColumn("g_source", F.when(F.col("n") >= min_rows, F.concat(F.lit("="), "__source")).otherwise(""))
            .withColumn("g_lang", F.when((F.col("n") >= min_rows) | (F.col("pool") >= min_rows), F.concat(F.lit("="), "__lang")).otherwise(""))
            .select("__lang", "__source", *_GROUP))
-    return stats.join(staged(key, "groups"), ["__lang", "__source"])
+    return stats.join(_sendable(staged(key, "groups")), ["__lang", "__source"])
 
 
 def robust_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -227,16 +236,16 @@ def robust_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     p = len(Z)
     stats = staged(document_stats(docs, id_col, text_col, lang_col, source_col), "stats")
     passed = staged(_grouped(stats.where("not base_failed"), min_rows), "passed")
-    enough = passed.groupBy(*_GROUP).count().where(F.col("count") >= min_rows).select(*_GROUP)
-    rows = staged(passed.join(enough, _GROUP, "left_semi").select(*_GROUP, *Z), "vectors")
+    enough = staged(passed.groupBy(*_GROUP).count().where(F.col("count") >= min_rows).select(*_GROUP), "enough")
+    rows = staged(passed.join(_sendable(enough), _GROUP, "left_semi").select(*_GROUP, *Z), "vectors")
     est = mcd(rows, support, steps)
-    far = passed.join(est, _GROUP, "left").withColumn("d2", _distance())
+    far = passed.join(_sendable(est), _GROUP, "left").withColumn("d2", _distance())
     far = staged(far.select("__id", *_COUNTS, *_GROUP, "d2"), "distances")
-    middle = far.where("d2 is not null").groupBy(*_GROUP).agg(F.percentile_approx("d2", 0.5, 2000).alias("middle"))
+    middle = staged(far.where("d2 is not null").groupBy(*_GROUP).agg(F.percentile_approx("d2", 0.5, 2000).alias("middle")), "medians")
     # Medians below the normal one come from floors, not from a narrow group.
     scale = F.greatest(F.col("middle") / chi2_quantile(p, 0.0), F.lit(1.0))
     limit = chi2_quantile(p, tail_z)
-    judged = (far.join(middle, _GROUP, "left").withColumn("distance", F.col("d2") / scale)
+    judged = (far.join(_sendable(middle), _GROUP, "left").withColumn("distance", F.col("d2") / scale)
               .select("__id", *_COUNTS, F.lit(False).alias("base_failed"), "distance",
                       (F.col("distance").isNull() | (F.col("distance") <= limit)).alias("kept")))
     out = stats.where("base_failed").select("__id", *_COUNTS, "base_failed", F.lit(None).cast("double").alias("distance"),
