@@ -76,12 +76,14 @@ def measurements(spark, sf_dir, since: dt.datetime | None = None) -> DataFrame:
 def locations(spark, sf_dir) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
-    return c.join(n, c["c_nationkey"] == n["n_nationkey"]).select(
+    # Every location has a closed version beside the current one.
+    v = c.withColumn("is_current", F.explode(F.array(F.lit(True), F.lit(False))))
+    return v.join(n, v["c_nationkey"] == n["n_nationkey"]).select(
         F.col("c_custkey").alias("openaq_locations_id"), F.col("c_custkey").alias("locations_id_sk"),
-        F.col("c_name").alias("name"), F.col("n_nationkey").cast("string").alias("country_code"),
+        F.when(F.col("is_current"), F.col("c_name")).otherwise(F.lit("closed")).alias("name"), F.col("n_nationkey").cast("string").alias("country_code"),
         F.col("n_name").alias("country_name"), F.col("c_mktsegment").alias("owner_name"),
         F.lit("tpch").alias("provider_name"), customer_lat().alias("latitude"),
-        customer_lon().alias("longitude"), F.lit(True).alias("is_current"))
+        customer_lon().alias("longitude"), "is_current")
 
 
 def sensors(spark, sf_dir, since: dt.datetime | None = None) -> DataFrame:

@@ -13,13 +13,11 @@ from envlake.streaming.pipelines import airnow_spec, nws_spec, open_meteo_spec
 from envlake.streaming.replay import topic_files
 from envlake.streaming.store import read_table
 
-_ID = F.col("event_id")
-
 
 def _land(events: DataFrame, value: Column, topic: str, path: str) -> int:
     """Topic messages in time order; returns the number of files."""
     msgs = events.select(F.col("user_id").cast("string").alias("key"), value.alias("value"), F.lit(topic).alias("topic"),
-                         (F.col("user_id") % 4).cast("int").alias("partition"), _ID.alias("offset"), F.col("ts").alias("timestamp"))
+                         (F.col("user_id") % 4).cast("int").alias("partition"), F.col("event_id").alias("offset"), F.col("ts").alias("timestamp"))
     files = topic_files(events)
     msgs.repartitionByRange(files, "timestamp").write.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path)
     return files
@@ -36,14 +34,14 @@ def _dead(spark: SparkSession, spec: SourceSpec) -> DataFrame:
 
 def _airnow_value() -> Column:
     event = F.to_json(F.struct(
-        F.when(_ID % 41 == 0, F.lit("")).otherwise(F.concat(F.lit("a"), (F.col("user_id") % 300).cast("string"), F.lit(":"),
+        F.when(F.col("event_id") % 41 == 0, F.lit("")).otherwise(F.concat(F.lit("a"), (F.col("user_id") % 300).cast("string"), F.lit(":"),
                                                             F.col("event_type"))).alias("event_id"),
         F.lit("airnow").alias("source"), F.concat(F.lit("area "), (F.col("user_id") % 50).cast("string")).alias("reporting_area"),
         F.date_format("ts", "yyyy-MM-dd").alias("date_issue"),
-        F.when(_ID % 97 == 0, F.lit("never")).otherwise(F.date_format(F.date_add("ts", 1), "yyyy-MM-dd")).alias("date_forecast"),
+        F.when(F.col("event_id") % 97 == 0, F.lit("never")).otherwise(F.date_format(F.date_add("ts", 1), "yyyy-MM-dd")).alias("date_forecast"),
         F.floor("value").alias("aqi"), (F.col("user_id") % 6 + 1).alias("category_number"),
-        F.struct(_ID.alias("n")).alias("raw_data")))
-    return F.when(_ID % 89 == 0, F.substring(event, 1, 40)).otherwise(event)
+        F.struct(F.col("event_id").alias("n")).alias("raw_data")))
+    return F.when(F.col("event_id") % 89 == 0, F.substring(event, 1, 40)).otherwise(event)
 
 
 def ingest_airnow(spark: SparkSession, d: str) -> DataFrame:
@@ -71,11 +69,11 @@ def ingest_nws(spark: SparkSession, d: str) -> DataFrame:
         F.concat(F.lit("n"), (F.col("user_id") % 300).cast("string"), F.lit(":"), F.col("event_type")).alias("event_id"),
         F.lit("nws.hourly_forecast").alias("event_type"), F.lit("api").alias("source"), F.lit("office").alias("office"),
         F.lit("grid").alias("grid_id"), (F.col("user_id") % 50).alias("grid_x"), F.lit("7").alias("grid_y"),
-        F.when(_ID % 97 == 0, F.lit("soon")).otherwise(iso_z(start)).alias("start_time"),
-        iso_z(start + F.expr("INTERVAL 1 HOUR")).alias("end_time"), (_ID % 2 == 0).alias("is_daytime"),
+        F.when(F.col("event_id") % 97 == 0, F.lit("soon")).otherwise(iso_z(start)).alias("start_time"),
+        iso_z(start + F.expr("INTERVAL 1 HOUR")).alias("end_time"), (F.col("event_id") % 2 == 0).alias("is_daytime"),
         F.col("value").alias("temperature"), F.lit("C").alias("temperature_unit"),
-        F.when(_ID % 5 == 0, F.lit(None).cast("double")).otherwise(F.col("value") / 2).alias("wind_speed"),
-        F.when(_ID % 3 == 0, F.lit(None).cast("string")).otherwise(iso_z(F.col("ts"))).alias("ingested_at_dtz")))
+        F.when(F.col("event_id") % 5 == 0, F.lit(None).cast("double")).otherwise(F.col("value") / 2).alias("wind_speed"),
+        F.when(F.col("event_id") % 3 == 0, F.lit(None).cast("string")).otherwise(iso_z(F.col("ts"))).alias("ingested_at_dtz")))
     files = _land(table(spark, d, "events"), value, "nws", f"{root}/topic")
     spec = _run(spark, root, nws_spec(f"{root}/table", f"{root}/dlq"), files)
     return read_table(spark, spec.table_path).select(
@@ -87,7 +85,7 @@ def ingest_open_meteo(spark: SparkSession, d: str) -> DataFrame:
     """Both kinds share the topic; weather without a temperature and unknown kinds
     are dead-lettered, and reported here with the stored rows."""
     root = scratch_dir(spark, "ingest-open-meteo")
-    kind = F.when(_ID % 83 == 0, F.lit("tide")).when(F.col("event_type") == "click", F.lit("air_quality")).otherwise(F.lit("weather"))
+    kind = F.when(F.col("event_id") % 83 == 0, F.lit("tide")).when(F.col("event_type") == "click", F.lit("air_quality")).otherwise(F.lit("weather"))
     start = F.date_trunc("hour", F.col("ts"))
     value = F.to_json(F.struct(
         F.concat(F.lit("o"), (F.col("user_id") % 300).cast("string"), F.lit(":"), F.col("event_type")).alias("event_id"),
@@ -95,7 +93,7 @@ def ingest_open_meteo(spark: SparkSession, d: str) -> DataFrame:
         iso_z(start).alias("open_meteo_start_time"), iso_z(start + F.expr("INTERVAL 1 HOUR")).alias("open_meteo_end_time"),
         (F.col("user_id") % 90).cast("double").alias("latitude"), F.lit(1.5).alias("longitude"),
         iso_z(F.col("ts")).alias("ingested_at_dtz"),
-        F.when((kind != "air_quality") & (_ID % 79 != 0), F.col("value")).alias("temperature"),
+        F.when((kind != "air_quality") & (F.col("event_id") % 79 != 0), F.col("value")).alias("temperature"),
         F.when(kind == "air_quality", F.col("value")).alias("pm2_5")))
     files = _land(table(spark, d, "events"), value, "open_meteo", f"{root}/topic")
     out = []

@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from envlake.functions.coerce import as_bool
+from envlake.functions.coerce import as_bool, falsy_default, safe_get
 from envlake.functions.ids import open_meteo_event_id
 from envlake.functions.timefn import iso_z, local_to_utc
 
@@ -23,7 +23,7 @@ def zip_by_position(df: DataFrame, driver_array: str, arrays: Mapping[str, str],
                   F.posexplode(F.col(driver_array)).alias("pos", "__val"))
     out = [F.col(c) for c in keep_cols] + [F.col("pos")]
     for a, name in arrays.items():
-        out.append((F.col("__val") if a == driver_array else F.get(F.col(a), F.col("pos"))).alias(name))
+        out.append((F.col("__val") if a == driver_array else safe_get(a, F.col("pos"))).alias(name))
     return e.select(*out)
 
 
@@ -54,7 +54,7 @@ def hourly_events(df: DataFrame, kind: str, record_type: str = "forecast", frequ
     e = df.select(lat_col, lon_col, tz_col, ingest_col, F.col(f"{raw_col}.hourly_units").alias("__u"),
                   *[_field(hourly, v, df, "array<double>").alias(f"__a_{v}") for v in vars_],
                   F.posexplode(F.coalesce(F.col(f"{hourly}.time"), F.array())).alias("pos", "__t"))
-    return _project(e, kind, record_type, frequency_min, vars_, lambda v: F.get(F.col(f"__a_{v}"), F.col("pos")),
+    return _project(e, kind, record_type, frequency_min, vars_, lambda v: safe_get(f"__a_{v}", F.col("pos")),
                     lat_col, lon_col, tz_col, ingest_col, df.schema[raw_col].dataType["hourly_units"].dataType)
 
 
@@ -103,7 +103,7 @@ def payload_events(df: DataFrame, kind: str, **kw) -> DataFrame:
 def route_by_kind(events: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(weather, air_quality, unroutable): kind = ``data_kind`` unless empty,
     else ``record_type``; anything else goes to the dead-letter side."""
-    kind = F.coalesce(F.when(F.col("data_kind") != F.lit(""), F.col("data_kind")), F.col("record_type"))
+    kind = falsy_default("data_kind", "record_type")
     k = events.withColumn("__kind", kind)
     return (k.where(F.col("__kind") == "weather").drop("__kind"),
             k.where(F.col("__kind") == "air_quality").drop("__kind"),

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from envlake.functions.coerce import falsy_default
 from envlake.operators import validate as V
 from envlake.sources import airnow, nws, open_meteo
 from envlake.streaming.ingest import MESSAGE_COLS, SourceSpec
@@ -35,8 +36,7 @@ def nws_spec(table_path: str, dlq_path: str) -> SourceSpec:
 
 def open_meteo_kind() -> Column:
     """A message's kind: ``data_kind`` unless empty, else ``record_type``."""
-    kind = F.get_json_object("value", "$.data_kind")
-    return F.coalesce(F.when(kind != "", kind), F.get_json_object("value", "$.record_type"))
+    return falsy_default(F.get_json_object("value", "$.data_kind"), F.get_json_object("value", "$.record_type"))
 
 
 def open_meteo_spec(kind: str, table_path: str, dlq_path: str) -> SourceSpec:

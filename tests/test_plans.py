@@ -15,3 +15,10 @@ def test_plan_has_no_product_or_python_udf(spark, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     for bad in FORBIDDEN:
         assert bad not in plan, f"{name}: {bad}"
+
+
+def test_flagship_scans_are_bounded_by_time(spark):
+    """Every scan of events takes the recency bound on the raw time column."""
+    plan = QUERIES["latest_by_location"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "events.parquet" in line]
+    assert scans and all("GreaterThanOrEqual(ts," in line for line in scans), scans
