@@ -19,9 +19,13 @@ the corpus, and a repeated task writes the same bytes under the same name.
 from __future__ import annotations
 
 import json
+import os
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +40,18 @@ BLOCK = 4096
 FILE_TOKENS = 8_000_000
 #: A file's number is its range partition times this, plus its place in the partition.
 FILES = 1 << 20
-#: Distinct pieces kept by a task's memo of encoded pieces.
-MEMO = 400_000
+#: Distinct pieces whose ids a Python worker keeps; rarer ones are encoded anew.
+MEMO = 500_000
+#: Characters encoded at a time: bounds memory for texts of any length.
+STRETCH = 1 << 20
+#: Latin letters; all of them are letters to any pre-tokeniser.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+#: What a plain text lacks: other characters, and apostrophes and runs of white space.
+_ODD = re.compile(rf"[^\x20-\x7e\n{_LETTERS}]")
+_ODD_PARTS = ("'", "  ", "\n\n", " \n", "\n ")
+_CUT = re.compile(r" (?=\S)")
+#: The pieces of a plain text, each with the blank before it.
+_PLAIN = re.compile(rf" ?[{_LETTERS}]+| ?[0-9]+| ?[^\s0-9{_LETTERS}]+|\s")
 
 
 def width(vocab: int) -> int:
@@ -105,10 +119,12 @@ _LOADED: dict[str, Callable[[list[str]], list[np.ndarray]]] = {}
 class HfTokenizer:
     """Encodes with a tokenizer file of the ``tokenizers`` library.
 
-    A text is cut before every single blank that a visible character follows:
-    byte-level pre-tokenisation always cuts there, so the pieces' ids strung
-    together are the text's. Pieces repeat far more than texts, so each distinct
-    one is encoded once by the library and then looked up.
+    Byte-level pre-tokenisation cuts a text into pieces (words, numbers, runs of
+    punctuation, each with the blank before it) that are encoded apart. Pieces
+    repeat far more than texts, so each distinct one is encoded once by the library
+    and looked up afterwards. Plain texts are cut at every piece, others only before
+    a single blank that a visible character follows, where a cut always is. Files
+    with another pre-tokeniser get whole texts.
     """
 
     path: str
@@ -120,9 +136,11 @@ class HfTokenizer:
         return _LOADED[self.path]
 
     def _load(self) -> Callable[[list[str]], list[np.ndarray]]:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark deals out the work
         from tokenizers import Tokenizer
 
         tok = Tokenizer.from_file(self.path)
+        tok.encode_special_tokens = True  # their names in a text are ordinary text
         made = json.loads(tok.to_str())
         pre = made.get("pre_tokenizer") or {}
         cuts = not made.get("normalizer") and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space", True)
@@ -131,29 +149,82 @@ class HfTokenizer:
                 return [np.array(e.ids, np.uint32) for e in tok.encode_batch(texts, add_special_tokens=False)]
             return whole
 
-        known: dict[str, int] = {}
-        flat = np.zeros(0, np.uint32)
-        offsets = np.zeros(1, np.int64)
+        vocab = [t for t, _ in sorted(tok.get_vocab().items(), key=lambda x: x[1])]
+        begins = np.array([t.startswith("\u0120") for t in vocab])  # a blank, in byte-level notation
+        line_end = vocab.index("\u010a")
+        memo = _Memo()
+        flat = np.zeros(0, np.uint32)  # the ids of the memo's pieces, where each one's begin, and how many
+        begin, count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+        def bulk(text: str) -> np.ndarray:
+            return np.array(tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+
+        def encode(new: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            """The ids of the pieces, and where each piece's begin and how many they are."""
+            # Pieces that begin with their only blank can be strung together: the text is
+            # cut at those blanks again, and so are the ids. Bare words get a line each.
+            words, bare, rest = [], [], []
+            for i, p in enumerate(new):
+                if p.rfind(" ") == 0 and len(p) > 1 and not p[1].isspace():
+                    words.append(i)
+                else:
+                    (bare if p.isalpha() else rest).append(i)
+            ids, sizes = [], []
+            for at in range(0, len(words), 400):
+                got = bulk("".join([new[i] for i in words[at:at + 400]]))
+                ids.append(got)
+                sizes.append(np.diff(np.append(np.flatnonzero(begins[got]), len(got))))
+            for at in range(0, len(bare), 400):
+                got = bulk("\n".join([new[i] for i in bare[at:at + 400]]))
+                ends = np.append(np.flatnonzero(got == line_end), len(got))
+                ids.append(got[got != line_end])
+                sizes.append(np.diff(ends, prepend=-1) - 1)
+            for e in tok.encode_batch([new[i] for i in rest], add_special_tokens=False):
+                ids.append(np.array(e.ids, np.uint32))
+                sizes.append([len(e.ids)])
+            place = np.array(words + bare + rest, np.int64)
+            n = np.concatenate(sizes).astype(np.int64)
+            starts, counts = np.empty(len(new), np.int64), np.empty(len(new), np.int64)
+            starts[place], counts[place] = np.cumsum(n) - n, n
+            return np.concatenate(ids), starts, counts
+
+        def some(texts: list[str]) -> list[np.ndarray]:
+            nonlocal flat, begin, count
+            pieces = [_pieces(t) for t in texts]
+            every = list(chain.from_iterable(pieces))
+            if not every:
+                return [np.zeros(0, np.uint32)] * len(texts)
+            memo.new = []
+            got = itemgetter(*every)(memo)  # registers the pieces it does not know
+            which = np.array(got if len(every) > 1 else [got], np.int64)
+            ids, first, n = flat, begin, count
+            if memo.new:
+                more, starts, counts = encode(memo.new)
+                ids = np.concatenate([flat, more])
+                first, n = np.concatenate([begin, starts + len(flat)]), np.concatenate([count, counts])
+                if len(memo) <= MEMO:
+                    flat, begin, count = ids, first, n
+                else:  # full: these serve this batch only
+                    for p in memo.new:
+                        del memo[p]
+            first, n = first[which], n[which]
+            ends = np.cumsum(n)
+            out = ids[np.arange(ends[-1]) + np.repeat(first - ends + n, n)]
+            last = np.cumsum([len(p) for p in pieces])
+            cuts = np.concatenate(([0], ends))[last]
+            return np.split(out, cuts[:-1])
 
         def run(texts: list[str]) -> list[np.ndarray]:
-            nonlocal known, flat, offsets
-            if len(known) > MEMO:
-                known, flat, offsets = {}, np.zeros(0, np.uint32), np.zeros(1, np.int64)
-            pieces = [_pieces(t) for t in texts]
-            new = list(set().union(*pieces).difference(known))
-            if new:
-                got = [e.ids for e in tok.encode_batch(new, add_special_tokens=False)]
-                known.update(zip(new, range(len(known), len(known) + len(new))))
-                flat = np.concatenate([flat, np.array([i for g in got for i in g], np.uint32)])
-                offsets = np.concatenate([offsets, offsets[-1] + np.cumsum([len(g) for g in got], dtype=np.int64)])
-            out = []
-            for p in pieces:
-                at = np.fromiter(map(known.__getitem__, p), np.int64, len(p))
-                start, n = offsets[at], offsets[at + 1] - offsets[at]
-                ends = np.cumsum(n)
-                total = int(ends[-1]) if len(ends) else 0
-                out.append(flat[np.arange(total) + np.repeat(start - ends + n, n)])
-            return out
+            """Encodes bounded stretches at a time, whatever the texts' lengths."""
+            parts = [_stretches(t) for t in texts]
+            line, out, at, size = [x for p in parts for x in p], [], 0, 0
+            for i, x in enumerate(line):
+                size += len(x)
+                if size >= STRETCH or i == len(line) - 1:
+                    out += some(line[at:i + 1])
+                    at, size = i + 1, 0
+            it = iter(out)
+            return [np.concatenate([next(it) for _ in p]) if len(p) > 1 else next(it) for p in parts]
 
         return run
 
@@ -162,18 +233,42 @@ class HfTokenizer:
         return Tokenizer.from_file(self.path).get_vocab_size()
 
 
+class _Memo(dict):
+    """Piece -> number; a piece asked for the first time gets the next number and is noted."""
+
+    __slots__ = ("new",)
+
+    def __missing__(self, piece: str) -> int:
+        i = self[piece] = len(self)
+        self.new.append(piece)
+        return i
+
+
+def _stretches(text: str) -> list[str]:
+    """``text`` in stretches of about ``STRETCH`` characters, cut before a single blank
+    that a visible character follows."""
+    out, at = [], 0
+    while len(text) - at > STRETCH:
+        cut = _CUT.search(text, at + STRETCH)
+        if not cut:
+            break
+        out.append(text[at:cut.start()])
+        at = cut.start()
+    return [*out, text[at:]]
+
+
 def _pieces(text: str) -> list[str]:
-    """``text`` cut before each blank that is followed by a visible character."""
-    if not text:
-        return []
+    """``text`` cut where pre-tokenisation cuts it too."""
+    if not _ODD.search(text) and not any(x in text for x in _ODD_PARTS):
+        return _PLAIN.findall(text)
     parts = text.split(" ")
-    out, head = [parts[0]], len(parts[0])
+    out = [parts[0]]
     for p in parts[1:]:
         if p and not p[0].isspace():
             out.append(" " + p)
         else:
             out[-1] += " " + p
-    return out if head or out[0] else out[1:]
+    return out if out[0] else out[1:]
 
 
 def _write(path: str, content: bytes, attempt: str) -> None:
@@ -191,7 +286,8 @@ def _write(path: str, content: bytes, attempt: str) -> None:
 
 def write_token_files(docs: DataFrame, folder: str, encode: HfTokenizer, vocab: int | None = None,
                       end_id: int = 0, order: list[Column] | None = None, id_col: str = "doc_id",
-                      text_col: str = "text", partitions: int | None = None) -> DataFrame:
+                      text_col: str = "text", partitions: int | None = None,
+                      file_tokens: int = FILE_TOKENS) -> DataFrame:
     """Write the ids of every text, each followed by ``end_id``, to files under
     ``folder`` and return one row a document: ``shard, place, id_col`` (staged).
 
@@ -200,7 +296,7 @@ def write_token_files(docs: DataFrame, folder: str, encode: HfTokenizer, vocab:
     documents have no file. ``folder`` is a URI in a store all executors share.
     """
     spark = docs.sparkSession
-    small_batches(spark, 200)
+    small_batches(spark, 300)
     vocab = vocab or encode.vocab()
     bits = width(max(vocab, end_id + 1))
     src = docs.select(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("__text"),
@@ -229,12 +325,15 @@ def write_token_files(docs: DataFrame, folder: str, encode: HfTokenizer, vocab:
             shard, held, ids, tokens = shard + 1, [], [], 0
 
         for b in batches:
-            for got in encoder(b.column("__text").to_pylist()):
+            taken = 0
+            for i, got in enumerate(encoder(b.column("__text").to_pylist())):
                 held.append(np.append(got, np.uint32(end_id)).astype(np.uint16 if bits <= 16 else np.uint32))
                 tokens += len(held[-1])
-            ids.append(b.column("__id"))
-            if tokens >= FILE_TOKENS:
-                yield from flush()
+                if tokens >= file_tokens:
+                    ids.append(b.column("__id").slice(taken, i + 1 - taken))
+                    taken = i + 1
+                    yield from flush()
+            ids.append(b.column("__id").slice(taken))
         if held:
             yield from flush()
 
@@ -278,7 +377,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 def token_index(docs: DataFrame, encode: HfTokenizer, folder: str | None = None, end_id: int = 0,
                 order: list[Column] | None = None, id_col: str = "doc_id", text_col: str = "text",
-                partitions: int | None = None) -> DataFrame:
+                partitions: int | None = None, file_tokens: int = FILE_TOKENS) -> DataFrame:
     """Write the files, read them back, and return per document ``id_col, start``
     (ids of all documents before it), ``n_tokens, ids_crc32, shard, place``.
 
@@ -289,7 +388,7 @@ def token_index(docs: DataFrame, encode: HfTokenizer, folder: str | None = None,
     folder = folder or scratch(spark, "tokens")
     if "://" not in folder and not folder.startswith("file:"):
         folder = f"file://{folder}"
-    written = write_token_files(docs, folder, encode, None, end_id, order, id_col, text_col, partitions)
+    written = write_token_files(docs, folder, encode, None, end_id, order, id_col, text_col, partitions, file_tokens)
     if written.isEmpty():
         return written.select(F.col("__id").alias(id_col), F.lit(0).cast("long").alias("start"),
                               F.lit(0).cast("long").alias("n_tokens"), F.lit(0).cast("long").alias("ids_crc32"),
