@@ -244,3 +244,41 @@ def scan_licenses(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES,
               "last_word bigint, base_labels string, labels string, score double, "
               "hits array<struct<label:string,start:bigint,end:bigint>>")
     return src.mapInArrow(run, schema).withColumnRenamed("__id", id_col)
+
+
+def _pattern(parts: list) -> str:
+    """The parsed template as a regular expression over words that a blank follows each."""
+    out = ""
+    for p in parts:
+        if isinstance(p, bytes):
+            out += p.decode() + " "
+        elif p[0] == "opt":
+            out += f"(?:{_pattern(p[1])})?"
+        else:
+            words = "|".join(sorted(w.decode() for w in p[3])) if p[3] else "[^ ]+"
+            out += f"(?:(?:{words}) ){{{p[1]},{p[2]}}}"
+    return out
+
+
+def _oracle(templates: tuple[Template, ...] = TEMPLATES) -> str:
+    """The contract's columns in DuckDB: each template as a pattern, tried at every word."""
+    rows = ", ".join(f"('{t.label}', {t.base}, '{_pattern(_parse(t.markup))}')" for t in templates)
+    upper = "".join(map(chr, range(65, 91)))
+    return f"""WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'),
+                                 '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+t(label, base, rx) AS (VALUES {rows}),
+c AS (SELECT * FROM d JOIN t ON regexp_matches(' ' || array_to_string(ws, ' ') || ' ', ' ' || rx)),
+p AS (SELECT doc_id, ws, label, base, rx, UNNEST(range(0, len(ws))) AS i FROM c),
+h AS (SELECT doc_id, label, base, i,
+             length(regexp_replace(regexp_extract(array_to_string(ws[i + 1:i + 60], ' ') || ' ', '^' || rx), '[^ ]', '', 'g')) AS n FROM p),
+g AS (SELECT doc_id, count(*) FILTER (base) AS n_base, min(i) FILTER (base) AS first_word, max(i) FILTER (base) AS last_word,
+             array_to_string(list_sort(list(DISTINCT label) FILTER (base)), ',') AS base_labels,
+             array_to_string(list_sort(list(DISTINCT label)), ',') AS labels FROM h WHERE n > 0 GROUP BY doc_id),
+k AS (SELECT doc_id, count(DISTINCT w) AS covered FROM (SELECT doc_id, UNNEST(range(i, i + n)) AS w FROM h WHERE n > 0) GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, CAST(first_word AS BIGINT) AS first_word,
+       CAST(last_word AS BIGINT) AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       coalesce(CAST(covered AS DOUBLE) / len(ws), 0.0::DOUBLE) AS score
+FROM d LEFT JOIN g USING (doc_id) LEFT JOIN k USING (doc_id)"""
+
+
+ORACLE = _oracle()

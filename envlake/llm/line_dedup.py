@@ -29,11 +29,11 @@ MIN_WORDS = 20
 
 def units_of(text: str, unit: str = "line", min_words: int = MIN_WORDS) -> list[tuple[int, int, str]]:
     """``(start, end, normalised)`` of every unit of ``min_words`` words or more.
-    Normalised: case folded, white space runs to one blank, ends trimmed."""
+    Normalised: lower case, white space runs to one blank, ends trimmed."""
     out, at = [], 0
     for m in [*UNITS[unit].finditer(text), None]:
         end = m.start() if m else len(text)
-        words = text[at:end].casefold().split()
+        words = text[at:end].lower().split()
         if len(words) >= max(1, min_words):
             out.append((at, end, " ".join(words)))
         at = m.end() if m else at
@@ -149,3 +149,17 @@ def dedup_units(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS,
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
                        + ["kept_spans array<struct<start:bigint,end:bigint>>"])
     return joined.select("__doc.*", "__cut", "__copy").mapInArrow(run, schema)
+
+
+#: :func:`repeated_units` of the documents table in DuckDB.
+ORACLE = f"""WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
+n AS (SELECT doc_id, ls, UNNEST(generate_series(1, len(ls))) AS i FROM l),
+u AS (SELECT doc_id, coalesce(list_sum(list_transform(ls[1:i - 1], lambda x: length(x) + 1)), 0) AS s, ls[i] AS raw,
+             trim(regexp_replace(lower(ls[i]), '\\s+', ' ', 'g')) AS norm FROM n),
+w AS (SELECT doc_id, CAST(s AS BIGINT) AS s, CAST(s + length(raw) AS BIGINT) AS e, norm,
+             row_number() OVER (PARTITION BY norm ORDER BY doc_id, s) AS rn, count(*) OVER (PARTITION BY norm) AS n,
+             first_value(doc_id) OVER (PARTITION BY norm ORDER BY doc_id, s) AS kd,
+             first_value(CAST(s AS BIGINT)) OVER (PARTITION BY norm ORDER BY doc_id, s) AS ks,
+             first_value(CAST(s + length(raw) AS BIGINT)) OVER (PARTITION BY norm ORDER BY doc_id, s) AS ke
+      FROM u WHERE norm <> '' AND len(string_split(norm, ' ')) >= {MIN_WORDS})
+SELECT doc_id, s AS start, e AS "end", kd AS kept_doc_id, ks AS kept_start, ke AS kept_end, n AS occurrences FROM w WHERE rn > 1"""
