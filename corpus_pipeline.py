@@ -5,6 +5,7 @@ in that order to bit-packed files."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,10 +37,15 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids in bit-packed files, in the order in which the documents were stored:
-    that of the file and of the row in it, which is the mixture's."""
-    stored = docs.select(*DOC_COLUMNS, F.col("_metadata.file_name").alias("__file"),
-                         F.col("_metadata.row_index").alias("__at"))
-    return bitpack.token_index(stored, queries.tokenizer(), end_id=0, order=[F.col("__file"), F.col("__at")])
+    that of the file and of the row in it, which is the mixture's. Documents that do
+    not come from files are taken in id order."""
+    order = []
+    try:
+        docs = docs.select(*DOC_COLUMNS, F.col("_metadata.file_name").alias("__file"), F.col("_metadata.row_index").alias("__at"))
+        order = [F.col("__file"), F.col("__at")]
+    except AnalysisException:
+        docs = docs.select(*DOC_COLUMNS)
+    return bitpack.token_index(docs, queries.tokenizer(), end_id=0, order=order)
 
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("decontamination", decontamination),
