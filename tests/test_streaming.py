@@ -78,7 +78,19 @@ def test_unreadable_is_not_absent(spark, tmp_path):
     import pytest
     from envlake.streaming.store import read_table
     assert read_table(spark, str(tmp_path / "none")) is None
-    (tmp_path / "t" / "log").mkdir(parents=True)
-    (tmp_path / "t" / "log" / "part-0.json").write_text('{"version": 1, "part": 0, "folder": "%s/gone"}\n' % tmp_path)
+    (tmp_path / "t" / "log" / "epoch=0").mkdir(parents=True)
+    (tmp_path / "t" / "log" / "epoch=0" / "part-0.json").write_text('{"version": 1, "part": 0, "folder": "%s/gone"}\n' % tmp_path)
     with pytest.raises(Exception):
         read_table(spark, str(tmp_path / "t")).count()
+
+
+def test_log_epochs_keep_the_whole_table(spark, tmp_path, monkeypatch):
+    from envlake.streaming import store
+    monkeypatch.setattr(store, "EPOCH", 3)
+    path = str(tmp_path / "t")
+    for i in range(8):   # each write replaces one of four partitions
+        store.write_parts(spark, path, spark.range(5).selectExpr(f"{i % 4} k", f"{i} v", "id"), F.col("k"))
+        newest = {k: max(v for v in range(i + 1) if v % 4 == k) for k in range(min(i + 1, 4))}
+        got = {r.k: r.v for r in store.read_table(spark, path).select("k", "v").distinct().collect()}
+        assert got == newest
+        assert sorted(store.read_table(spark, path, only=[0]).select("v").distinct().collect()) == [(newest[0],)]
