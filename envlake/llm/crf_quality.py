@@ -22,9 +22,8 @@ from pyspark.sql import functions as F
 
 from envlake.llm.common import small_batches
 
-#: Most documents of each label in the training sample, and most lines of one of them.
+#: Most documents of each label in the training sample.
 MAX_DOCS = 1500
-MAX_LINES = 400
 _UPPER = bytes(range(ord("A"), ord("Z") + 1))
 _DIGIT = b"0123456789"
 _SYMBOL = b"#*$%&|<>"
@@ -52,10 +51,10 @@ def line_features(line: bytes, seen: set[bytes]) -> tuple:
             float(line.endswith((b".", b"!", b"?"))), float(again), float(n == 0))
 
 
-def text_matrix(text: bytes | None, most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+def text_matrix(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
     """Features of the lines that have a word, with their neighbours' and a
     constant (lines x (3 * N_OWN + 3)), and the lines' lengths."""
-    lines = [x for x in (text or b"").split(b"\n") if x.strip()][:most]
+    lines = [x for x in (text or b"").split(b"\n") if x.strip()]
     seen: set[bytes] = set()
     own = np.array([line_features(x, seen) for x in lines], np.float32).reshape(-1, N_OWN)
     edge = np.zeros((1, N_OWN), np.float32)
@@ -172,9 +171,9 @@ def fit(mats: list[np.ndarray], good: np.ndarray, steps: int = 150, rate: float
 def train(docs: DataFrame, labels: DataFrame, fold: Column | None = None, label_col: str = "quality",
           id_col: str = "doc_id", text_col: str = "text", max_docs: int = MAX_DOCS) -> Crf | None:
     """Fit on labelled documents where ``fold`` (a condition on the id) holds: of
-    each label the ``max_docs`` smallest digests of the id, of each the first
-    ``MAX_LINES`` lines. Of conflicting labels the lowest counts. Without documents
-    of both labels there is no model (None)."""
+    each label the ``max_docs`` smallest digests of the id, with all their lines. Of
+    conflicting labels the lowest counts. Without documents of both labels there is no
+    model (None)."""
     spark = docs.sparkSession
     small_batches(spark)
     lab = labels.select(F.col(f"`{id_col}`"), F.col(f"`{label_col}`").alias("y")).where("y in (0, 1)")
@@ -188,7 +187,7 @@ def train(docs: DataFrame, labels: DataFrame, fold: Column | None = None, label_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            blobs = [text_matrix(t, MAX_LINES)[0].astype(np.float32).tobytes() for t in b.column("__text").to_pylist()]
+            blobs = [text_matrix(t)[0].astype(np.float32).tobytes() for t in b.column("__text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("y"), pa.array(blobs, pa.binary())], names=["y", "f"])
 
     got = sorted((r.y, bytes(r.f)) for r in src.mapInArrow(run, "y int, f binary").collect() if r.f)
