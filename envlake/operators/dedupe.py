@@ -1,8 +1,9 @@
 """First/last row per key (H2, G5, C10) without sorting whole groups.
 
 ``DISTINCT ON (k) ... ORDER BY k, o`` becomes ``min_by(struct(row), struct(o))``
-per key: a hash aggregate with a map-side partial step, so a skewed key costs
-one small buffer per task, not one huge sort.
+per key: an aggregate with a map-side partial step, so a skewed key costs one
+small buffer per task after it. (Spark runs it as a sort aggregate, because the
+buffer is a struct: each task sorts its own rows by key before the partial step.)
 """
 
 from __future__ import annotations

@@ -1,9 +1,11 @@
 """Registered queries: every operator family bound to the driver tables.
 
-Each function takes (spark, sf_dir) and returns a lazy DataFrame over the whole
-tables. Run literals (``as_of`` and batch cut-offs) are single global
-aggregates read once; everything else stays in the plan. The equivalent DuckDB
-SQL for each query lives in :mod:`envlake.plans.oracle`.
+Each function takes (spark, sf_dir) and returns a DataFrame over the whole tables.
+Run literals (``as_of`` and batch cut-offs) are single global aggregates read once.
+Those that show stored state (``upsert_*``, ``scd2_*``, ``ingest_*``,
+``openaq_load``, ``stream_replay``) run their batches while they are built; all
+others are lazy. The equivalent DuckDB SQL for each query lives in
+:mod:`envlake.plans.oracle`.
 """
 
 from __future__ import annotations
