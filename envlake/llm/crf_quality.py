@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from envlake.llm.common import small_batches
+from envlake.llm.common import small_batches, smallest_digests
 
 #: Most documents of each label in the training sample.
 MAX_DOCS = 1500
@@ -179,8 +179,7 @@ def train(docs: DataFrame, labels: DataFrame, fold: Column | None = None, label_
     lab = labels.select(F.col(f"`{id_col}`"), F.col(f"`{label_col}`").alias("y")).where("y in (0, 1)")
     lab = (lab if fold is None else lab.where(fold)).select(F.col(f"`{id_col}`").alias("__id"), "y").where("__id is not null")
     lab = lab.groupBy("__id").agg(F.min("y").cast("int").alias("y"))
-    digest = F.xxhash64("__id")
-    parts = [lab.where(F.col("y") == c).orderBy(digest, "__id").limit(max_docs) for c in (0, 1)]
+    parts = [smallest_digests(lab.where(F.col("y") == c).select("__id"), max_docs).withColumn("y", F.lit(c)) for c in (0, 1)]
     sample = F.broadcast(parts[0].unionByName(parts[1]))  # 2 * max_docs rows at most
     src = (docs.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").cast("binary").alias("__text"))
            .join(sample, "__id").select("__id", "y", "__text"))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from envlake.llm.common import small_batches
+from envlake.llm.common import small_batches, smallest_digests
 
 #: Bounds of the training sample (documents) and of the model (features).
 MAX_POSITIVE = 3000
@@ -162,10 +162,9 @@ def train(docs: DataFrame, labels: DataFrame, fold: Column | None = None, label_
     if not ones:
         return Model((), (), -40.0)
     pi = min(0.95, max(0.001, prior if prior is not None else ones / total))
-    digest = F.xxhash64("__id")
-    chosen = lab.where("y = 1").orderBy(digest, "__id").limit(max_positive).select("__id", F.lit(1).alias("p"))
-    ids = docs.where(cond).select(F.col(f"`{id_col}`").alias("__id")).where("__id is not null").distinct()
-    some = ids.orderBy(digest, "__id").limit(max_unlabelled).select("__id", F.lit(0).alias("p"))
+    chosen = smallest_digests(lab.where("y = 1").select("__id"), max_positive).withColumn("p", F.lit(1))
+    ids = docs.where(cond).select(F.col(f"`{id_col}`").alias("__id")).where("__id is not null")
+    some = smallest_digests(ids, max_unlabelled).withColumn("p", F.lit(0))
     # Both samples are bounded above.
     sample = F.broadcast(chosen.unionByName(some))
     src = (docs.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").cast("binary").alias("__text"))

@@ -4,8 +4,9 @@ import random
 
 import pytest
 from common_rows import frame
+from pyspark.sql import functions as F
 
-from envlake.llm.common import connected_components, row_key, small_batches, staged, whole_rows
+from envlake.llm.common import connected_components, row_key, small_batches, smallest_digests, staged, whole_rows
 
 
 def components(edges):
@@ -61,3 +62,13 @@ def test_batches_only_get_smaller(spark):
         assert spark.conf.get(key) == "50"
     finally:
         spark.conf.set(key, before)
+
+
+def test_sample_is_the_smallest_digests(spark):
+    df = spark.range(5000).selectExpr("id as __id")
+    want = [r[0] for r in df.orderBy(F.xxhash64("__id")).limit(40).collect()]
+    for d in (df, df.repartition(7), df.union(df)):
+        assert [r[0] for r in smallest_digests(d, 40).collect()] == want
+    few = spark.createDataFrame([(i % 3,) for i in range(900)], "__id long")
+    assert sorted(r[0] for r in smallest_digests(few, 10).collect()) == [0, 1, 2]
+    assert smallest_digests(df.where("false"), 3).count() == 0
