@@ -33,7 +33,7 @@ from envlake.plans import ingest_bindings, openaq_bindings, suite_bindings
 from envlake.plans import marts as M
 from envlake.sources.nws import periods_to_events
 from envlake.sources.openaq import sensor_map
-from envlake.session import ensure_checkpoint_dir
+from envlake.session import stored
 from envlake.sources.publish import to_messages
 
 T = D.table
@@ -401,19 +401,17 @@ def _events_lo(spark, d) -> dt.datetime:
 
 
 def upsert_last_wins(spark, d):
-    ensure_checkpoint_dir(spark)
     ev = T(spark, d, "events").select("user_id", "event_type", "event_id", "ts", "value")
     base = None
     for b in _batches(ev, _events_lo(spark, d)):
         b = b.withColumn("first_ts", F.col("ts"))
         base = upsert_by_key(base, b, ["user_id", "event_type"], ["ts", "event_id"],
                              policy={"first_ts": "keep"}, columns=["event_id", "ts", "value", "first_ts"])
-        base = base.checkpoint(eager=True)      # each merged batch is a stored table
+        base = stored(base)      # each merged batch is a stored table
     return base.drop(ORDER_COL)
 
 
 def upsert_coalesce(spark, d):
-    ensure_checkpoint_dir(spark)
     ev = T(spark, d, "events").select(
         "user_id", "event_type", "event_id", "ts",
         F.when(F.col("event_id") % 5 == 0, F.lit(None).cast("double")).otherwise(F.col("value")).alias("value"))
@@ -423,7 +421,7 @@ def upsert_coalesce(spark, d):
         base = upsert_by_key(base, b, ["user_id", "event_type"], ["ts", "event_id"],
                              policy={"value": "coalesce", "last_updated_at_dtz": "touch"},
                              clock_col="ts", columns=["event_id", "value", "last_updated_at_dtz"])
-        base = base.checkpoint(eager=True)
+        base = stored(base)
     return base.drop(ORDER_COL)
 
 
@@ -439,7 +437,6 @@ def _order_batches(o: DataFrame, lo: dt.datetime, hi: dt.datetime):
 def _scd2(spark, d, key, tracked, batches=None):
     """Batches applied one after another, as a store would: the current rows are
     rewritten by each step, closed versions are only appended."""
-    ensure_checkpoint_dir(spark)
     o = T(spark, d, "orders")
     lo, hi = o.agg(F.min("o_orderdate"), F.max("o_orderdate")).first()
     parts = _order_batches(o, lo, hi)
@@ -447,8 +444,7 @@ def _scd2(spark, d, key, tracked, batches=None):
     for i in batches or range(len(parts)):
         step = scd2_step(current, parts[i], key, tracked, ["o_orderdate", "o_orderkey"], "o_orderdate", "sk", "orders_dim",
                          touch_cols=["last_updated_at_dtz"], extra_cols=["o_orderkey"])
-        # Lineage is cut after each step like a stored table (shared checkpoint dir).
-        step = step.checkpoint(eager=True)
+        step = stored(step)
         current = step.where("is_current")
         closed.append(step.where("not is_current"))
     return reduce(DataFrame.unionByName, closed, current).drop("sk", "_order")
@@ -473,7 +469,6 @@ def scd2_cascade(spark, d):
     status) version current at each event: a parent re-version opens new child
     versions. Parent and child are stored and take the feed in three batches."""
     from envlake.operators.scd2 import assign_versions
-    ensure_checkpoint_dir(spark)
     o = T(spark, d, "orders")
     lo, hi = o.agg(F.min("o_orderdate"), F.max("o_orderdate")).first()
     order = ["o_orderdate", "o_orderkey"]
@@ -485,11 +480,12 @@ def scd2_cascade(spark, d):
         at = at.select("o_custkey", "o_orderpriority", "o_orderdate", "o_orderkey",
                        F.col("version_order.o_orderkey").alias("location_version"))
         step = scd2_step(child, at, ["o_custkey", "o_orderpriority"], ["location_version"], order, "o_orderdate", "sk",
-                         "child_dim", extra_cols=["o_orderkey"]).checkpoint(eager=True)
+                         "child_dim", extra_cols=["o_orderkey"])
+        step = stored(step)
         child = step.where("is_current")
         closed.append(step.where("not is_current"))
-        parent = scd2_step(parent, b, ["o_custkey"], ["o_orderstatus"], order, "o_orderdate", "sk", "parent_dim",
-                           extra_cols=["o_orderkey"]).checkpoint(eager=True).where("is_current")
+        parent = stored(scd2_step(parent, b, ["o_custkey"], ["o_orderstatus"], order, "o_orderdate", "sk", "parent_dim",
+                                  extra_cols=["o_orderkey"])).where("is_current")
     return reduce(DataFrame.unionByName, closed, child).drop("sk", "_order")
 
 

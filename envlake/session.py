@@ -5,8 +5,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library relies on. UTC makes date_trunc / day boundaries stable,
 # AQE lets joins switch to broadcast only when the *measured* side is small and
@@ -71,3 +72,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def stored(df: DataFrame, name: str = "step") -> DataFrame:
+    """``df`` written as Parquet in the shared checkpoint folder and read back: lineage
+    is cut at the price of one computation (an RDD checkpoint costs two)."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stored-{uuid.uuid4().hex}/{name}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
