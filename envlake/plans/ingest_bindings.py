@@ -14,18 +14,22 @@ from envlake.streaming.replay import topic_files
 from envlake.streaming.store import read_table
 
 
-def _land(events: DataFrame, value: Column, topic: str, path: str) -> int:
-    """Topic messages in time order; returns the number of files."""
+def _ingest(spark: SparkSession, root: str, events: DataFrame, value: Column, topic: str, *specs: SourceSpec) -> None:
+    """Land the messages in three stretches of time, and run the pipelines after each:
+    a topic is read in order, which a folder of files landed at once is not."""
     msgs = events.select(F.col("user_id").cast("string").alias("key"), value.alias("value"), F.lit(topic).alias("topic"),
                          (F.col("user_id") % 4).cast("int").alias("partition"), F.col("event_id").alias("offset"), F.col("ts").alias("timestamp"))
-    files = topic_files(events)
-    msgs.repartitionByRange(files, "timestamp").write.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path)
-    return files
-
-
-def _run(spark: SparkSession, root: str, spec: SourceSpec, files: int) -> SourceSpec:
-    run_available(spark, spec, f"{root}/topic", f"{root}/checkpoint-{spec.name}", max_files_per_trigger=-(-files // 3))
-    return spec
+    files = -(-topic_files(events) // 3)
+    lo, hi = events.agg(F.min("ts"), F.max("ts")).first()
+    for spec in specs:
+        spec.buckets = 8
+    for i in range(3):
+        since, until = F.lit(lo + (hi - lo) * i / 3), F.lit(lo + (hi - lo) * (i + 1) / 3)
+        part = msgs.where((F.col("timestamp") >= since) & ((F.col("timestamp") < until) if i < 2 else F.lit(True)))
+        (part.repartitionByRange(files, "timestamp").write.mode("append")
+         .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(f"{root}/topic"))
+        for spec in specs:
+            run_available(spark, spec, f"{root}/topic", f"{root}/checkpoint-{spec.name}")
 
 
 def _dead(spark: SparkSession, spec: SourceSpec) -> DataFrame:
@@ -47,8 +51,8 @@ def _airnow_value() -> Column:
 def ingest_airnow(spark: SparkSession, d: str) -> DataFrame:
     """The staging table after all messages; latest per event id, first start kept."""
     root = scratch_dir(spark, "ingest-airnow")
-    files = _land(table(spark, d, "events"), _airnow_value(), "airnow", f"{root}/topic")
-    spec = _run(spark, root, airnow_spec(f"{root}/table", f"{root}/dlq"), files)
+    spec = airnow_spec(f"{root}/table", f"{root}/dlq")
+    _ingest(spark, root, table(spark, d, "events"), _airnow_value(), "airnow", spec)
     return read_table(spark, spec.table_path).select(
         "event_id", "date_issue_dtz", "date_forecast_dtz", "reporting_area", "aqi", "category_number", "raw_data",
         "effective_start_at_dtz", "is_current", "last_updated_at_dtz")
@@ -57,8 +61,8 @@ def ingest_airnow(spark: SparkSession, d: str) -> DataFrame:
 def ingest_airnow_dead(spark: SparkSession, d: str) -> DataFrame:
     """What that pipeline dead-lettered: the message's place, the error and its text."""
     root = scratch_dir(spark, "ingest-airnow")
-    files = _land(table(spark, d, "events"), _airnow_value(), "airnow", f"{root}/topic")
-    spec = _run(spark, root, airnow_spec(f"{root}/table", f"{root}/dlq"), files)
+    spec = airnow_spec(f"{root}/table", f"{root}/dlq")
+    _ingest(spark, root, table(spark, d, "events"), _airnow_value(), "airnow", spec)
     return spark.read.parquet(spec.dlq_path).select("key", "original_topic", "partition", "offset", "error")
 
 
@@ -74,8 +78,8 @@ def ingest_nws(spark: SparkSession, d: str) -> DataFrame:
         F.col("value").alias("temperature"), F.lit("C").alias("temperature_unit"),
         F.when(F.col("event_id") % 5 == 0, F.lit(None).cast("double")).otherwise(F.col("value") / 2).alias("wind_speed"),
         F.when(F.col("event_id") % 3 == 0, F.lit(None).cast("string")).otherwise(iso_z(F.col("ts"))).alias("ingested_at_dtz")))
-    files = _land(table(spark, d, "events"), value, "nws", f"{root}/topic")
-    spec = _run(spark, root, nws_spec(f"{root}/table", f"{root}/dlq"), files)
+    spec = nws_spec(f"{root}/table", f"{root}/dlq")
+    _ingest(spark, root, table(spark, d, "events"), value, "nws", spec)
     return read_table(spark, spec.table_path).select(
         "event_id", "grid_x", "grid_y", "start_time", "end_time", "is_daytime", "temperature", "temperature_unit",
         "wind_speed", "ingested_at_dtz", "last_updated_at_dtz")
@@ -95,10 +99,11 @@ def ingest_open_meteo(spark: SparkSession, d: str) -> DataFrame:
         iso_z(F.col("ts")).alias("ingested_at_dtz"),
         F.when((kind != "air_quality") & (F.col("event_id") % 79 != 0), F.col("value")).alias("temperature"),
         F.when(kind == "air_quality", F.col("value")).alias("pm2_5")))
-    files = _land(table(spark, d, "events"), value, "open_meteo", f"{root}/topic")
+    specs = {k: open_meteo_spec(k, f"{root}/table-{k}", f"{root}/dlq-{k}") for k in ("weather", "air_quality")}
+    _ingest(spark, root, table(spark, d, "events"), value, "open_meteo", *specs.values())
     out = []
     for k, val in (("weather", "temperature"), ("air_quality", "pm2_5")):
-        spec = _run(spark, root, open_meteo_spec(k, f"{root}/table-{k}", f"{root}/dlq-{k}"), files)
+        spec = specs[k]
         out.append(read_table(spark, spec.table_path).select(
             F.lit(k).alias("kind"), "event_id", "open_meteo_start_time", "latitude", F.col(val).alias("measured"),
             "ingested_at_dtz", "last_updated_at_dtz", F.lit(None).cast("long").alias("offset"), F.lit(None).cast("string").alias("error")))

@@ -11,6 +11,6 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from envlake.session import build_session
-    s = build_session(master="local[*]", shuffle_partitions=8, app_name="envlake-tests")
+    s = build_session(master="local[*]", shuffle_partitions=4, app_name="envlake-tests")
     yield s
     s.stop()
