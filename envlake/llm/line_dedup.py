@@ -93,6 +93,15 @@ def repeated_units(docs: DataFrame, unit: str = "line", min_words: int = MIN_WOR
                        "occurrences", "__row1", "__row2")
 
 
+def repeated_lines_and_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """:func:`repeated_units` of every line and of every paragraph that holds a word,
+    with ``unit`` in front. A passage wrapped differently is equal as a paragraph.
+    A place can stand in both units; removing the union loses no wording, as what
+    stays always has the smaller rank."""
+    one, two = (repeated_units(docs, u, 1, id_col, text_col).select(F.lit(u).alias("unit"), "*") for u in ("line", "paragraph"))
+    return one.unionByName(two)
+
+
 def dedup_units(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """All rows of ``docs`` with their columns, repeated units taken out of the text
@@ -163,3 +172,18 @@ w AS (SELECT doc_id, CAST(s AS BIGINT) AS s, CAST(s + length(raw) AS BIGINT) AS
              first_value(CAST(s + length(raw) AS BIGINT)) OVER (PARTITION BY norm ORDER BY doc_id, s) AS ke
       FROM u WHERE norm <> '' AND len(string_split(norm, ' ')) >= {MIN_WORDS})
 SELECT doc_id, s AS start, e AS "end", kd AS kept_doc_id, ks AS kept_start, ke AS kept_end, n AS occurrences FROM w WHERE rn > 1"""
+
+#: :func:`repeated_lines_and_paragraphs` of the documents table in DuckDB.
+UNIT_ORACLE = """WITH l AS (
+  SELECT 'line' AS unit, doc_id, string_split(text, chr(10)) AS us, regexp_extract_all(text, '\\n') AS gaps FROM documents
+  UNION ALL
+  SELECT 'paragraph', doc_id, string_split_regex(text, '\\n[ \\t\\r]*(?:\\n[ \\t\\r]*)+'),
+         regexp_extract_all(text, '\\n[ \\t\\r]*(?:\\n[ \\t\\r]*)+') FROM documents),
+n AS (SELECT unit, doc_id, us, gaps, UNNEST(generate_series(1, len(us))) AS i FROM l),
+u AS (SELECT unit, doc_id, CAST(coalesce(list_sum(list_transform(us[1:i - 1], lambda x: length(x))), 0)
+             + coalesce(list_sum(list_transform(gaps[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS s, us[i] AS raw,
+             trim(regexp_replace(lower(us[i]), '\\s+', ' ', 'g')) AS norm FROM n),
+w AS (SELECT unit, doc_id, s, s + length(raw) AS e, row_number() OVER p AS rn, count(*) OVER (PARTITION BY unit, norm) AS n,
+             first_value(doc_id) OVER p AS kd, first_value(s) OVER p AS ks, first_value(s + length(raw)) OVER p AS ke
+      FROM u WHERE norm <> '' WINDOW p AS (PARTITION BY unit, norm ORDER BY doc_id, s))
+SELECT unit, doc_id, s AS start, e AS "end", kd AS kept_doc_id, ks AS kept_start, ke AS kept_end, n AS occurrences FROM w WHERE rn > 1"""

@@ -47,6 +47,11 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.repeated_units(table(spark, sf_dir, "documents")).drop("__row1", "__row2")
 
 
+def op4_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line and every paragraph removed as a repetition, however short."""
+    return line_dedup.repeated_lines_and_paragraphs(table(spark, sf_dir, "documents")).drop("__row1", "__row2")
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; labels are learned from two folds of three."""
     docs = table(spark, sf_dir, "documents")
@@ -84,8 +89,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.coalesce(fold(5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_quality_rules, op3_token_ids, op4_line_dedup, op5_toxicity,
-                                   op6_decontaminate, op7_pii, op8_simhash, op9_mixing, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_quality_rules, op3_token_ids, op4_line_dedup, op4_unit_dedup,
+                                   op5_toxicity, op6_decontaminate, op7_pii, op8_simhash, op9_mixing, op10_quality)}
 
 #: What SQL can express; the others are tested against brute force.
-ORACLE_SQL: dict[str, str] = {"op1_license_scan": license_scan.ORACLE, "op4_line_dedup": line_dedup.ORACLE, "op7_pii": pii.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op1_license_scan": license_scan.ORACLE, "op4_line_dedup": line_dedup.ORACLE,
+                              "op4_unit_dedup": line_dedup.UNIT_ORACLE, "op7_pii": pii.ORACLE}

@@ -5,7 +5,7 @@ import random
 import pytest
 from common_rows import frame, ids
 
-from envlake.llm.line_dedup import dedup_units, repeated_units, units_of
+from envlake.llm.line_dedup import dedup_units, repeated_lines_and_paragraphs, repeated_units, units_of
 
 
 def slow(rows, unit, min_words):
@@ -62,3 +62,11 @@ def test_awkward_rows(spark):
     assert kept == [4]  # one occurrence in all, repeated rows included
     assert {r.text for r in out.where("doc_id = 2").collect()} == {None}
     assert repeated_units(frame(spark, [])).count() == 0 and dedup_units(frame(spark, [])).count() == 0
+
+
+def test_short_lines_and_wrapped_passages(spark):
+    rows = [(1, "Read on\n\nalpha beta gamma\ndelta epsilon\n\n-"), (2, "read  ON\nown words here"), (3, "alpha beta\ngamma delta epsilon\n\n\n-"), (4, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.unit, r.doc_id, r.start, r.end): (r.kept_doc_id, r.kept_start, r.kept_end, r.occurrences) for r in repeated_lines_and_paragraphs(df).collect()}
+    assert got == {("line", 2, 0, 8): (1, 0, 7, 2), ("line", 3, 33, 34): (1, 41, 42, 2),
+                   ("paragraph", 3, 0, 30): (1, 9, 39, 2), ("paragraph", 3, 33, 34): (1, 41, 42, 2)}
