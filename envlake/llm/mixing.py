@@ -1,16 +1,21 @@
 """Mixing sources to target weights by Pfair scheduling.
 
 Each source's documents, in a fixed shuffled order, are cut into blocks of equal
-size. Block ``i`` of a source of weight ``w`` is released at slot ``floor(i/w)``
-and due at slot ``ceil((i+1)/w)``; one block goes to each slot, and of those
+size. In the ideal mix every source flows at its weight's share of the weights of
+the sources that last; block ``i`` is released in the slot in which the flow begins
+it and due when the flow has ended it. One block goes to each slot, and of those
 released the one due earliest goes first. Then after any number of slots each
-source is less than one block away from its share.
+source is less than one block away from its share, whatever the weights are, and
+every document is placed, exactly once.
 
-Weights are whole quotas of a period of ``PERIOD`` slots, so the schedule
-repeats and the driver lays out a single period, whatever the size of the data.
-When a source runs out, the others' weights are scaled up and a new phase
-begins; every document is placed, exactly once. Positions are then arithmetic on
-(source, block), joined to the documents.
+Weights are not rounded, so no period repeats: the slots are laid out one after
+another, in one task that holds a few numbers a source and hands the slots on as it
+goes (one a block of ``BLOCK_CHARS`` characters). Documents are joined to them by
+(source, block).
+
+A caller who gives a ``period`` gets weights in whole quotas of it instead: the
+schedule repeats, the driver lays out one period a phase (a phase ends where a
+source runs out), and shares hold against the rounded weights only.
 
 Running sizes are not summed over a whole source in one task: a source is dealt
 into buckets of about ``BUCKET_ROWS`` documents by a digest of the id, buckets
@@ -20,9 +25,11 @@ are summed first, and only then each bucket's documents.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +42,8 @@ BUCKET_ROWS = 2000
 MAX_SOURCES = 500
 #: Without given weights a source weighs its characters to this power.
 TEMPER = 0.7
+#: Parts of a slot that count as a rounding error.
+NEAR = 1e-6
 
 
 def quotas(weights: Mapping, period: int) -> dict:
@@ -102,12 +111,99 @@ def plan(blocks: Mapping, weights: Mapping, period: int = PERIOD) -> list[Phase]
     return phases
 
 
-def mix(docs: DataFrame, weights: Mapping | None = None, block_chars: int = BLOCK_CHARS, period: int = PERIOD,
+class Flow:
+    """The ideal mix. Its clock is the flow of a source by unit of its weight: block ``i``
+    of a source of weight ``w`` begins at ``i / w``. ``slots`` turns that into slots, at a
+    rate that falls where a source runs out."""
+
+    def __init__(self, blocks: Sequence[int], weights: Sequence[float]) -> None:
+        w = np.array(weights, dtype=float)
+        ends = np.array(blocks, dtype=float) / w
+        order = np.argsort(ends, kind="stable")
+        self.clock = np.concatenate([[0.0], ends[order]])
+        self.rate = np.cumsum(w[order][::-1])[::-1]
+        self.time = np.concatenate([[0.0], np.cumsum(self.rate * np.diff(self.clock))])
+
+    def slots(self, clock: np.ndarray) -> np.ndarray:
+        k = np.clip(np.searchsorted(self.clock, clock, "right") - 1, 0, len(self.rate) - 1)
+        return self.time[k] + self.rate[k] * (clock - self.clock[k])
+
+
+def exact_slots(blocks: Sequence[int], weights: Sequence[float], batch: int = 1 << 16) -> Iterator[tuple[np.ndarray, ...]]:
+    """``source`` (its index), ``block, slot, release, due`` of all blocks in the order
+    of the slots, by batches. ``blocks`` and ``weights`` are positive."""
+    if not len(blocks):
+        return
+    flow = Flow(blocks, weights)
+    clock, rate, time = flow.clock.tolist(), flow.rate.tolist(), flow.time.tolist()
+    w, total = np.array(weights, dtype=float), sum(blocks)
+    weight, number, done = w.tolist(), list(blocks), [0] * len(blocks)
+    ready = [(1 / x, s) for s, x in enumerate(weight)]
+    heapq.heapify(ready)
+    waiting: list = []
+    k, last = 0, len(rate) - 1
+    for begin in range(0, total, batch):
+        source, block = [], []
+        for slot in range(begin, min(total, begin + batch)):
+            end = slot + 1 - NEAR
+            while k < last and time[k + 1] <= end:
+                k += 1
+            now = clock[k] + (end - time[k]) / rate[k]
+            while waiting and waiting[0][0] < now:
+                s = heapq.heappop(waiting)[1]
+                heapq.heappush(ready, ((done[s] + 1) / weight[s], s))
+            # Some block is always released; a rounding error may hide it for a slot.
+            s = heapq.heappop(ready or waiting)[1]
+            source.append(s)
+            block.append(done[s])
+            done[s] += 1
+            if done[s] < number[s]:
+                heapq.heappush(waiting, (done[s] / weight[s], s))
+        at, i = np.array(source), np.array(block)
+        release, due = flow.slots(i / w[at]), flow.slots((i + 1) / w[at])
+        yield (at, i, np.arange(begin, begin + len(i)), np.floor(release + NEAR).astype("int64"),
+               np.ceil(due - NEAR).astype("int64"))
+
+
+def laid_out(sources: DataFrame) -> DataFrame:
+    """``source, block, slot, release, due`` of ``source, blocks, weight``, by :func:`exact_slots`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted(r for b in batches for r in zip(*(c.to_pylist() for c in b.columns)))
+        names = pa.array([r[0] for r in rows], pa.string())
+        for at, *numbers in exact_slots([r[1] for r in rows], [r[2] for r in rows]):
+            yield pa.RecordBatch.from_arrays([names.take(pa.array(at)), *(pa.array(x, pa.int64()) for x in numbers)],
+                                             names=["source", "block", "slot", "release", "due"])
+
+    return staged(sources.select("source", "blocks", "weight").repartition(1).mapInArrow(
+        run, "source string, block long, slot long, release long, due long"), "slots")
+
+
+def _in_periods(at: DataFrame, totals: Mapping, weights: Mapping, block_chars: int, period: int) -> DataFrame:
+    """``at`` with ``release, due, slot`` of the schedule that repeats its period."""
+    spark = at.sparkSession
+    phases = plan({s: -(-t // block_chars) for s, t in totals.items()}, weights, period)
+    begins = spark.createDataFrame(
+        [(s, k, p.slot, p.first[s], p.quota[s], sum(p.quota.values()), p.slots[s]) for k, p in enumerate(phases) for s in p.first],
+        "source string, phase int, begin long, first long, quota long, period long, slots array<int>")
+    begins = begins.withColumn("next", F.lead("first").over(Window.partitionBy("source").orderBy("phase")))
+    # One row a source: its phases, so that a document row meets one row, not each phase.
+    begins = begins.groupBy("source").agg(F.array_sort(F.collect_list(F.struct("first", "next", "begin", "quota", "period", "slots"))).alias("phases"))
+    # Bounded: MAX_SOURCES phases of at most 10 * MAX_SOURCES or PERIOD slots.
+    at = at.join(F.broadcast(begins), "source").withColumn("p", F.expr("filter(phases, p -> p.first <= block and (p.next is null or block < p.next))[0]"))
+    i = "(block - p.first)"
+    return at.select(
+        "*", F.expr(f"{i} * p.period div p.quota").alias("release"),
+        F.expr(f"(({i} + 1) * p.period + p.quota - 1) div p.quota").alias("due"),
+        F.expr(f"p.begin + {i} div p.quota * p.period + p.slots[cast({i} % p.quota as int)]").alias("slot"))
+
+
+def mix(docs: DataFrame, weights: Mapping | None = None, block_chars: int = BLOCK_CHARS, period: int | None = None,
         bucket_rows: int = BUCKET_ROWS, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source") -> DataFrame:
     """Where each row goes: ``id_col, source, block`` (the source's block in which
-    the row begins), ``release, due`` (slots, counted from the start of its phase),
-    ``slot`` (the block's slot) and ``place`` (the row's order among a block's
+    the row begins), ``release, due`` (slots; with a ``period``, counted from the start
+    of its phase), ``slot`` (the block's slot) and ``place`` (the row's order among a block's
     rows), with the row's key ``__row1, __row2``. Order by ``slot, place``.
 
     ``weights`` maps sources to positive numbers and must name every source found;
@@ -141,32 +237,23 @@ def mix(docs: DataFrame, weights: Mapping | None = None, block_chars: int = BLOC
         weights = {s: t ** TEMPER for s, t in totals.items()}
     if missing := [s for s in totals if not weights.get(s, 0) > 0]:
         raise ValueError(f"no positive weight for {missing[:5]}")
-    phases = plan({s: -(-t // block_chars) for s, t in totals.items()}, weights, period)
-    begins = spark.createDataFrame(
-        [(s, k, p.slot, p.first[s], p.quota[s], sum(p.quota.values()), p.slots[s]) for k, p in enumerate(phases) for s in p.first],
-        "source string, phase int, begin long, first long, quota long, period long, slots array<int>")
-    begins = begins.withColumn("next", F.lead("first").over(Window.partitionBy("source").orderBy("phase")))
-    # One row a source: its phases, so that a document row meets one row, not each phase.
-    begins = begins.groupBy("source").agg(F.array_sort(F.collect_list(F.struct("first", "next", "begin", "quota", "period", "slots"))).alias("phases"))
-
     running = Window.partitionBy("source", "bucket").orderBy("__row1", "__row2").rowsBetween(Window.unboundedPreceding, -1)
     at = (same.join(sums.select("source", "bucket", "before"), ["source", "bucket"])
           .withColumn("start", F.col("before") + F.coalesce(F.sum(F.col("size") * F.col("n")).over(running), F.lit(0))))
     # Of identical rows the k-th begins k sizes later.
     at = at.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
     at = at.withColumn("start", F.col("start") + F.col("k") * F.col("size")).withColumn("block", F.expr(f"start div {block_chars}"))
-    # Bounded: MAX_SOURCES phases of at most 10 * MAX_SOURCES or PERIOD slots.
-    at = at.join(F.broadcast(begins), "source").withColumn("p", F.expr("filter(phases, p -> p.first <= block and (p.next is null or block < p.next))[0]"))
-    i = "(block - p.first)"
-    return at.select(
-        F.col("__id").alias(id_col), "source", "block",
-        F.expr(f"{i} * p.period div p.quota").alias("release"),
-        F.expr(f"(({i} + 1) * p.period + p.quota - 1) div p.quota").alias("due"),
-        F.expr(f"p.begin + {i} div p.quota * p.period + p.slots[cast({i} % p.quota as int)]").alias("slot"),
-        F.expr(f"start % {block_chars}").alias("place"), "__row1", "__row2", "n")
+    if period is None:
+        sources = spark.createDataFrame([(s, -(-t // block_chars), float(weights[s])) for s, t in totals.items()],
+                                        "source string, blocks long, weight double")
+        at = at.join(laid_out(sources), ["source", "block"])
+    else:
+        at = _in_periods(at, totals, weights, block_chars, period)
+    return at.select(F.col("__id").alias(id_col), "source", "block", "release", "due", "slot",
+                     F.expr(f"start % {block_chars}").alias("place"), "__row1", "__row2", "n")
 
 
-def mixed(docs: DataFrame, weights: Mapping | None = None, block_chars: int = BLOCK_CHARS, period: int = PERIOD,
+def mixed(docs: DataFrame, weights: Mapping | None = None, block_chars: int = BLOCK_CHARS, period: int | None = None,
           id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """Every row of ``docs`` with its columns, in mixed order: partitions are ranges
     of the order and sorted, so files written from it follow each other."""

@@ -4,10 +4,11 @@ slot-by-slot simulation."""
 import math
 import random
 
+import numpy as np
 import pytest
 from common_rows import frame, ids
 
-from envlake.llm.mixing import mix, mixed, period_slots, plan, quotas
+from envlake.llm.mixing import Flow, exact_slots, mix, mixed, period_slots, plan, quotas
 
 
 def test_quotas_are_whole_and_complete():
@@ -132,3 +133,37 @@ def test_awkward_rows(spark):
     out = mixed(frame(spark), block_chars=50)
     assert out.columns == frame(spark).columns and ids(out) == ids(frame(spark))
     assert mix(frame(spark, [])).count() == 0 and mixed(frame(spark, [])).count() == 0
+
+
+def odd_weights(n, seed):
+    rnd = random.Random(seed)
+    return {f"s{i:05}": rnd.random() ** 3 + 1e-5 for i in range(n)}
+
+
+def test_unrounded_weights_keep_under_a_block_over_thousands_of_periods():
+    weights = list(odd_weights(20, 6).values())
+    share, total = np.array(weights) / sum(weights), 2_100_000
+    blocks = [max(1, round(x * total)) for x in share]
+    blocks[3] //= 2  # runs out half-way; the flow is then shared by the others
+    flow, seen = Flow(blocks, weights), np.zeros(20)
+    for at, i, slot, release, due in exact_slots(blocks, weights, batch=1000):
+        assert (release <= slot).all() and (slot < due).all()
+        count = seen + np.cumsum(at[:, None] == np.arange(20), axis=0)
+        clock = np.interp(slot + 1, flow.time, flow.clock)
+        ideal = np.minimum(clock[:, None] * np.array(weights), blocks)
+        assert np.abs(count - ideal).max() < 1 + 1e-5
+        seen = count[-1]
+    assert seen.tolist() == blocks and slot[-1] + 1 == sum(blocks)
+
+
+def test_mix_does_not_drift_from_the_weights(spark):
+    weights = odd_weights(20, 7)
+    total = sum(weights.values())
+    rows = [(k, "x", s) for k, s in enumerate(s for s, w in weights.items() for _ in range(round(w / total * 30_000) + 1))]
+    got = mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), weights, block_chars=1).collect()
+    assert sorted(r.slot for r in got) == list(range(len(rows)))
+    assert all(r.release <= r.slot < r.due for r in got)
+    seen = dict.fromkeys(weights, 0)
+    for t, s in sorted((r.slot, r.source) for r in got)[:29_000]:
+        seen[s] += 1
+        assert abs(seen[s] - (t + 1) * weights[s] / total) < 1 + 1e-5
