@@ -10,12 +10,14 @@ every document is placed, exactly once.
 
 Weights are not rounded, so no period repeats: the slots are laid out one after
 another, in one task that holds a few numbers a source and hands the slots on as it
-goes (one a block of ``BLOCK_CHARS`` characters). Documents are joined to them by
+goes (one a block of ``BLOCK_CHARS`` characters). The number of sources has no bound
+but that task's memory (under 1 kB a source). Documents are joined to them by
 (source, block).
 
 A caller who gives a ``period`` gets weights in whole quotas of it instead: the
 schedule repeats, the driver lays out one period a phase (a phase ends where a
-source runs out), and shares hold against the rounded weights only.
+source runs out), shares hold against the rounded weights only, and more than
+``MAX_SOURCES`` sources raise an error.
 
 Running sizes are not summed over a whole source in one task: a source is dealt
 into buckets of about ``BUCKET_ROWS`` documents by a digest of the id, buckets
@@ -38,7 +40,8 @@ from envlake.llm.common import row_key, staged, whole_rows
 PERIOD = 1000
 BLOCK_CHARS = 20_000
 BUCKET_ROWS = 2000
-#: Most sources; the driver holds a few numbers of each and a period's slots of each phase.
+#: Most sources with a given period; the driver then holds a few numbers of each and a
+#: period's slots of each phase.
 MAX_SOURCES = 500
 #: Without given weights a source weighs its characters to this power.
 TEMPER = 0.7
@@ -179,10 +182,13 @@ def laid_out(sources: DataFrame) -> DataFrame:
         run, "source string, block long, slot long, release long, due long"), "slots")
 
 
-def _in_periods(at: DataFrame, totals: Mapping, weights: Mapping, block_chars: int, period: int) -> DataFrame:
+def _in_periods(at: DataFrame, sources: DataFrame, period: int) -> DataFrame:
     """``at`` with ``release, due, slot`` of the schedule that repeats its period."""
     spark = at.sparkSession
-    phases = plan({s: -(-t // block_chars) for s, t in totals.items()}, weights, period)
+    rows = sources.limit(MAX_SOURCES + 1).collect()
+    if len(rows) > MAX_SOURCES:
+        raise ValueError(f"a period takes at most {MAX_SOURCES} sources; without one there is no bound")
+    phases = plan({r.source: r.blocks for r in rows}, {r.source: r.weight for r in rows}, period)
     begins = spark.createDataFrame(
         [(s, k, p.slot, p.first[s], p.quota[s], sum(p.quota.values()), p.slots[s]) for k, p in enumerate(phases) for s in p.first],
         "source string, phase int, begin long, first long, quota long, period long, slots array<int>")
@@ -210,7 +216,8 @@ def mix(docs: DataFrame, weights: Mapping | None = None, block_chars: int = BLOC
     without it a source weighs its characters to the power ``TEMPER``. A null source
     is the source ``''``. A row's size is its characters, at least 1 (null and empty
     texts too); a row larger than a block uses up the slots of those it covers, so
-    long texts do not buy a source more than its share. Repeated rows get places of
+    long texts do not buy a source more than its share. Any number of sources is
+    taken, unless a ``period`` is given (at most ``MAX_SOURCES``). Repeated rows get places of
     their own. An empty table gives an empty result; other columns only enter the
     row's digest.
     """
@@ -230,25 +237,23 @@ def mix(docs: DataFrame, weights: Mapping | None = None, block_chars: int = BLOC
     sums = same.groupBy("source", "bucket").agg(F.sum(F.col("size") * F.col("n")).alias("sum"))
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = staged(sums.withColumn("before", F.coalesce(F.sum("sum").over(before), F.lit(0))), "buckets")
-    totals = {r.source: r.total for r in sums.groupBy("source").agg(F.sum("sum").alias("total")).limit(MAX_SOURCES + 1).collect()}
-    if len(totals) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
+    sources = sums.groupBy("source").agg(F.sum("sum").alias("total"))
     if weights is None:
-        weights = {s: t ** TEMPER for s, t in totals.items()}
-    if missing := [s for s in totals if not weights.get(s, 0) > 0]:
-        raise ValueError(f"no positive weight for {missing[:5]}")
+        sources = sources.withColumn("weight", F.pow(F.col("total").cast("double"), F.lit(TEMPER)))
+    else:
+        given = spark.createDataFrame([(s, float(w)) for s, w in weights.items()], "source string, weight double")
+        sources = sources.join(given, "source", "left")
+    sources = staged(sources.withColumn("blocks", F.expr(f"(total + {block_chars} - 1) div {block_chars}")), "sources")
+    # NaN counts as larger than any number.
+    if missing := sources.where("not coalesce(weight > 0 and weight < double('inf'), false)").limit(5).collect():
+        raise ValueError(f"no positive weight for {[r.source for r in missing]}")
     running = Window.partitionBy("source", "bucket").orderBy("__row1", "__row2").rowsBetween(Window.unboundedPreceding, -1)
     at = (same.join(sums.select("source", "bucket", "before"), ["source", "bucket"])
           .withColumn("start", F.col("before") + F.coalesce(F.sum(F.col("size") * F.col("n")).over(running), F.lit(0))))
     # Of identical rows the k-th begins k sizes later.
     at = at.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
     at = at.withColumn("start", F.col("start") + F.col("k") * F.col("size")).withColumn("block", F.expr(f"start div {block_chars}"))
-    if period is None:
-        sources = spark.createDataFrame([(s, -(-t // block_chars), float(weights[s])) for s, t in totals.items()],
-                                        "source string, blocks long, weight double")
-        at = at.join(laid_out(sources), ["source", "block"])
-    else:
-        at = _in_periods(at, totals, weights, block_chars, period)
+    at = at.join(laid_out(sources), ["source", "block"]) if period is None else _in_periods(at, sources, period)
     return at.select(F.col("__id").alias(id_col), "source", "block", "release", "due", "slot",
                      F.expr(f"start % {block_chars}").alias("place"), "__row1", "__row2", "n")
 

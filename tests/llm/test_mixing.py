@@ -167,3 +167,16 @@ def test_mix_does_not_drift_from_the_weights(spark):
     for t, s in sorted((r.slot, r.source) for r in got)[:29_000]:
         seen[s] += 1
         assert abs(seen[s] - (t + 1) * weights[s] / total) < 1 + 1e-5
+
+
+def test_more_sources_than_a_period_takes(spark):
+    rows = [(i, "x" * (1 + i % 37), f"site{i % 1300}.example") for i in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for weights in (None, {f"site{i}.example": 1 + i % 5 for i in range(1300)}):
+        got = mix(df, weights, block_chars=20).collect()
+        assert sorted(r.doc_id for r in got) == list(range(4000)) and len({r.source for r in got}) == 1300
+        slot = {(r.source, r.block): r.slot for r in got}
+        assert len(set(slot.values())) == len(slot) and all(r.release <= r.slot < r.due for r in got)
+    assert ids(mixed(df)) == ids(df)
+    with pytest.raises(ValueError):
+        mix(df, period=1000)
