@@ -8,7 +8,8 @@ are retained, and each is verified by an alignment inside its band.
 
 The items are the small side: they travel to the tasks in blocks of a bounded
 number of characters, checked before anything is gathered; more items mean more
-passes. Documents are only read; nothing is shuffled.
+passes. Copies of a text travel once, however many items have it; the items' ids are
+joined to the matches. Documents are only read and not shuffled.
 """
 
 from __future__ import annotations
@@ -20,9 +21,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
-from envlake.llm.common import row_key, small_batches
+from envlake.llm.common import row_key, small_batches, staged
 
 #: Characters of a q-gram, and edits allowed as a share of the item's characters.
 Q = 8
@@ -189,6 +189,25 @@ def align(item: np.ndarray, x: np.ndarray, low: int, high: int, k: int) -> tuple
     return end - length, end, edits
 
 
+def _item_texts(items: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """``key, t``: each text that holds anything, once; and ``key, i``: whose it is."""
+    src = items.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{text_col}`").alias("t")).where("t <> ''")
+    src = src.withColumn("key", F.sha2(F.col("t").cast("binary"), 256))
+    return staged(src.select("key", "t").distinct(), "texts"), staged(src.select("key", "i").distinct(), "items")
+
+
+def _apart(hits: DataFrame) -> DataFrame:
+    """Where an item has several texts: of its matches that overlap in a row, the one
+    with the fewest edits, as often as the row is repeated."""
+    rows = [F.col(c) for c in ("__id", "__row1", "__row2", "__item")]
+    each = hits.groupBy(*rows, "key", "start", "end", "edits").agg(F.count("*").alias("n"))
+    per = each.groupBy(*rows).agg(F.array_sort(F.collect_set(F.struct("edits", "start", "end"))).alias("all"), F.max("n").alias("n"))
+    left = F.expr("aggregate(all, slice(all, 1, 0), (o, x) -> "
+                  "if(exists(o, y -> y.start < x.end and x.start < y.end), o, concat(o, array(x))))")
+    return (per.select(*rows, "n", F.explode(left).alias("m")).withColumn("n", F.explode(F.expr("sequence(1L, n)")))
+            .select(*rows, "m.start", "m.end", "m.edits"))
+
+
 def item_blocks(items: DataFrame, id_col: str, text_col: str, block_chars: int) -> Iterator[list[tuple]]:
     """The items in blocks of about ``block_chars`` characters; the size is asked
     before anything is gathered, and one block at a time is on the driver."""
@@ -214,9 +233,8 @@ def find_contamination(docs: DataFrame, items: DataFrame, q: int = Q, max_error:
     """
     small_batches(docs.sparkSession)
     src = docs.select(F.col(f"`{id_col}`").alias("__id"), *row_key(docs), F.col(f"`{text_col}`").alias("__text"))
-    id_type, item_type = src.schema["__id"].dataType.simpleString(), items.schema[item_col].dataType.simpleString()
-    item_arrow = to_arrow_type(items.schema[item_col].dataType)
-    schema = (f"__id {id_type}, __row1 bigint, __row2 bigint, __item {item_type}, start bigint, end bigint, edits bigint")
+    id_type = src.schema["__id"].dataType.simpleString()
+    schema = (f"__id {id_type}, __row1 bigint, __row2 bigint, key string, start bigint, end bigint, edits bigint")
 
     def matcher(block: list[tuple]):
         shared = docs.sparkSession.sparkContext.broadcast(block)
@@ -231,14 +249,17 @@ def find_contamination(docs: DataFrame, items: DataFrame, q: int = Q, max_error:
                         got.append(hit)
                 at = pa.array(row, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(i).take(at) for i in range(3)] + [pa.array([g[0] for g in got], item_arrow)]
+                    [b.column(i).take(at) for i in range(3)] + [pa.array([g[0] for g in got], pa.string())]
                     + [pa.array([g[i] for g in got], pa.int64()) for i in (1, 2, 3)],
-                    names=["__id", "__row1", "__row2", "__item", "start", "end", "edits"])
+                    names=["__id", "__row1", "__row2", "key", "start", "end", "edits"])
         return run
 
-    parts = [src.mapInArrow(matcher(block), schema) for block in item_blocks(items, item_col, item_text_col, block_chars)]
-    return (reduce(DataFrame.unionAll, parts)
-            .select(F.col("__id").alias(id_col), F.col("__item").alias(item_col), "start", "end", "edits", "__row1", "__row2"))
+    texts, owners = _item_texts(items, item_col, item_text_col)
+    parts = [src.mapInArrow(matcher(block), schema) for block in item_blocks(texts, "key", "t", block_chars)]
+    hits = reduce(DataFrame.unionAll, parts).join(owners.withColumnRenamed("i", "__item"), "key")
+    if not owners.groupBy("i").count().where("count > 1").isEmpty():
+        hits = _apart(hits)
+    return (hits.select(F.col("__id").alias(id_col), F.col("__item").alias(item_col), "start", "end", "edits", "__row1", "__row2"))
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, q: int = Q, max_error: float = MAX_ERROR,
@@ -251,7 +272,8 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, q: int = Q, max_error:
     names, out = docs.columns, docs
     at = names.index(text_col)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    for block in item_blocks(items, item_col, item_text_col, block_chars):
+    texts, _ = _item_texts(items, item_col, item_text_col)
+    for block in item_blocks(texts, "key", "t", block_chars):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

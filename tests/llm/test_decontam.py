@@ -118,3 +118,25 @@ def test_awkward_rows(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert find_contamination(frame(spark), none).count() == 0 and ids(drop_contaminated(frame(spark), none)) == ids(frame(spark))
     assert find_contamination(frame(spark, []), items).count() == 0 and drop_contaminated(frame(spark, []), items).count() == 0
+
+
+def test_copies_of_an_item_travel_once(spark, monkeypatch):
+    import envlake.llm.decontam as D
+    text = "the quick brown fox jumps over the lazy dog near the river bank"
+    other = "a second passage of some length that stands in one document only"
+    items = spark.createDataFrame([(i, text) for i in range(400)] + [(i, "") for i in range(400, 500)] + [(500, other)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"So {text}."), (1, f"So {text}."), (2, f"And {other}!"), (3, "clean")], "doc_id long, text string")
+    sizes, blocks = [], D.item_blocks
+    monkeypatch.setattr(D, "item_blocks", lambda *a: (sizes.append(len(b)) or b for b in blocks(*a)))
+    got = sorted((r.doc_id, r.item_id) for r in find_contamination(docs, items, block_chars=200).collect())
+    assert got == sorted([(1, i) for i in range(400)] * 2 + [(2, 500)])
+    assert ids(drop_contaminated(docs, items, block_chars=200)) == [3]
+    assert sum(sizes) == 4  # two texts for each of the two calls
+
+
+def test_an_item_of_several_texts_reports_a_place_once(spark):
+    text = "the quick brown fox jumps over the lazy dog near the river bank"
+    items = spark.createDataFrame([(1, text), (1, text.replace("quick", "quirk")), (2, text.replace("lazy", "lady"))], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"So {text}."), (1, f"So {text}.")], "doc_id long, text string")
+    got = sorted((r.item_id, r.start, r.end, r.edits) for r in find_contamination(docs, items).collect())
+    assert got == [(1, 3, 66, 0)] * 2 + [(2, 3, 66, 1)] * 2
