@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from envlake.llm import (
-    bitpack, crf_quality, decontam, exact_topk, filter_audit, line_dedup, license_scan, mcd_quality, mixing, pii, pu_toxicity)
+    bitpack, crf_quality, decontam, exact_topk, filter_audit, line_dedup, license_scan, mcd_quality, mixing, pii, prefix_trie,
+    pu_toxicity)
 from envlake.llm.common import table
 from envlake.llm.simhash import simhash_groups
 
@@ -90,6 +91,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.coalesce(fold(5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all conversations, rebuilt with shared first turns."""
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each of five filters removes, for every source, order and step."""
     return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -102,9 +108,9 @@ def op13_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_license_scan, op2_quality_rules, op3_token_ids, op4_line_dedup, op4_unit_dedup,
                                    op5_toxicity, op6_decontaminate, op7_pii, op8_simhash, op9_mixing, op10_quality,
-                                   op12_filter_audit, op13_exact_topk)}
+                                   op11_prefix_trie, op12_filter_audit, op13_exact_topk)}
 
 #: What SQL can express; the others are tested against brute force.
 ORACLE_SQL: dict[str, str] = {"op1_license_scan": license_scan.ORACLE, "op4_line_dedup": line_dedup.ORACLE,
-                              "op4_unit_dedup": line_dedup.UNIT_ORACLE, "op7_pii": pii.ORACLE,
+                              "op4_unit_dedup": line_dedup.UNIT_ORACLE, "op7_pii": pii.ORACLE, "op11_prefix_trie": prefix_trie.ORACLE,
                               "op12_filter_audit": filter_audit.ORACLE, "op13_exact_topk": exact_topk.ORACLE}
