@@ -22,8 +22,8 @@ FILE_MESSAGES = 50_000
 
 
 def topic_files(events: DataFrame, rows: int = FILE_MESSAGES) -> int:
-    """Files to land, from the number of messages (six at least, to have batches)."""
-    return max(6, -(-events.count() // rows))
+    """Files to land, from the number of messages (24 at least, to have batches of several)."""
+    return max(24, -(-events.count() // rows))
 
 
 def land_as_topic(events: DataFrame, path: str, files: int) -> None:
@@ -46,7 +46,7 @@ def replay_events_as_stream(spark: SparkSession, events: DataFrame, files: int |
     land_as_topic(events, f"{root}/topic", files)
     spec = SourceSpec(name="events", event=EVENTS_SPEC, key=["user_id", "event_type"],
                       table_path=f"{root}/table", dlq_path=f"{root}/dlq", order_cols=["ts", "event_id"],
-                      clock_col=None)
+                      clock_col=None, buckets=8)
     spec.to_record = lambda v: v.select("user_id", "event_type", "event_id", "ts", "value")
     run_available(spark, spec, f"{root}/topic", f"{root}/checkpoint", max_files_per_trigger=files_per_batch)
     return read_table(spark, spec.table_path).drop(ORDER_COL, PART)
