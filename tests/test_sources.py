@@ -144,15 +144,24 @@ def envelope(**over):
 
 def test_envelopes_are_taken_or_refused_whole(spark):
     result = {"locationsId": 41, "sensorsId": 501, "datetime": {"utc": "2025-07-09T18:00:00Z"}, "value": 2.0}
-    cases = [(envelope(), None), (envelope(licenses=None, sensors=None, latest=None), None),
-             (envelope(location={"id": "4x"}), "invalid:location.id"), (envelope(location={}), "invalid:location.id"), ("{", "invalid:location.id"),
-             (envelope(licenses=[{"openaq_license_id": None}]), "invalid:license.id"), (envelope(sensors=[{"id": "501"}, {"id": "a"}]), "invalid:sensor.id"),
-             (envelope(latest={"results": [result, {**result, "sensorsId": 0}]}), "missing:openaq_sensors_id"),
-             (envelope(latest={"results": [{**result, "locationsId": None}]}), "missing:openaq_locations_id"),
-             (envelope(latest={"results": [{**result, "datetime": {}}]}), "missing:datetime_utc")]
+    cases = [(envelope(), None), (envelope(licenses=None, sensors=None, latest=None), None), (envelope(licenses="", sensors=0, latest=False, meta=None), None),
+             (envelope(location={"id": "4x"}), "invalid:location.id"), (envelope(location={}), "invalid:location.id"), (envelope(location="Pier"), "invalid:location"),
+             (envelope(location={"id": 4, "country": "NZ"}), "invalid:location.country"), (envelope(location={"id": 4, "coordinates": {"latitude": "north"}}), "invalid:location.coordinates.latitude"),
+             (envelope(location={"id": 4, "firstSeenAt": "once"}), "invalid:location.firstSeenAt"), (envelope(location={"id": 4, "name": ["Pier"]}), "invalid:location.name"),
+             ("{", "malformed_json"), (envelope() + " x", "malformed_json"), (envelope()[:-9], "malformed_json"), ("[1]", "not_an_object"), ("7", "not_an_object"),
+             (envelope(licenses=[{"openaq_license_id": None}]), "invalid:licenses[0].openaq_license_id"), (envelope(licenses={"a": 1}), "invalid:licenses"),
+             (envelope(licenses=[{"openaq_license_id": 1, "commercial_use_allowed": "yes"}]), "invalid:licenses[0].commercial_use_allowed"),
+             (envelope(sensors=[{"id": "501"}, {"id": "a"}]), "invalid:sensors[1].id"), (envelope(sensors="bad"), "invalid:sensors"),
+             (envelope(sensors=[5]), "invalid:sensors[0]"), (envelope(sensors=[{"id": 1, "parameter": "pm"}]), "invalid:sensors[0].parameter"),
+             (envelope(latest={"results": [result, {**result, "sensorsId": 0}]}), "missing:latest.results[1].sensorsId"),
+             (envelope(latest={"results": [{**result, "locationsId": None}]}), "missing:latest.results[0].locationsId"),
+             (envelope(latest={"results": "none"}), "invalid:latest.results"), (envelope(latest="now"), "invalid:latest"),
+             (envelope(latest={"results": [{**result, "datetime": {}}]}), "missing:latest.results[0].datetime.utc"),
+             (envelope(latest={"results": [{**result, "datetime": {"utc": "noon"}}]}), "invalid:latest.results[0].datetime.utc"),
+             (envelope(meta=None), "missing:meta"), (envelope(meta="v3"), "invalid:meta"), (envelope(meta={}), None)]
     got = openaq.parse_envelopes(spark.createDataFrame([(i, v) for i, (v, _) in enumerate(cases)], "n int, value string"))
     assert {r.n: r.error for r in got.collect()} == {i: e for i, (_, e) in enumerate(cases)}
-    ok = got.where("error is null")
+    ok = got.where("n < 2")
     loc = {r.n: r for r in openaq.location_rows(ok, ["n"]).collect()}
     assert (loc[0].openaq_locations_id, loc[0].country_code, loc[0].owner_id, loc[0].latitude) == (41, "NZ", None, -41.3)
     lic = openaq.license_rows(ok, ["n"]).collect()
@@ -162,6 +171,21 @@ def test_envelopes_are_taken_or_refused_whole(spark):
     assert [(r.event_id, r.is_valid, r.quality_status) for r in m] == [("41:501:openaq.locations.latest:2025-07-09T18:00:00Z", False, "negative_value")]
 
 
+def test_values_of_envelopes_by_json_type(spark):
+    readings = [12.5, "12.5", " 7 ", True, False, "n/a", None, [1], {"a": 1}, -3, "-3", 0, "", 10 ** 15]
+    want = [(12.5, None), (12.5, None), (7.0, None), (1.0, None), (0.0, None), (None, "non_numeric_value"), (None, "missing_value"), (None, "non_numeric_value"),
+            (None, "non_numeric_value"), (-3.0, "negative_value"), (-3.0, "negative_value"), (0.0, None), (None, "non_numeric_value"), (1e15, None)]
+    result = {"locationsId": 41, "sensorsId": 501, "datetime": {"utc": "2025-07-09T18:00:00Z"}}
+    loc = {"id": 41.9, "name": 5, "country": {"id": "7"}, "owner": {"id": 2.6}, "coordinates": {"latitude": "-41.5"}, "firstSeenAt": 86400}
+    value = envelope(location=loc, latest={"results": [{**result, "value": v} for v in readings]}, licenses=[{"openaq_license_id": True, "share_alike_required": 1}])
+    env = openaq.parse_envelopes(spark.createDataFrame([(0, value)], "n int, value string"))
+    assert env.first().error is None
+    assert [(r.value, r.quality_status) for r in openaq.measurement_rows(env, ["n"]).orderBy("pos").collect()] == want
+    r = openaq.location_rows(env, ["n"]).first()
+    assert (r.openaq_locations_id, r.name, r.country_id, r.owner_id, r.latitude, r.first_seen_at_dtz) == (41, "5", 7, 3, -41.5, dt.datetime(1970, 1, 2))
+    assert [(x.openaq_license_id, x.share_alike_required) for x in openaq.license_rows(env, ["n"]).collect()] == [(1, True)]
+
+
 def test_licenses_are_enriched(spark):
     lic = spark.createDataFrame([("12", "Council"), ("13", None), ("", "x"), ("0", "x"), (None, "x")], "openaq_license_id string, license_attribution_name string")
     meta = spark.createDataFrame([("12", "open", True, None)], "openaq_license_id string, name string, commercial_use_allowed boolean, attribution_required boolean")
