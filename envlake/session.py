@@ -6,6 +6,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -81,3 +83,11 @@ def stored(df: DataFrame, name: str = "step") -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stored-{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def side_by_side(jobs: Sequence[Callable], at_once: int = 4) -> list:
+    """The results of independent ``jobs``, which submit their Spark jobs from threads of
+    their own, so that small ones do not wait for each other. The first error is raised
+    when all have ended."""
+    with ThreadPoolExecutor(max(1, min(at_once, len(jobs)))) as pool:
+        return [f.result() for f in [pool.submit(j) for j in jobs]]
