@@ -40,10 +40,16 @@ def units_of(text: str, unit: str = "line", min_words: int = MIN_WORDS) -> list[
     return out
 
 
-def unit_digests(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS, id_col: str = "doc_id",
+#: Units of one Arrow batch that goes back to Spark.
+OUT_ROWS = 20_000
+
+
+def unit_digests(docs: DataFrame, unit: str | tuple[str, ...] = "line", min_words: int = MIN_WORDS, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
-    """One row a unit: ``__id``, the row's key, ``start, end`` and the digest ``h1, h2``."""
-    if unit not in UNITS:
+    """One row a unit: ``__id``, the row's key, ``unit``, ``start, end`` and the digest ``h1, h2``.
+    Several kinds of ``unit`` are cut and hashed in one pass over the texts."""
+    units = (unit,) if isinstance(unit, str) else tuple(unit)
+    if not set(units) <= set(UNITS):
         raise ValueError(f"unit must be one of {sorted(UNITS)}")
     small_batches(docs.sparkSession)
     src = docs.select(F.col(f"`{id_col}`").alias("__id"), *row_key(docs), F.col(f"`{text_col}`").alias("__text"))
@@ -51,23 +57,39 @@ def unit_digests(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
+        def out(b: pa.RecordBatch, cols: list[list]) -> pa.RecordBatch:
+            at = pa.array(cols[0], pa.int64())
+            return pa.RecordBatch.from_arrays(
+                [b.column(i).take(at) for i in range(3)] + [pa.array(cols[1], pa.string())] + [pa.array(x, pa.int64()) for x in cols[2:]],
+                names=["__id", "__row1", "__row2", "unit", "start", "end", "h1", "h2"])
+
         for b in batches:
-            row, start, end, h1, h2 = [], [], [], [], []
-            for i, text in enumerate(b.column("__text").to_pylist()):
-                for s, e, norm in units_of(text or "", unit, min_words):
-                    digest = xxhash.xxh3_128_digest(norm.encode("utf-8", "surrogatepass"))
-                    row.append(i)
-                    start.append(s)
-                    end.append(e)
-                    h1.append(int.from_bytes(digest[:8], "little", signed=True))
-                    h2.append(int.from_bytes(digest[8:], "little", signed=True))
-            at = pa.array(row, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [b.column(i).take(at) for i in range(3)] + [pa.array(x, pa.int64()) for x in (start, end, h1, h2)],
-                names=["__id", "__row1", "__row2", "start", "end", "h1", "h2"])
+            cols: list[list] = [[] for _ in range(6)]
+            for i, text in enumerate(b.column("__text")):
+                text = text.as_py() or ""  # one text at a time, however long
+                for kind in units:
+                    for s, e, norm in units_of(text, kind, min_words):
+                        digest = xxhash.xxh3_128_digest(norm.encode("utf-8", "surrogatepass"))
+                        for c, v in zip(cols, (i, kind, s, e, int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True))):
+                            c.append(v)
+                if len(cols[0]) >= OUT_ROWS:
+                    yield out(b, cols)
+                    cols = [[] for _ in range(6)]
+            yield out(b, cols)
 
     return src.mapInArrow(run, f"__id {src.schema['__id'].dataType.simpleString()}, __row1 bigint, __row2 bigint, "
-                               "start bigint, end bigint, h1 bigint, h2 bigint")
+                               "unit string, start bigint, end bigint, h1 bigint, h2 bigint")
+
+
+def _repeated(units: DataFrame, id_col: str) -> DataFrame:
+    rank = F.struct(F.col("__id").isNull().alias("last"), "__id", "__row1", "__row2", "start", "end")
+    groups = (units.groupBy("unit", "h1", "h2").agg(F.min(rank).alias("first"), F.count("*").alias("occurrences"))
+              .where("occurrences > 1"))
+    lost = units.join(groups, ["unit", "h1", "h2"]).where(
+        "not (__row1 = first.__row1 and __row2 = first.__row2 and start = first.start)")
+    return lost.select("unit", F.col("__id").alias(id_col), "start", "end", F.col("first.__id").alias(f"kept_{id_col}"),
+                       F.col("first.start").alias("kept_start"), F.col("first.end").alias("kept_end"),
+                       "occurrences", "__row1", "__row2")
 
 
 def repeated_units(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS, id_col: str = "doc_id",
@@ -82,24 +104,19 @@ def repeated_units(docs: DataFrame, unit: str = "line", min_words: int = MIN_WOR
     A null text has no units; an empty table gives no rows; other columns only
     enter the row's digest.
     """
-    units = staged(unit_digests(docs, unit, min_words, id_col, text_col), "units")
-    rank = F.struct(F.col("__id").isNull().alias("last"), "__id", "__row1", "__row2", "start", "end")
-    groups = (units.groupBy("h1", "h2").agg(F.min(rank).alias("first"), F.count("*").alias("occurrences"))
-              .where("occurrences > 1"))
-    lost = units.join(groups, ["h1", "h2"]).where(
-        "not (__row1 = first.__row1 and __row2 = first.__row2 and start = first.start)")
-    return lost.select(F.col("__id").alias(id_col), "start", "end", F.col("first.__id").alias(f"kept_{id_col}"),
-                       F.col("first.start").alias("kept_start"), F.col("first.end").alias("kept_end"),
-                       "occurrences", "__row1", "__row2")
+    return _repeated(staged(unit_digests(docs, unit, min_words, id_col, text_col), "units"), id_col).drop("unit")
 
 
 def repeated_lines_and_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """:func:`repeated_units` of every line and of every paragraph that holds a word,
-    with ``unit`` in front. A passage wrapped differently is equal as a paragraph.
-    A place can stand in both units; removing the union loses no wording, as what
-    stays always has the smaller rank."""
-    one, two = (repeated_units(docs, u, 1, id_col, text_col).select(F.lit(u).alias("unit"), "*") for u in ("line", "paragraph"))
-    return one.unionByName(two)
+    """:func:`repeated_units` of every line and of every paragraph that holds a word, however
+    short, with ``unit`` in front, from one pass over the texts. A passage wrapped
+    differently is equal as a paragraph. A place can stand in both units; removing the union
+    loses no wording, as what stays always has the smaller rank.
+
+    Null ids rank last; a null or empty text, or one of white space, has no units; identical rows count
+    as one, as nothing tells their units apart; an empty table gives no rows; texts may
+    be of any length, and other columns, whatever their names, only enter the row's digest."""
+    return _repeated(staged(unit_digests(docs, ("line", "paragraph"), 1, id_col, text_col), "units"), id_col)
 
 
 def dedup_units(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS, id_col: str = "doc_id",
@@ -160,21 +177,8 @@ def dedup_units(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS,
     return joined.select("__doc.*", "__cut", "__copy").mapInArrow(run, schema)
 
 
-#: :func:`repeated_units` of the documents table in DuckDB.
-ORACLE = f"""WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
-n AS (SELECT doc_id, ls, UNNEST(generate_series(1, len(ls))) AS i FROM l),
-u AS (SELECT doc_id, coalesce(list_sum(list_transform(ls[1:i - 1], lambda x: length(x) + 1)), 0) AS s, ls[i] AS raw,
-             trim(regexp_replace(lower(ls[i]), '\\s+', ' ', 'g')) AS norm FROM n),
-w AS (SELECT doc_id, CAST(s AS BIGINT) AS s, CAST(s + length(raw) AS BIGINT) AS e, norm,
-             row_number() OVER (PARTITION BY norm ORDER BY doc_id, s) AS rn, count(*) OVER (PARTITION BY norm) AS n,
-             first_value(doc_id) OVER (PARTITION BY norm ORDER BY doc_id, s) AS kd,
-             first_value(CAST(s AS BIGINT)) OVER (PARTITION BY norm ORDER BY doc_id, s) AS ks,
-             first_value(CAST(s + length(raw) AS BIGINT)) OVER (PARTITION BY norm ORDER BY doc_id, s) AS ke
-      FROM u WHERE norm <> '' AND len(string_split(norm, ' ')) >= {MIN_WORDS})
-SELECT doc_id, s AS start, e AS "end", kd AS kept_doc_id, ks AS kept_start, ke AS kept_end, n AS occurrences FROM w WHERE rn > 1"""
-
 #: :func:`repeated_lines_and_paragraphs` of the documents table in DuckDB.
-UNIT_ORACLE = """WITH l AS (
+ORACLE = """WITH l AS (
   SELECT 'line' AS unit, doc_id, string_split(text, chr(10)) AS us, regexp_extract_all(text, '\\n') AS gaps FROM documents
   UNION ALL
   SELECT 'paragraph', doc_id, string_split_regex(text, '\\n[ \\t\\r]*(?:\\n[ \\t\\r]*)+'),

@@ -64,6 +64,23 @@ def test_awkward_rows(spark):
     assert repeated_units(frame(spark, [])).count() == 0 and dedup_units(frame(spark, [])).count() == 0
 
 
+def test_lines_and_paragraphs_of_awkward_rows(spark):
+    df = frame(spark).unionByName(frame(spark, [(20, "Second LINE", "en", "s9", 1, "", "", "", 1.0, 1, "", 1)]))
+    got = {(r.unit, r.doc_id, r.start, r.end, r.kept_doc_id) for r in repeated_lines_and_paragraphs(df).collect()}
+    # "nulls" and "tie" stand once; the repeated row 8 is one row to this function.
+    assert got == {("line", 20, 0, 11, 9)}
+    assert repeated_lines_and_paragraphs(frame(spark, [])).count() == 0
+
+
+def test_output_batches_are_bounded(spark, monkeypatch):
+    from envlake.llm import line_dedup
+    monkeypatch.setattr(line_dedup, "OUT_ROWS", 3)
+    df = spark.createDataFrame([(i, "\n".join(f"w{j}" for j in range(i % 5))) for i in range(40)], "doc_id long, text string")
+    lost, _texts = slow([(r.doc_id, r.text) for r in df.collect()], "line", 1)
+    got = {(r.doc_id, r.start, r.end): (r.kept_doc_id, r.kept_start) for r in repeated_lines_and_paragraphs(df).where("unit = 'line'").collect()}
+    assert got == lost
+
+
 def test_short_lines_and_wrapped_passages(spark):
     rows = [(1, "Read on\n\nalpha beta gamma\ndelta epsilon\n\n-"), (2, "read  ON\nown words here"), (3, "alpha beta\ngamma delta epsilon\n\n\n-"), (4, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
