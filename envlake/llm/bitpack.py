@@ -140,8 +140,8 @@ class HfTokenizer:
         from tokenizers import Tokenizer
 
         tok = Tokenizer.from_file(self.path)
-        tok.encode_special_tokens = True  # their names in a text are ordinary text
         made = json.loads(tok.to_str())
+        special = [a["content"] for a in made.get("added_tokens") or () if a["content"]]
         pre = made.get("pre_tokenizer") or {}
         cuts = not made.get("normalizer") and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space", True)
         if not cuts:  # no promise about pieces: whole texts
@@ -215,6 +215,14 @@ class HfTokenizer:
             return np.split(out, cuts[:-1])
 
         def run(texts: list[str]) -> list[np.ndarray]:
+            """Every text's ids. The name of an added token in a text is that token; such
+            a text is not cut into pieces."""
+            whole = {i: np.array(tok.encode(t, add_special_tokens=False).ids, np.uint32)
+                     for i, t in enumerate(texts) if any(a in t for a in special)}
+            rest = iter(in_stretches([t for i, t in enumerate(texts) if i not in whole]))
+            return [whole[i] if i in whole else next(rest) for i in range(len(texts))]
+
+        def in_stretches(texts: list[str]) -> list[np.ndarray]:
             """Encodes bounded stretches at a time, whatever the texts' lengths."""
             parts = [_stretches(t) for t in texts]
             line, out, at, size = [x for p in parts for x in p], [], 0, 0

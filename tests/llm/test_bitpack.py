@@ -45,10 +45,15 @@ def test_file_gives_any_range(bits):
 def direct(texts):
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(tokenizer().path)
-    tok.encode_special_tokens = True
     return [tok.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_names_of_added_tokens_are_those_tokens():
+    texts = ["a <|endoftext|> b", "plain words here", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n", "<|endoftext", ""]
+    got = [x.tolist() for x in tokenizer()._load()(texts)]
+    assert got == direct(texts) and got[0] == [64, 220, 50256, 275]
+
+
 @pytest.mark.parametrize("memo", [0, 3, 800_000])
 def test_memo_encodes_like_the_library(memo, monkeypatch):
     monkeypatch.setattr(B, "MEMO", memo)
