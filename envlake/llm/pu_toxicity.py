@@ -85,23 +85,32 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
+def nnpu_risks(pos: np.ndarray, unl: np.ndarray, prior: float, w: np.ndarray) -> tuple[float, float]:
+    """The risk on positives, and the class-prior-corrected risk on negatives, with
+    logistic loss; ``w`` ends with the bias."""
+    fp, fu = pos @ w[:-1] + w[-1], unl @ w[:-1] + w[-1]
+    return prior * np.logaddexp(0, -fp).mean(), np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
+
+
+def nnpu_step(pos: np.ndarray, unl: np.ndarray, prior: float, w: np.ndarray) -> np.ndarray:
+    """The direction to descend: the gradient of both risks, or where the negative one is
+    below zero, minus its gradient alone, which raises it again."""
+    def grad(x: np.ndarray, d: np.ndarray) -> np.ndarray:
+        return np.append(d @ x, d.sum()) / len(x)
+
+    sp, su = _sigmoid(pos @ w[:-1] + w[-1]), _sigmoid(unl @ w[:-1] + w[-1])
+    negative = grad(unl, su) - prior * grad(pos, sp)
+    return prior * grad(pos, sp - 1) + negative if nnpu_risks(pos, unl, prior, w)[1] >= 0 else -negative
+
+
 def nnpu_fit(pos: np.ndarray, unl: np.ndarray, prior: float, steps: int = 800, rate: float = 0.05,
              l2: float = 1e-4) -> tuple[np.ndarray, float]:
     """Weights and bias of the non-negative risk's minimiser (Adam, all rows a step)."""
     w = np.zeros(pos.shape[1] + 1, np.float64)
     w[-1] = np.log(prior / (1 - prior))
     m, v = np.zeros_like(w), np.zeros_like(w)
-
-    def grad(x: np.ndarray, d: np.ndarray) -> np.ndarray:
-        return np.append(d @ x, d.sum()) / len(x)
-
     for t in range(1, steps + 1):
-        fp, fu = pos @ w[:-1] + w[-1], unl @ w[:-1] + w[-1]
-        sp, su = _sigmoid(fp), _sigmoid(fu)
-        positive = prior * grad(pos, sp - 1)
-        negative = grad(unl, su) - prior * grad(pos, sp)
-        risk = np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
-        g = positive + (negative if risk >= 0 else -negative)
+        g = nnpu_step(pos, unl, prior, w)
         g[:-1] += l2 * w[:-1]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)

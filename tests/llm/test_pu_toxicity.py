@@ -8,7 +8,7 @@ import pytest
 from common_rows import frame, ids
 from pyspark.sql import functions as F
 
-from envlake.llm.pu_toxicity import Model, nnpu_fit, score_toxicity, select_features, text_features, train, word_features, words_of
+from envlake.llm.pu_toxicity import Model, nnpu_fit, nnpu_risks, nnpu_step, score_toxicity, select_features, text_features, train, word_features, words_of
 from envlake.llm.queries import fold, op5_toxicity
 
 SF = "/root/testdata/sf0.1"
@@ -36,6 +36,25 @@ def test_unlabelled_positives_do_not_hide_the_signal():
     assert ((score > 0.5) == y).mean() > 0.9 and score[y].mean() > 0.8
 
 
+def test_step_is_the_gradient_of_the_risk():
+    """By finite differences, and on both sides of zero."""
+    rnd = np.random.default_rng(6)
+    pos, unl = rnd.normal(1, 1, (40, 3)), rnd.normal(0, 1, (90, 3))
+    sides = set()
+    for _ in range(30):
+        w, prior = rnd.normal(0, 2.5, 4), rnd.uniform(.1, .9)
+        below = nnpu_risks(pos, unl, prior, w)[1] < 0
+        sides.add(bool(below))
+
+        def risk(v):
+            p, n = nnpu_risks(pos, unl, prior, v)
+            return -n if below else p + n
+        eye = np.eye(4) * 1e-6
+        want = [(risk(w + e) - risk(w - e)) / 2e-6 for e in eye]
+        assert np.allclose(nnpu_step(pos, unl, prior, w), want, atol=1e-6)
+    assert sides == {True, False}
+
+
 def test_feature_choice_needs_evidence():
     rnd = np.random.default_rng(1)
     noise = lambda n: [np.sort(rnd.choice(5000, 60, replace=False)).astype(np.int32) for _ in range(n)]
