@@ -69,9 +69,11 @@ def text_matrix(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
 WIDTH = 3 * N_OWN + 3
 
 
-def forward_backward(emit: np.ndarray, trans: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Marginals ``(docs, lines, 2)``, summed pair marginals ``(2, 2)`` and log
-    partition of each padded sequence of log potentials ``emit (docs, lines, 2)``."""
+def forward_backward(emit: np.ndarray, trans: np.ndarray, lengths: np.ndarray,
+                     weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Marginals ``(docs, lines, 2)``, pair marginals ``(2, 2)`` summed over lines and
+    documents (times the document's ``weight``) and log partition of each padded sequence of
+    log potentials ``emit (docs, lines, 2)``."""
     n, t, _ = emit.shape
     top = emit.max(axis=2, keepdims=True)
     e, m = np.exp(emit - top), np.exp(trans)
@@ -92,7 +94,8 @@ def forward_backward(emit: np.ndarray, trans: np.ndarray, lengths: np.ndarray) -
     pairs = np.zeros((2, 2))
     if t > 1:
         xi = alpha[:, :-1, :, None] * m[None, None] * (beta[:, 1:] * e[:, 1:] / scale[:, 1:, None])[:, :, None, :]
-        pairs = (xi * real[:, 1:, None, None]).sum(axis=(0, 1))
+        each = (xi * real[:, 1:, None, None]).sum(axis=1)
+        pairs = each.sum(axis=0) if weight is None else np.tensordot(weight, each, 1)
     logz = ((np.log(scale) + top[:, :, 0]) * real).sum(axis=1)
     return gamma, pairs, logz
 
@@ -133,6 +136,28 @@ class Crf:
         return out
 
 
+def loss_and_gradient(batches: list[tuple], w: np.ndarray, tr: np.ndarray, l2: float) -> tuple[float, np.ndarray, np.ndarray]:
+    """Minus the weighted mean log likelihood of labelling all of a document's lines as
+    it is labelled, each document's by its number of lines, plus the penalty; and its exact
+    gradient. ``batches``: padded features, lengths, labels and weights."""
+    total = sum(len(n) for _, n, _, _ in batches)
+    loss, gw, gt = l2 / 2 * ((w ** 2).sum() + (tr ** 2).sum()), l2 * w, l2 * tr
+    for x, n, y, weight in batches:
+        # Long documents must not outweigh short ones: the mean over lines.
+        per = weight / n / total
+        emit = x @ w
+        gamma, pairs, logz = forward_backward(emit, tr, n, per)
+        real = np.arange(x.shape[1])[None, :] < n[:, None]
+        at = np.arange(len(n))
+        own = np.where(real, emit[at, :, y], 0.0).sum(axis=1) + (n - 1) * tr[y, y]
+        loss += float((per * (logz - own)).sum())
+        gamma[at, :, y] -= real
+        gw = gw + np.einsum("dtf,dtc->fc", x, gamma * per[:, None, None], optimize=True)
+        pairs = pairs - np.diag(np.bincount(y, per * (n - 1), 2))
+        gt = gt + pairs
+    return loss, gw, gt
+
+
 def fit(mats: list[np.ndarray], good: np.ndarray, steps: int = 150, rate: float = 0.05, l2: float = 1e-3) -> Crf:
     """Maximum likelihood of the documents' label on all their lines, each label
     given the same total weight (Adam, all documents a step)."""
@@ -143,24 +168,9 @@ def fit(mats: list[np.ndarray], good: np.ndarray, steps: int = 150, rate: float
     share = np.bincount(good, minlength=2) / len(good)
     batches = [(((x - mean) / scale).astype(np.float64), n, good[ids], 0.5 / share[good[ids]]) for ids, x, n in _padded(mats)]
     w, tr = np.zeros((flat.shape[1], 2)), np.zeros((2, 2))
-    total = sum(len(n) for _, n, _, _ in batches)
     state = [np.zeros_like(w), np.zeros_like(w), np.zeros_like(tr), np.zeros_like(tr)]
     for step in range(1, steps + 1):
-        gw, gt = l2 * w, l2 * tr
-        for x, n, y, weight in batches:
-            for c in (0, 1):  # pair marginals are sums, so a label at a time
-                at = y == c
-                if not at.any():
-                    continue
-                k = weight[at][0] / total
-                gamma, pairs, _ = forward_backward(x[at] @ w, tr, n[at])
-                real = np.arange(x.shape[1])[None, :] < n[at][:, None]
-                gamma[:, :, c] -= real
-                # Long documents must not outweigh short ones: the mean over lines.
-                per = (k / n[at])[:, None, None]
-                gw = gw + np.einsum("dtf,dtc->fc", x[at], gamma * per, optimize=True)
-                pairs[c, c] -= (n[at] - 1).sum()
-                gt = gt + pairs * k / max(1.0, n[at].mean())
+        _, gw, gt = loss_and_gradient(batches, w, tr, l2)
         for j, (p, g) in enumerate(((w, gw), (tr, gt))):
             state[2 * j] = 0.9 * state[2 * j] + 0.1 * g
             state[2 * j + 1] = 0.999 * state[2 * j + 1] + 0.001 * g * g

@@ -6,7 +6,7 @@ import zlib
 import numpy as np
 from common_rows import frame, ids
 
-from envlake.llm.crf_quality import WIDTH, _padded, _scores, fit, forward_backward, keep_good, score_quality, text_matrix, train
+from envlake.llm.crf_quality import WIDTH, _padded, _scores, fit, forward_backward, keep_good, loss_and_gradient, score_quality, text_matrix, train
 from envlake.llm.queries import op10_quality
 
 SF = "/root/testdata/sf0.1"
@@ -37,6 +37,27 @@ def test_forward_backward_matches_enumeration():
     assert np.allclose(pairs, sum(w[1] for w in want))
 
 
+def test_gradient_by_finite_differences():
+    rnd = np.random.default_rng(8)
+    batches = []
+    for t in (1, 4, 7):
+        n = np.minimum(rnd.integers(1, t + 1, 6), t)
+        batches.append((rnd.normal(0, 1, (6, t, 3)), n, rnd.integers(0, 2, 6), rnd.uniform(.5, 2, 6)))
+    w, tr = rnd.normal(0, 1, (3, 2)), rnd.normal(0, 1, (2, 2))
+    _, gw, gt = loss_and_gradient(batches, w, tr, 0.01)
+    for p, g in ((w, gw), (tr, gt)):
+        for i in np.ndindex(p.shape):
+            step = np.zeros_like(p)
+            step[i] = 1e-6
+            at = lambda s: loss_and_gradient(batches, w + s if p is w else w, tr + s if p is tr else tr, 0.01)[0]  # noqa: B023,E731
+            assert np.isclose(g[i], (at(step) - at(-step)) / 2e-6, atol=1e-6)
+    # The likelihood itself, from every labelling.
+    x, n, y, weight = batches[1]
+    want = sum(k * (enumerated(x[d, :m] @ w, tr)[2] - (x[d, :m] @ w)[:, c].sum() - (m - 1) * tr[c, c]) / m
+               for d, (m, c, k) in enumerate(zip(n, y, weight))) / len(n)
+    assert np.isclose(loss_and_gradient(batches[1:2], w, tr, 0.0)[0], want)
+
+
 def test_long_sequences_do_not_underflow():
     gamma, _, logz = forward_backward(np.full((1, 50_000, 2), -40.0), np.zeros((2, 2)), np.array([50_000]))
     assert np.allclose(gamma, 0.5) and np.isfinite(logz).all()
