@@ -28,7 +28,7 @@ from envlake.operators.nearest_time import nearest_in_time
 from envlake.operators.scd2 import scd2_step
 from envlake.operators.upsert import ORDER_COL, upsert_by_key
 from envlake.operators.validate import EventSpec, validate
-from envlake.plans import driver_tables as D
+from envlake.plans import body_bindings, driver_tables as D
 from envlake.plans import ingest_bindings, openaq_bindings, suite_bindings
 from envlake.plans import marts as M
 from envlake.sources.nws import periods_to_events
@@ -515,15 +515,18 @@ def nearest_geo_q(spark, d):
 
 
 def geo_link(spark, d):
-    """Every fifth customer is linked already and keeps its point."""
+    """Every fifth customer is linked already and keeps its point; the others come in the
+    order of their key, and a created point is told by the customer that it was created for."""
     c = _customers_xy(spark, d)
     linked = c.where("c_custkey % 5 = 0").select("c_custkey", (-F.col("c_custkey")).alias("s_suppkey"))
     links, _ = link_or_create(c, _suppliers_xy(spark, d), "c_custkey", "s_suppkey", linked=linked)
-    return links.select("c_custkey", F.when(~F.col("created"), F.col("s_suppkey")).alias("linked_id"), "created")
+    by = links.where("created").select(F.col("s_suppkey").alias("point"), F.col("c_custkey").alias("created_by"))
+    j = links.join(by, links["s_suppkey"] == by["point"], "left")
+    return j.select("c_custkey", F.when(F.col("created_by").isNull(), F.col("s_suppkey")).alias("linked_id"), "created_by", "created")
 
 
 def geo_new_points(spark, d):
-    """The points created: one for each distinct place of unlinked customers."""
+    """The points created when customers come in the order of their key."""
     _, new_points = link_or_create(_customers_xy(spark, d), _suppliers_xy(spark, d), "c_custkey", "s_suppkey")
     return new_points.select("latitude", "longitude")
 
@@ -620,6 +623,23 @@ def stream_replay(spark, d):
     return replay_events_as_stream(spark, T(spark, d, "events"))
 
 
+def mart_refresh(spark, d):
+    """Two marts refreshed together, then a refresh that leaves one empty, which is refused:
+    what readers see of each afterwards."""
+    from envlake.plans.maintenance import publish_marts, read_mart
+    from envlake.streaming.ingest import scratch_dir
+    path = scratch_dir(spark, "marts")
+    marts = {"latest_by_location": latest_by_location(spark, d), "current_by_location": current_by_location(spark, d)}
+    publish_marts(spark, path, marts)
+    refused = False
+    try:
+        publish_marts(spark, path, {"latest_by_location": marts["latest_by_location"].limit(1), "current_by_location": marts["current_by_location"].where("false")})
+    except RuntimeError:
+        refused = True
+    one = [read_mart(spark, path, n).agg(F.count("*").alias("live_rows")).select(F.lit(n).alias("mart"), "live_rows", F.lit(refused).alias("refused")) for n in marts]
+    return one[0].unionByName(one[1])
+
+
 QUERIES = {
     "latest_by_location": latest_by_location,
     "latest_pivot": latest_pivot,
@@ -656,6 +676,7 @@ QUERIES = {
     "geo_link": geo_link,
     "geo_new_points": geo_new_points,
     "window_read": window_read,
+    "mart_refresh": mart_refresh,
     "quality_suite": quality_suite,
     "unique_check": unique_check,
     "accepted_range": accepted_range_q,
@@ -667,4 +688,5 @@ QUERIES = {
     **ingest_bindings.QUERIES,
     **suite_bindings.QUERIES,
     **openaq_bindings.QUERIES,
+    **body_bindings.QUERIES,
 }

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from envlake.functions.timefn import iso_z
 from envlake.plans.driver_tables import table
-from envlake.streaming.ingest import SourceSpec, run_available, scratch_dir
+from envlake.plans.maintenance import logged
+from envlake.streaming.ingest import SourceSpec, run_available, scratch_dir, total_counts
 from envlake.streaming.pipelines import airnow_spec, nws_spec, open_meteo_spec
 from envlake.streaming.replay import topic_files
 from envlake.streaming.store import read_table
@@ -115,7 +116,18 @@ def ingest_open_meteo(spark: SparkSession, d: str) -> DataFrame:
     return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
 
 
-QUERIES = {f.__name__: f for f in (ingest_airnow, ingest_airnow_dead, ingest_nws, ingest_open_meteo)}
+def ingest_counts(spark: SparkSession, d: str) -> DataFrame:
+    """What the AirNow pipeline's batches counted over three runs, and how many of its runs
+    the run log holds as successful."""
+    root = scratch_dir(spark, "ingest-counts")
+    spec = airnow_spec(f"{root}/table", f"{root}/dlq")
+    spec.counts_path = f"{root}/counts"
+    logged(spark, f"{root}/runs", "airnow", "all", lambda: _ingest(spark, root, table(spark, d, "events"), _airnow_value(), "airnow", spec))
+    runs = spark.read.parquet(f"{root}/runs").where("state = 'success' and end_time >= start_time").agg(F.count("*").alias("runs"))
+    return total_counts(spark, spec.counts_path).select("read", "malformed", "dead_lettered", "merged").crossJoin(runs)  # one row each
+
+
+QUERIES = {f.__name__: f for f in (ingest_airnow, ingest_airnow_dead, ingest_nws, ingest_open_meteo, ingest_counts)}
 
 _ISO_DAY = "CAST(date_trunc('day', ts) AS TIMESTAMP)"
 _NEWEST = "ORDER BY ts, user_id % 4, event_id"
@@ -136,6 +148,9 @@ FROM r WHERE rn = 1""",
     "ingest_airnow_dead": """
 SELECT CAST(user_id AS VARCHAR) AS key, 'airnow' AS original_topic, CAST(user_id % 4 AS INTEGER) AS "partition", event_id AS "offset",
        'type:date_forecast' AS error FROM events WHERE event_id % 97 = 0 AND event_id % 89 <> 0""",
+    "ingest_counts": """
+SELECT count(*) AS read, count(*) FILTER (event_id % 89 = 0) AS malformed, count(*) FILTER (event_id % 97 = 0 AND event_id % 89 <> 0) AS dead_lettered,
+       count(*) FILTER (event_id % 97 <> 0 AND event_id % 89 <> 0) AS merged, CAST(1 AS BIGINT) AS runs FROM events""",
     "ingest_nws": f"""
 WITH e AS (SELECT *, 'n' || (user_id % 300) || ':' || event_type AS k, date_trunc('hour', ts) AS h FROM events WHERE event_id % 97 <> 0),
 r AS (SELECT *, {_LAST}, last_value(CASE WHEN event_id % 3 <> 0 THEN ts END IGNORE NULLS) OVER (PARTITION BY k {_NEWEST}

@@ -4,6 +4,7 @@ refresh and gate (B7, B8), run log (B9)."""
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,12 +46,46 @@ def bootstrap_tables(spark: SparkSession, root: str, schemas: dict,
 
 
 def refresh_marts(marts: dict[str, DataFrame], root: str) -> dict[str, str]:
-    """Full refresh of each mart in the given (dependency) order; returns paths."""
+    """Full refresh of each mart in the given (dependency) order, each into a folder of its
+    own; returns the paths. What was written before stays as it is."""
     out = {}
     for name, df in marts.items():
-        path = f"{root}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        out[name] = path
+        out[name] = f"{root}/{name}/{uuid.uuid4().hex}"
+        df.write.parquet(out[name])
+    return out
+
+
+def publish_marts(spark: SparkSession, path: str, marts: dict[str, DataFrame]) -> dict[str, int]:
+    """Refresh all ``marts`` in the store at ``path``: written beside the live version, in the
+    given order, checked to have rows, then switched together by one commit. A refresh that fails or
+    leaves a mart empty raises, and readers go on with the live version. Returns the
+    rows of each mart."""
+    from envlake.streaming.store import Write, commit
+    counted: dict[str, int] = {}
+
+    def gate(rows: dict[str, int]) -> None:
+        if empty := [n for n, k in rows.items() if not k]:
+            raise RuntimeError(f"empty marts: {empty}")
+        counted.update(rows)
+    commit(spark, path, {n: Write(df, F.lit(0), base=True) for n, df in marts.items()}, gate=gate)
+    return counted
+
+
+def read_mart(spark: SparkSession, path: str, name: str) -> DataFrame | None:
+    """The live version of a mart, or None before the first refresh."""
+    from envlake.streaming.store import read_table
+    return read_table(spark, path, table=name)
+
+
+def logged(spark: SparkSession, log_path: str, job_id: str, run_id: str, job):
+    """Run ``job()`` and append its outcome to the run log; a failure is logged and raised."""
+    start = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    try:
+        out = job()
+    except Exception as e:
+        log_run(spark, log_path, job_id, run_id, "failed", start, error=f"{type(e).__name__}: {str(e)[:500]}")
+        raise
+    log_run(spark, log_path, job_id, run_id, "success", start)
     return out
 
 

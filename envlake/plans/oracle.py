@@ -8,6 +8,7 @@ DuckDB would otherwise use DECIMAL arithmetic.
 from __future__ import annotations
 
 from envlake.plans.ingest_bindings import ORACLE_SQL as INGEST_SQL
+from envlake.plans.body_bindings import ORACLE_SQL as BODY_SQL
 from envlake.plans.openaq_bindings import ORACLE_SQL as OPENAQ_SQL
 from envlake.operators.quality import MODEL_CHECKS
 from envlake.plans.suite_bindings import ORACLE_SQL as SUITE_SQL
@@ -482,11 +483,30 @@ m AS (SELECT c.c_custkey, b.s_suppkey AS match_id, b.d
       FROM c LEFT JOIN best b ON c.c_custkey = b.c_custkey AND b.rn = 1 AND b.d <= 2.0::DOUBLE)"""
 
 NEAREST_GEO = f"WITH {GEO_CTES} SELECT c_custkey, match_id, round(d, 6) AS distance_km FROM m"
-GEO_LINK = f"""WITH {GEO_CTES}
-SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN -c_custkey ELSE match_id END AS linked_id,
-       c_custkey % 5 <> 0 AND match_id IS NULL AS created FROM m"""
-GEO_NEW_POINTS = f"""WITH {GEO_CTES}
-SELECT DISTINCT plat AS latitude, plon AS longitude FROM c JOIN m USING (c_custkey) WHERE match_id IS NULL"""
+
+
+def _first_come(unlinked: str) -> str:
+    """Created points, one place after the other: a recursion that carries them as a list."""
+    near = f"abs(p.lat - plat) <= 0.05::DOUBLE AND abs(p.lon - plon) <= 0.05::DOUBLE AND {_gc('plat', 'plon', 'p.lat', 'p.lon')} <= 2.0::DOUBLE"
+    return f"""
+u AS (SELECT plat, plon, min(c_custkey) AS o, row_number() OVER (ORDER BY min(c_custkey)) AS rn
+      FROM c JOIN m USING (c_custkey) WHERE match_id IS NULL AND {unlinked} GROUP BY plat, plon),
+r AS (SELECT 0::BIGINT AS taken, []::STRUCT(lat DOUBLE, lon DOUBLE, o BIGINT)[] AS made
+      UNION ALL SELECT rn, CASE WHEN len(list_filter(made, lambda p: {near})) > 0 THEN made
+                       ELSE list_append(made, {{'lat': plat, 'lon': plon, 'o': o}}) END FROM r JOIN u ON rn = taken + 1),
+made AS (SELECT UNNEST(made, recursive := true) FROM (SELECT made FROM r ORDER BY taken DESC LIMIT 1))"""
+
+
+_UNLINKED = "c_custkey % 5 <> 0"
+GEO_LINK = f"""WITH RECURSIVE {GEO_CTES}, {_first_come(_UNLINKED)},
+near AS (SELECT c_custkey, o, CASE WHEN plat = lat AND plon = lon THEN 0.0::DOUBLE ELSE {_gc('plat', 'plon', 'lat', 'lon')} END AS nd FROM c JOIN made ON o <= c_custkey
+         WHERE (plat = lat AND plon = lon) OR (abs(lat - plat) <= 0.05::DOUBLE AND abs(lon - plon) <= 0.05::DOUBLE AND {_gc('plat', 'plon', 'lat', 'lon')} <= 2.0::DOUBLE)),
+first AS (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY nd, o) AS rn FROM near),
+l AS (SELECT m.c_custkey, match_id, o, match_id IS NOT NULL AND (o IS NULL OR d <= nd) AS old FROM m LEFT JOIN first f ON f.c_custkey = m.c_custkey AND rn = 1)
+SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN -c_custkey WHEN old THEN match_id END AS linked_id,
+       CASE WHEN {_UNLINKED} AND NOT old THEN o END AS created_by, {_UNLINKED} AND NOT old AND o = c_custkey AS created FROM l"""
+GEO_NEW_POINTS = f"""WITH RECURSIVE {GEO_CTES}, {_first_come('TRUE')}
+SELECT lat AS latitude, lon AS longitude FROM made"""
 
 
 def _window_read() -> str:
@@ -660,4 +680,8 @@ ORACLE_SQL = {
     **INGEST_SQL,
     **SUITE_SQL,
     **OPENAQ_SQL,
+    **BODY_SQL,
 }
+
+ORACLE_SQL["mart_refresh"] = " UNION ALL ".join(
+    f"SELECT '{n}' AS mart, count(*) AS live_rows, TRUE AS refused FROM ({ORACLE_SQL[n]})" for n in ("latest_by_location", "current_by_location"))

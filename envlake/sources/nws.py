@@ -35,17 +35,17 @@ def flatten_quantity(struct_col: str, name: str) -> list:
 
 
 def periods_to_events(df: DataFrame, raw_col: str = "raw", meta_col: str = "meta",
-                      ingest_col: str = "ingest_dt", keep_cols: tuple = ()) -> DataFrame:
+                      ingest_col: str = "ingest_dt", keep_cols: tuple = (), pos_col: str | None = None) -> DataFrame:
     """``raw`` is the parsed payload struct (or JSON text), ``meta`` the grid
-    struct. One output row per forecast period."""
+    struct. One output row per forecast period, with its place as ``pos_col``."""
     raw = F.from_json(F.col(raw_col), RAW) if isinstance(df.schema[raw_col].dataType, T.StringType) \
         else F.col(raw_col)
     e = df.select(*keep_cols, F.col(meta_col).alias("__m"), F.col(ingest_col).alias("__ing"),
-                  F.explode_outer(raw.getField("properties").getField("periods")).alias("__p")) \
+                  F.posexplode_outer(raw.getField("properties").getField("periods")).alias("__pos", "__p")) \
         .where(F.col("__p").isNotNull())
     ing = iso_z(F.date_trunc("second", F.col("__ing")))
     cols = [
-        *keep_cols,
+        *keep_cols, *([F.col("__pos").alias(pos_col)] if pos_col else []),
         nws_event_id("__m.grid_id", "__m.grid_x", "__m.grid_y", "__p.startTime", "__p.endTime").alias("event_id"),
         F.lit("nws.hourly_forecast").alias("event_type"), ing.alias("ingested_at"),
         F.lit("api.weather.gov").alias("source"), F.col("__m.office").alias("office"),

@@ -46,20 +46,22 @@ def _field(struct_col: str, name: str, df: DataFrame, missing_type: str) -> Colu
 
 def hourly_events(df: DataFrame, kind: str, record_type: str = "forecast", frequency_min: int = 60,
                   raw_col: str = "raw", lat_col: str = "latitude", lon_col: str = "longitude",
-                  tz_col: str = "timezone", ingest_col: str = "ingest_dt") -> DataFrame:
+                  tz_col: str = "timezone", ingest_col: str = "ingest_dt", keep_cols: tuple = (), pos_col: str | None = None) -> DataFrame:
     """Hourly payload (``raw.hourly`` arrays + ``raw.hourly_units``) -> events.
-    ``kind`` is 'weather' or 'air_quality'."""
+    ``kind`` is 'weather' or 'air_quality'; ``pos_col`` names the hour's place."""
     vars_ = WEATHER_VARS if kind == "weather" else AIR_VARS
     hourly = f"{raw_col}.hourly"
-    e = df.select(lat_col, lon_col, tz_col, ingest_col, F.col(f"{raw_col}.hourly_units").alias("__u"),
+    e = df.select(*keep_cols, lat_col, lon_col, tz_col, ingest_col, F.col(f"{raw_col}.hourly_units").alias("__u"),
                   *[_field(hourly, v, df, "array<double>").alias(f"__a_{v}") for v in vars_],
                   F.posexplode(F.coalesce(F.col(f"{hourly}.time"), F.array())).alias("pos", "__t"))
     return _project(e, kind, record_type, frequency_min, vars_, lambda v: safe_get(f"__a_{v}", F.col("pos")),
-                    lat_col, lon_col, tz_col, ingest_col, df.schema[raw_col].dataType["hourly_units"].dataType)
+                    lat_col, lon_col, tz_col, ingest_col, df.schema[raw_col].dataType["hourly_units"].dataType,
+                    [*keep_cols, *([F.col("pos").alias(pos_col)] if pos_col else [])])
 
 
 def current_events(df: DataFrame, kind: str, raw_col: str = "raw", lat_col: str = "latitude",
-                   lon_col: str = "longitude", tz_col: str = "timezone", ingest_col: str = "ingest_dt") -> DataFrame:
+                   lon_col: str = "longitude", tz_col: str = "timezone", ingest_col: str = "ingest_dt", keep_cols: tuple = (),
+                   pos_col: str | None = None) -> DataFrame:
     """``raw.current`` -> one 15-minute ``current`` event per payload (only when present)."""
     vars_ = WEATHER_VARS if kind == "weather" else AIR_VARS
     rt = df.schema[raw_col].dataType
@@ -67,19 +69,19 @@ def current_events(df: DataFrame, kind: str, raw_col: str = "raw", lat_col: str
         return None
     cur = f"{raw_col}.current"
     e = df.where(F.col(cur).isNotNull()).select(
-        lat_col, lon_col, tz_col, ingest_col,
+        *keep_cols, lat_col, lon_col, tz_col, ingest_col,
         (F.col(f"{raw_col}.current_units") if "current_units" in rt.fieldNames() else F.lit(None)).alias("__u"),
         *[_field(cur, v, df, "double").alias(f"__c_{v}") for v in vars_], F.col(f"{cur}.time").alias("__t"))
     ut = rt["current_units"].dataType if "current_units" in rt.fieldNames() else None
     return _project(e, kind, "current", 15, vars_, lambda v: F.col(f"__c_{v}"), lat_col, lon_col, tz_col,
-                    ingest_col, ut)
+                    ingest_col, ut, [*keep_cols, *([F.lit(-1).alias(pos_col)] if pos_col else [])])
 
 
-def _project(e, kind, record_type, freq, vars_, value_of, lat_col, lon_col, tz_col, ingest_col, units_type):
+def _project(e, kind, record_type, freq, vars_, value_of, lat_col, lon_col, tz_col, ingest_col, units_type, first=()):
     start = local_to_utc(F.col("__t"), F.col(tz_col))
     end = start + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(freq))
     unit_names = units_type.fieldNames() if units_type is not None else []
-    cols = [open_meteo_event_id(kind, record_type, F.col(lat_col), F.col(lon_col), start).alias("event_id"),
+    cols = [*first, open_meteo_event_id(kind, record_type, F.col(lat_col), F.col(lon_col), start).alias("event_id"),
             F.lit(kind).alias("data_kind"), F.lit(record_type).alias("record_type"),
             F.lit(freq).alias("record_frequency_min"), iso_z(start).alias("open_meteo_start_time"),
             iso_z(end).alias("open_meteo_end_time"), F.col(lat_col).alias("latitude"),

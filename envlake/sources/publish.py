@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 
 def to_messages(df: DataFrame, key_col: str | None, value_cols: Sequence[str], topic: str,
-                unknown_key: str = "unknown") -> DataFrame:
+                unknown_key: str = "unknown", extra: Sequence[str] = ()) -> DataFrame:
     """``key`` = key column as text (``unknown`` when NULL; NULL when no key
-    column), ``value`` = compact JSON of ``value_cols`` with NULL fields kept."""
+    column), ``value`` = compact JSON of ``value_cols`` with NULL fields kept. Columns
+    ``extra`` come along, to place the message by."""
     key = (F.coalesce(F.col(key_col).cast("string"), F.lit(unknown_key)) if key_col
            else F.lit(None).cast("string"))
     value = F.to_json(F.struct(*[F.col(c) for c in value_cols]), {"ignoreNullFields": "false"})
-    return df.select(key.alias("key"), value.alias("value"), F.lit(topic).alias("topic"))
+    return df.select(key.alias("key"), value.alias("value"), F.lit(topic).alias("topic"), *extra)
 
 
 def write_messages(msgs: DataFrame, path_or_servers: str, fmt: str = "json", topic: str | None = None) -> int:
