@@ -18,29 +18,58 @@ from pyspark.sql import functions as F
 from envlake.functions.timefn import seconds_between
 
 
+def _grain(ts: str, seconds: int):
+    return F.floor(F.unix_seconds(F.col(ts)) / F.lit(seconds))
+
+
+def _slots(left: DataFrame, right: DataFrame, keys: list[str], left_ts: str, right_ts: str, rows: int, grain: int) -> DataFrame:
+    """``keys, __g, __b``: the bucket of every grain of time in which a key has rows; buckets
+    rise with time. One row a key and grain is counted, with partial aggregation."""
+    both = left.select(*keys, _grain(left_ts, grain).alias("__g")).unionByName(right.select(*keys, _grain(right_ts, grain).alias("__g")))
+    counted = both.groupBy(*keys, "__g").agg(F.count(F.lit(1)).alias("__c"))
+    before = Window.partitionBy(*keys).orderBy("__g").rowsBetween(Window.unboundedPreceding, -1)
+    return counted.withColumn("__b", F.floor(F.coalesce(F.sum("__c").over(before), F.lit(0)) / F.lit(rows))).drop("__c")
+
+
+def _with_slot(d: DataFrame, slots: DataFrame, keys: list[str], grain: int) -> DataFrame:
+    s = slots.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__g").alias("__kg"), "__b")
+    on = _grain("__ts", grain).eqNullSafe(s["__kg"])
+    for i, k in enumerate(keys):
+        on = on & d[k].eqNullSafe(s[f"__k{i}"])
+    return d.join(s, on, "left").drop("__kg", *[f"__k{i}" for i in range(len(keys))])
+
+
 def nearest_in_time(left: DataFrame, right: DataFrame, keys: Sequence[str],
                     left_ts: str, right_ts: str, right_cols: Sequence[str],
                     right_tiebreak: str | None = None, bucket_seconds: int = 86400,
-                    prefix: str = "r_") -> DataFrame:
+                    prefix: str = "r_", bucket_rows: int | None = None, grain_seconds: int = 60) -> DataFrame:
     """Every ``left`` row with the ``right`` row (same ``keys``) closest in time.
 
     On equal distance the earlier right row wins; equal right timestamps are
     ordered by ``right_tiebreak``. Adds ``{prefix}<col>`` for each right column,
     ``{prefix}ts`` and ``diff_seconds`` (absolute); left rows whose key has no
     right row get NULLs.
+
+    Buckets are ``bucket_seconds`` long, or, with ``bucket_rows``, follow the data: rows of
+    both sides are counted by key and ``grain_seconds``, and a bucket is a stretch of time
+    of about that many rows, so that a key with all its rows in one hour is spread as well.
+    The result is the same.
     """
     keys = list(keys)
     tb = right_tiebreak or right_ts
     bsec = F.lit(bucket_seconds)
     rcols = [c for c in right_cols]
 
+    bucket = lambda d: d.withColumn("__b", F.floor(F.unix_seconds("__ts") / bsec))
+    if bucket_rows:
+        slots = _slots(left, right, keys, left_ts, right_ts, bucket_rows, grain_seconds)
+        # Keys compare null-safely; the grain alone keeps the join from being a product.
+        bucket = lambda d: _with_slot(d, slots, keys, grain_seconds)
     lv = F.struct(*[F.col(c) for c in left.columns])
-    lb = left.select(*keys, F.col(left_ts).alias("__ts"), lv.alias("__lv")) \
-        .withColumn("__b", F.floor(F.unix_seconds("__ts") / bsec))
+    lb = bucket(left.select(*keys, F.col(left_ts).alias("__ts"), lv.alias("__lv")))
     rv = F.struct(F.col(right_ts).alias("ts"), F.col(tb).alias("tb"),
                   *[F.col(c).alias(c) for c in rcols])
-    rb = right.select(*keys, F.col(right_ts).alias("__ts"), rv.alias("__rv")) \
-        .withColumn("__b", F.floor(F.unix_seconds("__ts") / bsec))
+    rb = bucket(right.select(*keys, F.col(right_ts).alias("__ts"), rv.alias("__rv")))
 
     # 1) in-bucket previous / next right row for each left row (one union, two
     #    running windows; running frames stream and spill, no O(n^2) frames).

@@ -170,8 +170,15 @@ MODEL_CHECKS = {
 
 
 def model_checks(name: str, df: DataFrame) -> DataFrame:
-    """The declared checks of a view or mart, on the columns it has."""
-    return run_suite(df, name, [ch for ch in MODEL_CHECKS[name] if ch.column in df.columns])
+    """The declared checks of a view or mart. A check on a column that it does not have
+    fails, with every row unexpected."""
+    out = run_suite(df, name, [ch for ch in MODEL_CHECKS[name] if ch.column in df.columns])
+    for ch in MODEL_CHECKS[name]:
+        if ch.column not in df.columns:
+            n, none = F.col("__n"), F.lit(0).cast("long")
+            one = df.agg(F.count(F.lit(1)).alias("__n")).select(_result(name, ch, n, none, n).alias("r")).select("r.*")
+            out = out.unionByName(one.withColumns({"unexpected_ratio": F.lit(1.0), "success": F.lit(False)}))
+    return out
 
 
 def suite_verdict(results: DataFrame) -> DataFrame:
