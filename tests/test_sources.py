@@ -195,11 +195,18 @@ def test_licenses_are_enriched(spark):
     assert (got["13"].license_attribution_name, got["13"].name, got["13"].commercial_use_allowed) == ("", None, False)
 
 
-def test_an_oversized_envelope_is_an_error(spark):
-    rows = spark.createDataFrame([("k", i, float(i)) for i in range(20)], "key string, pos int, v double")
-    assert [x["v"] for x in openaq.collect_parts(rows, "key", "pos", "items").first()["items"]] == [float(i) for i in range(20)]
-    with pytest.raises(Exception, match="more than 10 items"):
-        openaq.collect_parts(rows, "key", "pos", "items", max_items=10).collect()
+def test_a_long_list_goes_on_in_further_envelopes(spark):
+    places = openaq.location_minimal(spark.createDataFrame([(1, "Pier"), (2, "Quay"), (3, "Mole")], "k long, n string"), id=F.col("k"), name=F.col("n"))
+    lic = spark.createDataFrame([(1, 0, "5"), (2, 0, "6")], "k long, pos int, openaq_license_id string")
+    sen = spark.createDataFrame([(k, i, str(i)) for k, n in ((1, 4), (2, 23)) for i in reversed(range(n))], "k long, pos int, id string")
+    res = spark.createDataFrame([(2, i, i) for i in range(11)], "k long, pos int, sensorsId long")
+    build = lambda m: openaq.build_envelopes(places.select("k", "location"), "k", lic, sen, res, "s", "v", max_items=m).collect()
+    whole = {r.k: r for r in build(100)}
+    assert len(whole) == 3 and [x.id for x in whole[2].sensors] == [str(i) for i in range(23)] and whole[3].licenses == whole[3].sensors == []
+    parts = sorted(build(10), key=lambda r: (r.k, r.part))
+    assert [(r.k, r.part, len(r.licenses), len(r.sensors), len(r.latest.results)) for r in parts] == [
+        (1, 0, 1, 4, 0), (2, 0, 1, 10, 10), (2, 1, 0, 10, 1), (2, 2, 0, 3, 0), (3, 0, 0, 0, 0)]
+    assert [x for r in parts if r.k == 2 for x in r.sensors] == whole[2].sensors and {r.location.name for r in parts if r.k == 2} == {"Quay"}
 
 
 def test_nearest_location_zero_distance_is_real(spark):
