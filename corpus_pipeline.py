@@ -1,7 +1,9 @@
 """The corpus pipeline: documents that a line-wise quality model rejects go, one
 document of each near-duplicate group stays, documents that hold benchmark items
 go, the sources are interleaved to target weights, and the token ids are written
-in that order to bit-packed files."""
+in that order to bit-packed files.
+
+Stages see and return the columns of ``documents``; further columns are dropped."""
 
 from __future__ import annotations
 
@@ -36,13 +38,13 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids in bit-packed files, in the order in which the documents were stored:
-    that of the file and of the row in it, which is the mixture's. Documents that do
+    """Ids in bit-packed files, in the order in which the documents were stored: that
+    of the file's number (names have five digits only) and of the row in it, which is the mixture's. Documents that do
     not come from files are taken in id order."""
     order = []
     try:
         docs = docs.select(*DOC_COLUMNS, F.col("_metadata.file_name").alias("__file"), F.col("_metadata.row_index").alias("__at"))
-        order = [F.col("__file"), F.col("__at")]
+        order = [F.regexp_extract("__file", r"part-(\d+)", 1).try_cast("bigint"), F.col("__file"), F.col("__at")]
     except AnalysisException:
         docs = docs.select(*DOC_COLUMNS)
     return bitpack.token_index(docs, queries.tokenizer(), end_id=0, order=order)
