@@ -293,7 +293,7 @@ def flatten_quantities(spark, d):
         F.lit(None).alias("windGust"))
     raw = F.to_json(F.struct(F.struct(F.array(period).alias("periods")).alias("properties")))
     meta = F.struct(F.col("p_brand").alias("grid_id"), (F.col("p_partkey") % 50).cast("int").alias("grid_x"),
-                    F.col("p_size").alias("grid_y"), F.lit("MKX").alias("office"))
+                    F.col("p_size").alias("grid_y"), F.lit("office").alias("office"))
     src = p.select("p_partkey", raw.alias("raw"), meta.alias("meta"),
                    F.lit(dt.datetime(2024, 1, 1, 12, 0, 0)).alias("ingest_dt"))
     ev = periods_to_events(src, keep_cols=("p_partkey",))
