@@ -83,6 +83,16 @@ def unique_violations(df: DataFrame, cols: list[str], where: Column | None = Non
     return d.where(nn).groupBy(*cols).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
+def orphans(child: DataFrame, parent: DataFrame, on: dict[str, str]) -> DataFrame:
+    """Rows of ``child`` whose key (``on``: child column -> parent column), where it is
+    not NULL, stands in no row of ``parent``: an anti join, which keeps no foreign key for us."""
+    keys = parent.select(*[F.col(p).alias(f"__p{i}") for i, p in enumerate(on.values())]).distinct()
+    cond, known = F.lit(True), F.lit(True)
+    for i, c in enumerate(on):
+        cond, known = cond & (child[c] == keys[f"__p{i}"]), known & F.col(c).isNotNull()
+    return child.where(known).join(keys, cond, "left_anti")
+
+
 def accepted_range(df: DataFrame, column: str, min_value=None, max_value=None,
                    combine: str = "or") -> DataFrame:
     """Rows outside the accepted range: below ``min_value`` or above ``max_value``.

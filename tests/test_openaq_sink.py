@@ -81,3 +81,13 @@ def test_versions_follow_the_location(spark, tmp_path):
     m = {r.event_id.split(":")[-3][-13:] + r.event_id[:2]: r for r in L.measurements(spark, path).collect()}
     again = [r for r in m.values() if r.quality_status == "non_numeric_value"]
     assert len(m) == 6 and len(again) == 1 and again[0].value is None and again[0].last_updated_at_dtz == dt.datetime(2025, 5, 8)
+    held = {r["constraint"]: r.violations for r in L.constraint_violations(spark, path).collect()}
+    # Two versions a start cannot be here: messages are a day apart.
+    assert len(held) == 11 and set(held.values()) == {0}
+
+
+def test_orphans(spark):
+    from envlake.operators.quality import orphans
+    child = spark.createDataFrame([(1, 10), (2, 11), (3, None), (4, 12)], "c long, p long")
+    parent = spark.createDataFrame([(10,), (10,), (12,)], "id long")
+    assert [r.c for r in orphans(child, parent, {"p": "id"}).collect()] == [2]
