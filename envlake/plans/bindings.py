@@ -531,6 +531,16 @@ def geo_new_points(spark, d):
     return new_points.select("latitude", "longitude")
 
 
+def forecast_by_geo(spark, d):
+    """The forecast mart over linked places: the three sides' locations are customers, and those
+    within a kilometre share a supplier's place or one created for them (Q9, L3)."""
+    now = D.events_as_of(spark, d)
+    links, _ = link_or_create(_customers_xy(spark, d), _suppliers_xy(spark, d), "c_custkey", "s_suppkey", max_km=1.0)
+    links = stored(links.select("c_custkey", "s_suppkey"), "links")
+    return M.air_weather_forecast(_stg_airnow_from_orders(spark, d, now.date()), _stg_weather_from_events(spark, d, now),
+                                  _latest(spark, d, now), now, params=MEASURED_PARAMS, links=[links] * 3)
+
+
 # --------------------------------------------------------- O8, E8, E9, F10
 def window_read(spark, d):
     lo = _events_lo(spark, d)
@@ -675,6 +685,7 @@ QUERIES = {
     "nearest_geo": nearest_geo_q,
     "geo_link": geo_link,
     "geo_new_points": geo_new_points,
+    "forecast_by_geo": forecast_by_geo,
     "window_read": window_read,
     "mart_refresh": mart_refresh,
     "quality_suite": quality_suite,

@@ -497,18 +497,37 @@ r AS (SELECT 0::BIGINT AS taken, []::STRUCT(lat DOUBLE, lon DOUBLE, o BIGINT)[]
 made AS (SELECT UNNEST(made, recursive := true) FROM (SELECT made FROM r ORDER BY taken DESC LIMIT 1))"""
 
 
-_UNLINKED = "c_custkey % 5 <> 0"
-GEO_LINK = f"""WITH RECURSIVE {GEO_CTES}, {_first_come(_UNLINKED)},
+def _linked(unlinked: str) -> str:
+    """Each customer's link: to a supplier (``old``) or to the point created for customer ``o``."""
+    return f"""{GEO_CTES}, {_first_come(unlinked)},
 near AS (SELECT c_custkey, o, CASE WHEN plat = lat AND plon = lon THEN 0.0::DOUBLE ELSE {_gc('plat', 'plon', 'lat', 'lon')} END AS nd FROM c JOIN made ON o <= c_custkey
          WHERE (plat = lat AND plon = lon) OR (abs(lat - plat) <= 0.05::DOUBLE AND abs(lon - plon) <= 0.05::DOUBLE AND {_gc('plat', 'plon', 'lat', 'lon')} <= 2.0::DOUBLE)),
 first AS (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY nd, o) AS rn FROM near),
-l AS (SELECT m.c_custkey, match_id, o, match_id IS NOT NULL AND (o IS NULL OR d <= nd) AS old FROM m LEFT JOIN first f ON f.c_custkey = m.c_custkey AND rn = 1)
+l AS (SELECT m.c_custkey, match_id, o, match_id IS NOT NULL AND (o IS NULL OR d <= nd) AS old FROM m LEFT JOIN first f ON f.c_custkey = m.c_custkey AND rn = 1)"""
+
+
+_UNLINKED = "c_custkey % 5 <> 0"
+GEO_LINK = f"""WITH RECURSIVE {_linked(_UNLINKED)}
 SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN -c_custkey WHEN old THEN match_id END AS linked_id,
        CASE WHEN {_UNLINKED} AND NOT old THEN o END AS created_by, {_UNLINKED} AND NOT old AND o = c_custkey AS created FROM l"""
 GEO_NEW_POINTS = f"""WITH RECURSIVE {GEO_CTES}, {_first_come('TRUE')}
 SELECT lat AS latitude, lon AS longitude FROM made"""
 
 
+def _forecast_by_geo() -> str:
+    """The forecast mart with each location's place: a supplier's, or that of the customer it was created for."""
+    places = _linked("TRUE").replace("2.0::DOUBLE", "1.0::DOUBLE")
+    at = lambda side, loc: f"(SELECT {side}.*, place FROM {side} JOIN place ON c_custkey = {loc}) {side}"
+    head, _, _ = DAILY_HOURLY_JOIN.strip().removeprefix("WITH ").partition("FROM a JOIN w ON")
+    return f"""WITH place AS (WITH RECURSIVE {places}
+  SELECT c_custkey, CASE WHEN old THEN match_id ELSE -o END AS place FROM l), {head}
+FROM {at('a', 'location_id')} JOIN {at('w', 'location_id')} ON a.place = w.place AND a.date_forecast_dtz = w.forecast_day_dtz
+     JOIN {at('orow', 'openaq_locations_id')} ON orow.place = a.place CROSS JOIN p"""
+
+
+FORECAST_BY_GEO = _forecast_by_geo()
+
+
 def _window_read() -> str:
     lat, lon, tol = 40.25, -89.75, 0.1
     b = {k: repr(v) for k, v in (("la0", lat - tol), ("la1", lat + tol), ("lo0", lon - tol), ("lo1", lon + tol))}
@@ -671,6 +690,7 @@ ORACLE_SQL = {
     "nearest_geo": NEAREST_GEO,
     "geo_link": GEO_LINK,
     "geo_new_points": GEO_NEW_POINTS,
+    "forecast_by_geo": FORECAST_BY_GEO,
     "window_read": WINDOW_READ,
     "quality_suite": QUALITY_SUITE,
     "unique_check": UNIQUE_CHECK,
