@@ -46,8 +46,8 @@ TEMPLATES = (
     Template("apache-2", "[[licensed under]] [[the]] apache [[software]] license [[version]] {{v:1-1:2}} [[0]]"),
     Template("gpl-2", "gnu general public license [[as published by the free software foundation either]] version 2"),
     Template("gpl-3", "gnu general public license [[as published by the free software foundation either]] version 3"),
-    Template("lgpl", "gnu lesser general public license version {{v:1-1:2|3}}"),
-    Template("agpl-3", "gnu affero general public license version 3"),
+    Template("lgpl", "gnu {{kind:1-1:lesser|library}} general public license [[as published by the free software foundation either]] version {{v:1-1:2|3}}"),
+    Template("agpl-3", "gnu affero general public license [[as published by the free software foundation either]] version 3"),
     Template("mpl-2", "mozilla public license [[v]] [[version]] 2"),
     Template("bsd", "[[the]] bsd {{n:1-1:2|3|4}} clause license"),
     Template("cc-by", "[[licensed under]] cc by {{version:1-1:1|2|3|4}} [[0]]"),
@@ -57,6 +57,50 @@ TEMPLATES = (
     Template("cc0", "cc0 [[1 0]] [[universal]] public domain dedication"),
     Template("copyright", "copyright [[c]] {{holder:1-6}} all rights reserved"),
     Template("all-rights-reserved", "all rights reserved"),
+    # The wording of licenses and of their notices in files. Names, numbers of
+    # clauses and addresses may differ; all else is mandatory.
+    Template("mit", """permission is hereby granted free of charge to any person obtaining a copy of this software and associated
+        documentation files the software to deal in the software without restriction including without limitation the rights to use
+        copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is
+        furnished to do so subject to the following conditions the above copyright notice and this permission notice
+        [[including the next paragraph]] shall be included in all copies or substantial portions of the software the software is
+        provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability
+        fitness for a particular purpose and noninfringement in no event shall {{holders:1-12}} be liable for any claim damages or other
+        liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or
+        other dealings in the software"""),
+    Template("isc", """permission to use copy modify and [[or]] distribute this software for any purpose with or without fee is hereby
+        granted provided that the above copyright notice and this permission notice appear in all copies the software is provided as is
+        and {{author:1-12}} {{verb:1-1:disclaim|disclaims}} all warranties with regard to this software including all implied warranties of
+        merchantability and fitness in no event shall {{holder:1-12}} be liable for any special direct indirect or consequential damages or
+        any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious
+        action arising out of or in connection with the use or performance of this software"""),
+    Template("bsd-2", """redistribution and use in source and binary forms with or without modification are permitted provided that the
+        following conditions are met [[1]] redistributions of source code must retain the above copyright notice this list of conditions
+        and the following disclaimer [[2]] redistributions in binary form must reproduce the above copyright notice this list of conditions
+        and the following disclaimer in the documentation and or other materials provided with the distribution this software is provided
+        by {{holders:1-12}} as is and any express or implied warranties including but not limited to the implied warranties of
+        merchantability and fitness for a particular purpose are disclaimed"""),
+    Template("bsd-3", """redistribution and use in source and binary forms with or without modification are permitted provided that the
+        following conditions are met [[1]] redistributions of source code must retain the above copyright notice this list of conditions
+        and the following disclaimer [[2]] redistributions in binary form must reproduce the above copyright notice this list of conditions
+        and the following disclaimer in the documentation and or other materials provided with the distribution [[3]] neither the name of
+        {{owner:1-12}} nor the names of {{whose:1-3}} contributors may be used to endorse or promote products derived from this software
+        without specific prior written permission this software is provided by {{holders:1-12}} as is and any express or implied
+        warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are
+        disclaimed"""),
+    Template("apache-2", """licensed under the apache license version 2 0 the license you may not use this file except in compliance with the
+        license you may obtain a copy of the license at {{address:1-10}} unless required by applicable law or agreed to in writing software
+        distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or
+        implied see the license for the specific language governing permissions and limitations under the license"""),
+    Template("mpl-2", """this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not
+        distributed with this file you can obtain one at {{address:1-8}}"""),
+    Template("zlib", """this software is provided as is without any express or implied warranty in no event will {{holders:1-12}} be held
+        liable for any damages arising from the use of this software permission is granted to anyone to use this software for any purpose
+        including commercial applications and to alter it and redistribute it freely subject to the following restrictions [[1]] the origin
+        of this software must not be misrepresented you must not claim that you wrote the original software"""),
+    Template("unlicense", """this is free and unencumbered software released into the public domain anyone is free to copy modify publish use
+        compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non
+        commercial and by any means"""),
 )
 
 
@@ -260,8 +304,14 @@ def _pattern(parts: list) -> str:
     return out
 
 
+def _most_words(parts: list) -> int:
+    """Words of the longest text that the parsed template accepts."""
+    return sum(1 if isinstance(p, bytes) else _most_words(p[1]) if p[0] == "opt" else p[2] for p in parts)
+
+
 def _oracle(templates: tuple[Template, ...] = TEMPLATES) -> str:
     """The contract's columns in DuckDB: each template as a pattern, tried at every word."""
+    most = max(_most_words(_parse(t.markup)) for t in templates)
     rows = ", ".join(f"('{t.label}', {t.base}, '{_pattern(_parse(t.markup))}')" for t in templates)
     upper = "".join(map(chr, range(65, 91)))
     return f"""WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'),
@@ -270,7 +320,7 @@ t(label, base, rx) AS (VALUES {rows}),
 c AS (SELECT * FROM d JOIN t ON regexp_matches(' ' || array_to_string(ws, ' ') || ' ', ' ' || rx)),
 p AS (SELECT doc_id, ws, label, base, rx, UNNEST(range(0, len(ws))) AS i FROM c),
 h AS (SELECT doc_id, label, base, i,
-             length(regexp_replace(regexp_extract(array_to_string(ws[i + 1:i + 60], ' ') || ' ', '^' || rx), '[^ ]', '', 'g')) AS n FROM p),
+             length(regexp_replace(regexp_extract(array_to_string(ws[i + 1:i + {most}], ' ') || ' ', '^' || rx), '[^ ]', '', 'g')) AS n FROM p),
 g AS (SELECT doc_id, count(*) FILTER (base) AS n_base, min(i) FILTER (base) AS first_word, max(i) FILTER (base) AS last_word,
              array_to_string(list_sort(list(DISTINCT label) FILTER (base)), ',') AS base_labels,
              array_to_string(list_sort(list(DISTINCT label)), ',') AS labels FROM h WHERE n > 0 GROUP BY doc_id),

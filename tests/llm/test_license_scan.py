@@ -79,6 +79,61 @@ def test_words_and_prefilter_lose_nothing():
         assert n == len(words) and sorted((h.label, h.start, h.end) for h in hits) == want
 
 
+MIT = """Copyright (c) 2021 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files
+(the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge,
+publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so,
+subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR
+ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE
+SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the
+documentation and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this
+software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT
+LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."""
+NOTICE = """# Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing,
+# software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+# See the License for the specific language governing permissions and limitations under the License."""
+
+
+def test_license_bodies_match_with_other_names_and_not_with_other_wording():
+    scanner = Scanner(TEMPLATES)
+    labels = lambda t: {h.label for h in scanner.scan(t.encode())[1]}
+    assert labels(MIT) == {"mit"}
+    assert labels("x " + MIT.replace("THE AUTHORS OR COPYRIGHT HOLDERS", "Ann Other")) == {"mit"}
+    assert labels(MIT.replace("sublicense", "lend")) == set()
+    assert labels(BSD) == {"bsd-3"} and labels(BSD.replace("the copyright holder nor", "Example Ltd nor")) == {"bsd-3"}
+    clause = BSD.index("3. Neither"), BSD.index("THIS SOFTWARE")
+    assert labels(BSD[:clause[0]] + BSD[clause[1]:]) == {"bsd-2"}
+    whole = [h for h in scanner.scan(NOTICE.encode())[1] if h.end - h.start > 50]
+    assert labels(NOTICE) == {"apache-2"} and len(whole) == 1 and (whole[0].start, whole[0].end) == (0, len(words_of(NOTICE.encode())))
+
+
+def test_sql_gives_the_same_rows(spark, tmp_path):
+    import duckdb
+
+    from envlake.llm.license_scan import ORACLE
+    texts = [MIT, BSD, NOTICE, "prefix " + MIT + " under the MIT license " + BSD, "cc by nc 4.0", "", None, MIT.replace("sublicense", "lend")]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = sorted(map(tuple, scan_licenses(df).drop("hits").collect()))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [list(x) for x in enumerate(texts)])
+    assert got == sorted(con.execute(ORACLE).fetchall())
+
+
 def test_awkward_rows(spark):
     got = scan_licenses(frame(spark))
     assert ids(got) == ids(frame(spark))
