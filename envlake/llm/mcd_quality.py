@@ -8,20 +8,25 @@ large are rejected. Two deterministic starts are tried (medians with scaled
 quartile ranges, and classical moments); the one that ends with the smaller
 determinant wins.
 
-A step is two aggregations over the stored vectors: a quantile of the distances
-for each group, then the moments of the rows below it. Both combine on the map
-side, so a source with a third of all rows costs each task one row. All rows
-count; nothing is sampled.
+A step lowers the determinant (of the covariance with its floor) or leaves it;
+steps go on until every start of every group stands still. Both starts go in one
+pass. A step is two aggregations over the stored vectors: a sketch of the distances
+brackets the rank, then the moments of the rows below the bracket and of each
+distance inside it give those up to the exact rank. Both combine on the map side, so
+a source with a third of all rows costs each task a few rows; one task orders the
+distances inside a group's bracket, some thousandths of its rows. All rows count;
+nothing is sampled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from envlake.llm.common import small_batches, staged
@@ -32,7 +37,8 @@ FEATURES = {"z_len": 0.5, "z_word": 0.05, "z_symbol": 0.4, "z_upper": 0.05, "z_d
             "z_lines": 0.5, "z_mark": 0.05}
 Z = tuple(FEATURES)
 SUPPORT = 0.75
-STEPS = 4
+#: A start stands still when a step lowers the determinant's logarithm by less.
+LEAST_GAIN = 1e-6
 #: Least rows of a group with estimates of its own; smaller ones of a language are pooled.
 MIN_ROWS = 50
 #: Share of regular rows whose distance exceeds the limit, if vectors were normal.
@@ -125,14 +131,14 @@ def _distance() -> Column:
 
 
 def _estimates(moments: DataFrame, consistency: float) -> DataFrame:
-    """Mean, inverse covariance and log determinant of each group from its moment
-    sums; one row a group. A floor keeps every covariance invertible."""
+    """Mean, inverse covariance and log determinant of each group and start from its moment
+    sums; one row each. A floor keeps every covariance invertible."""
     p = len(Z)
     floor = np.diag([s * s for s in FEATURES.values()])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            out = {"g_lang": f["g_lang"], "g_source": f["g_source"]}
+            out = {k: f[k] for k in _START}
             got = []
             for r in f.itertuples(index=False):
                 mean = np.array([getattr(r, f"s{i}") for i in range(p)]) / r.n
@@ -143,22 +149,36 @@ def _estimates(moments: DataFrame, consistency: float) -> DataFrame:
             names = [*[f"m{i}" for i in range(p)], *[f"v{i}_{j}" for i in range(p) for j in range(i, p)], "logdet"]
             yield pd.DataFrame(out | {n: [g[k] for g in got] for k, n in enumerate(names)})
 
-    names = ["g_lang string", "g_source string", *[f"m{i} double" for i in range(p)],
+    names = ["g_lang string", "g_source string", "start int", *[f"m{i} double" for i in range(p)],
              *[f"v{i}_{j} double" for i in range(p) for j in range(i, p)], "logdet double"]
     return moments.mapInPandas(run, ", ".join(names))
 
 
 _GROUP = ["g_lang", "g_source"]
+_START = [*_GROUP, "start"]
 
 
-def _moments(rows: DataFrame) -> DataFrame:
-    return rows.groupBy(*_GROUP).agg(
-        F.count("*").cast("double").alias("n"),
-        *[F.sum(z).alias(f"s{i}") for i, z in enumerate(Z)],
-        *[F.sum(F.col(Z[i]) * F.col(Z[j])).alias(f"q{i}_{j}") for i in range(len(Z)) for j in range(i, len(Z))])
+def _moments() -> dict[str, Column]:
+    """What a row adds to its group's moments."""
+    return ({"n": F.lit(1.0)} | {f"s{i}": F.col(z) for i, z in enumerate(Z)}
+            | {f"q{i}_{j}": F.col(Z[i]) * F.col(Z[j]) for i in range(len(Z)) for j in range(i, len(Z))})
 
 
-def mcd(rows: DataFrame, support: float = SUPPORT, steps: int = STEPS) -> DataFrame:
+def _up_to_rank(rows: DataFrame, keys: list[str], share: float, sums: dict[str, Column]) -> DataFrame:
+    """``sums`` and the largest ``d2`` (``cut``) of each group's rows up to the exact rank
+    ``ceil(share * rows)`` by ``d2``; rows that tie with the last one are in."""
+    at = F.array(F.lit(max(0.0, share - 2 * _SKETCH)), F.lit(min(1.0, share + 2 * _SKETCH)))
+    bounds = staged(rows.groupBy(*keys).agg(F.percentile_approx("d2", at, int(2 / _SKETCH)).alias("b"), F.count("*").alias("of"))
+                    .select(*keys, F.col("b")[0].alias("low"), F.col("b")[1].alias("high"), F.ceil(F.col("of") * F.lit(share) - F.lit(1e-9)).alias("rank")), "bounds")
+    cells = (rows.join(_sendable(bounds), keys).where("d2 <= high")
+             .groupBy(*keys, "rank", F.when(F.col("d2") >= F.col("low"), F.col("d2")).otherwise(F.lit(-1.0)).alias("cell"))
+             .agg(F.count("*").alias("c"), *[F.sum(v).alias(k) for k, v in sums.items()]))
+    upto = F.sum("c").over(Window.partitionBy(*keys).orderBy("cell"))
+    return (cells.withColumn("before", upto - F.col("c")).where("before < rank")
+            .groupBy(*keys).agg(F.max("cell").alias("cut"), *[F.sum(k).alias(k) for k in sums]))
+
+
+def mcd(rows: DataFrame, support: float = SUPPORT, least_gain: float = LEAST_GAIN) -> DataFrame:
     """The estimate of every group ``g_lang, g_source`` of stored vectors: ``m*``,
     ``v*_*`` (inverse covariance) and ``logdet``."""
     p = len(Z)
@@ -167,23 +187,27 @@ def mcd(rows: DataFrame, support: float = SUPPORT, steps: int = STEPS) -> DataFr
     spread = rows.groupBy(*_GROUP).agg(*[F.percentile_approx(z, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 2000).alias(z) for z in Z])
     var = [((F.col(z)[2] - F.col(z)[0]) / 1.349) ** 2 + s * s for z, s in FEATURES.items()]
     robust = spread.select(
-        *_GROUP, *[F.col(z)[1].alias(f"m{i}") for i, z in enumerate(Z)],
-        *[(1 / var[i] if i == j else F.lit(0.0)).alias(f"v{i}_{j}") for i in range(p) for j in range(i, p)],
-        sum((F.log(v) for v in var), F.lit(0.0)).alias("logdet"))
-    ends = []
-    for start in (robust, _estimates(_moments(rows), 1.0)):
-        est = staged(start, "estimates")
-        for _ in range(steps):
-            at = rows.join(_sendable(est), _GROUP).withColumn("d2", _distance()).select(*_GROUP, *Z, "d2")
-            cut = staged(at.groupBy(*_GROUP).agg(F.percentile_approx("d2", support, 2000).alias("cut")), "cuts")
-            inner = at.join(_sendable(cut), _GROUP).where("d2 <= cut")
-            est = staged(_estimates(_moments(inner), central), "estimates")
-        ends.append(est)
-    a, b = ends
-    return staged(a.unionByName(b).groupBy(*_GROUP).agg(F.min_by(F.struct(*[c for c in a.columns if c not in _GROUP]), "logdet").alias("e"))
+        *_GROUP, F.lit(0).alias("start"), *[F.col(z)[1].alias(f"m{i}") for i, z in enumerate(Z)],
+        *[(1 / var[i] if i == j else F.lit(0.0)).alias(f"v{i}_{j}") for i in range(p) for j in range(i, p)])
+    plain = rows.withColumn("start", F.lit(1)).groupBy(*_START).agg(*[F.sum(v).alias(k) for k, v in _moments().items()])
+    # The first step counts as a gain: a start is no estimate of a support set.
+    moving = staged(robust.unionByName(_estimates(plain, 1.0).drop("logdet")).withColumn("logdet", F.lit(float("inf"))), "estimates")
+    ended = []
+    while not moving.isEmpty():
+        at = rows.join(_sendable(moving), _GROUP).withColumn("d2", _distance()).select(*_START, *Z, "d2")
+        step = _estimates(_up_to_rank(at, _START, support, _moments()), central)
+        step = staged(step.join(moving.select(*_START, F.col("logdet").alias("was")), _START), "estimates")
+        ended.append(step.where(F.col("was") - F.col("logdet") < least_gain).drop("was"))
+        moving = step.where(F.col("was") - F.col("logdet") >= least_gain).drop("was")
+    if not ended:
+        return moving.drop("start")
+    best = reduce(DataFrame.unionByName, ended)
+    return staged(best.groupBy(*_GROUP).agg(F.min_by(F.struct(*[c for c in best.columns if c not in _START]), F.struct("logdet", "start")).alias("e"))
                   .select(*_GROUP, "e.*"), "estimates")
 
 
+#: Share of a group's rows by which the sketch may miss a rank, at most half of it.
+_SKETCH = 1e-3
 #: Groups whose estimates are sent to every task; more are joined by a shuffle.
 MAX_SENT = 10_000
 
@@ -217,7 +241,7 @@ def _grouped(stats: DataFrame, min_rows: int) -> DataFrame:
 
 
 def robust_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                   source_col: str = "source", support: float = SUPPORT, steps: int = STEPS,
+                   source_col: str = "source", support: float = SUPPORT, least_gain: float = LEAST_GAIN,
                    min_rows: int = MIN_ROWS, tail_z: float = TAIL_Z) -> DataFrame:
     """Verdict for every row: ``id_col``, the counts, ``base_failed``, ``distance``
     (squared, scaled so that the group's median is the normal one) and ``kept``.
@@ -238,10 +262,10 @@ def robust_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     passed = staged(_grouped(stats.where("not base_failed"), min_rows), "passed")
     enough = staged(passed.groupBy(*_GROUP).count().where(F.col("count") >= min_rows).select(*_GROUP), "enough")
     rows = staged(passed.join(_sendable(enough), _GROUP, "left_semi").select(*_GROUP, *Z), "vectors")
-    est = mcd(rows, support, steps)
+    est = mcd(rows, support, least_gain)
     far = passed.join(_sendable(est), _GROUP, "left").withColumn("d2", _distance())
     far = staged(far.select("__id", *_COUNTS, *_GROUP, "d2"), "distances")
-    middle = staged(far.where("d2 is not null").groupBy(*_GROUP).agg(F.percentile_approx("d2", 0.5, 2000).alias("middle")), "medians")
+    middle = staged(_up_to_rank(far.where("d2 is not null").select(*_GROUP, "d2"), _GROUP, 0.5, {}).withColumnRenamed("cut", "middle"), "medians")
     # Medians below the normal one come from floors, not from a narrow group.
     scale = F.greatest(F.col("middle") / chi2_quantile(p, 0.0), F.lit(1.0))
     limit = chi2_quantile(p, tail_z)
