@@ -1,11 +1,12 @@
 """Unit dedup against plain Python."""
 
 import random
+import re
 
 import pytest
 from common_rows import frame, ids
 
-from envlake.llm.line_dedup import dedup_units, repeated_lines_and_paragraphs, repeated_units, units_of
+from envlake.llm.line_dedup import dedup_units, repeated_lines_and_paragraphs, repeated_passages, repeated_units, units_of
 
 
 def slow(rows, unit, min_words):
@@ -87,3 +88,68 @@ def test_short_lines_and_wrapped_passages(spark):
     got = {(r.unit, r.doc_id, r.start, r.end): (r.kept_doc_id, r.kept_start, r.kept_end, r.occurrences) for r in repeated_lines_and_paragraphs(df).collect()}
     assert got == {("line", 2, 0, 8): (1, 0, 7, 2), ("line", 3, 33, 34): (1, 41, 42, 2),
                    ("paragraph", 3, 0, 30): (1, 9, 39, 2), ("paragraph", 3, 33, 34): (1, 41, 42, 2)}
+
+
+def windows(text, n):
+    """``{words in lower case: [(start, end)]}`` of every ``n`` words of a text."""
+    at = [(m.start(), m.end(), m.group().lower()) for m in re.finditer(r"[^\x20\x09-\x0D]+", text or "")]
+    out = {}
+    for i in range(len(at) - n + 1):
+        out.setdefault(tuple(w for _s, _e, w in at[i:i + n]), []).append((at[i][0], at[i + n - 1][1]))
+    return out
+
+
+def test_passages_inside_longer_lines(spark):
+    rnd = random.Random(7)
+
+    def words(n):
+        return [f"{rnd.choice('abcdefgh')}{rnd.randrange(400)}" for _ in range(n)]
+    passage = words(60)
+    rows = [(1, "Read on\n" + " ".join(words(40) + passage + words(40))), (2, " ".join(words(25) + passage) + " own\n\nRead on"),
+            (3, "\t" + "\n".join(" ".join(passage[i:i + 7]).upper() for i in range(0, 56, 7)) + "\n" + " ".join(words(90))), (4, "Read on\n" + " ".join(words(120))),
+            (5, " ".join(passage[:29] + words(70))), (6, None), (7, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    text = dict(rows)
+    # The passage is no whole line or paragraph anywhere, and a short common line marks a document without it.
+    assert {r.doc_id for r in repeated_lines_and_paragraphs(df).collect()} == {2, 4}
+    got = repeated_passages(df).collect()
+    assert sorted((r.doc_id, r.kept_doc_id) for r in got) == [(2, 1), (3, 1)]
+    for r in got:
+        here, there = text[r.doc_id][r.start:r.end].lower().split(), text[1][r.kept_start:r.kept_end].lower().split()
+        assert here == there and len(here) >= 30
+    with pytest.raises(ValueError):
+        repeated_passages(df, 20, 30)
+
+
+def test_passages_match_plain_python(spark):
+    rnd = random.Random(11)
+    shared = [[rnd.choice("alpha Beta gamma delta eta Zeta".split()) for _ in range(rnd.randrange(6, 30))] for _ in range(6)]
+    rows = [(i, rnd.choice(["", " ", "\n\u00e9 "]) + rnd.choice([" ", "\n", " \t\n"]).join(
+        w for _ in range(rnd.randrange(4)) for w in [*(f"own{rnd.randrange(9)}" for _ in range(rnd.randrange(8))), *rnd.choice(shared)]))
+            for i in range(50)] + [(90, None), (91, "  \n")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    text, got = dict(rows), {}
+    for r in repeated_passages(df, 12, 7).collect():
+        got.setdefault(r.doc_id, []).append(r)
+    seen_long, seen_short = set(), set()
+    for i, t in sorted(rows):
+        long, short = windows(t, 12), windows(t, 7)
+        for span in [x for w, spans in long.items() if w in seen_long for x in spans]:
+            assert any(max(r.start, span[0]) < min(r.end, span[1]) for r in got.get(i, []))
+        for r in got.get(i, []):
+            assert r.kept_doc_id < i and all(w in seen_short for w in windows(t[r.start:r.end], 7))
+            assert len(t[r.start:r.end].split()) >= 7 <= len(text[r.kept_doc_id][r.kept_start:r.kept_end].split())
+        seen_long |= set(long)
+        seen_short |= set(short)
+    assert len(got) > 20
+
+
+def test_passages_of_awkward_rows(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rest = [None] * 10
+    df = frame(spark).unionByName(frame(spark, [(i, text, *rest) for i in (5, 5, None, 4)] + [(30, "x " * 400, *rest), (31, f"{text} {text}", *rest)]))
+    got = sorted((r.doc_id is None, r.doc_id, r.kept_doc_id) for r in repeated_passages(df).select("doc_id", "kept_doc_id").distinct().collect())
+    # A text that only repeats itself is left alone; equal rows count as one, but both stand below row 4.
+    assert got == [(False, 5, 4), (False, 31, 4), (True, None, 4)]
+    assert repeated_passages(frame(spark, [])).count() == 0
+    assert repeated_passages(df).columns == ["__row1", "__row2", "doc_id", "start", "end", "kept_doc_id", "kept_start", "kept_end"]
