@@ -153,3 +153,20 @@ def test_passages_of_awkward_rows(spark):
     assert got == [(False, 5, 4), (False, 31, 4), (True, None, 4)]
     assert repeated_passages(frame(spark, [])).count() == 0
     assert repeated_passages(df).columns == ["__row1", "__row2", "doc_id", "start", "end", "kept_doc_id", "kept_start", "kept_end"]
+
+
+def test_a_very_common_line_is_split_over_tasks(spark):
+    rows = spark.range(60_000).selectExpr("id doc_id", "if(id % 2 = 0, 'Read on', concat('line ', id % 9000)) text")
+    conf = {"spark.sql.shuffle.partitions": "8", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        lost = repeated_units(rows.repartition(8), min_words=1)
+        lost.collect()
+        assert "SortMergeJoin(skew=true)" in lost._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
