@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from envlake.functions.ids import airnow_event_id, fallback_id
 from envlake.functions.timefn import parse_utc
-from envlake.operators.validate import parse_message
+from envlake.operators.validate import parsed
 
 ITEM = T.StructType([
     T.StructField("DateIssue", T.StringType()), T.StructField("DateForecast", T.StringType()),
@@ -28,14 +28,14 @@ def items_to_events(df: DataFrame, items_col: str = "items", keep_cols: tuple =
     ``unknown``. An item that is not an object, or whose AQI / category number
     is not an integer, is rejected alone; the rest of its batch is kept. A body that
     is not a JSON array is rejected whole, as item -1."""
-    body = parse_message(F.col(items_col))
-    is_array = F.coalesce(F.schema_of_variant(body).startswith("ARRAY"), F.lit(False))
-    d = df.select(*keep_cols, F.col(items_col).alias("__body"), is_array.alias("__is_array"), body.alias("__v"))
+    d = parsed(df.select(*keep_cols, F.col(items_col).alias("__body")), "__body", "__v")
+    d = d.withColumn("__is_array", F.coalesce(F.schema_of_variant("__v").startswith("ARRAY"), F.lit(False)))
     items = d.where("__is_array").select(
         *keep_cols, F.posexplode(F.try_variant_get("__v", "$", "array<variant>")).alias("item_pos", "__item"))
-    e = items.select(*keep_cols, "item_pos", F.to_json("__item").alias("__raw"),
-                     F.coalesce(F.schema_of_variant("__item").startswith("OBJECT"), F.lit(False)).alias("__is_object"))
-    p = e.withColumn("__i", F.when(F.col("__is_object"), F.from_json(F.col("__raw"), ITEM)))
+    # What is exploded is computed once; else an item is read again for each of its fields.
+    e = items.select(*keep_cols, "item_pos", F.coalesce(F.schema_of_variant("__item").startswith("OBJECT"), F.lit(False)).alias("__is_object"),
+                     F.explode(F.array(F.to_json("__item"))).alias("__raw"))
+    p = e.select(*keep_cols, "item_pos", "__raw", F.explode(F.array(F.when(F.col("__is_object"), F.from_json(F.col("__raw"), ITEM)))).alias("__i"))
     unread = d.where("not __is_array").select(*keep_cols, F.lit(-1).alias("item_pos"), F.lit("malformed_body").alias("error"),
                                               F.col("__body").alias("raw_value"))
     aqi = F.trim(F.col("__i.AQI")).try_cast("int")

@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from envlake.operators.validate import parse_message
+from envlake.operators.validate import parsed
 from envlake.sources import airnow, nws, open_meteo
 from envlake.sources.publish import to_messages
 
@@ -43,18 +43,18 @@ def body_events(bodies: DataFrame, service: str) -> tuple[DataFrame, DataFrame]:
         events, bad = airnow.items_to_events(bodies, "body", keep_cols=_KEEP)
         # The item as it came is an object of the message, not its text.
         return events.withColumnRenamed("item_pos", "pos").withColumn("raw_data", F.parse_json("raw_data")), bad.withColumnRenamed("item_pos", "pos")
-    v = parse_message(F.col("body"))
     part = "$.properties.periods" if service == "nws" else "$.hourly.time"
     listed = F.try_variant_get("__v", part, "array<variant>").isNotNull()
     current = F.try_variant_get("__v", "$.current.time", "string").isNotNull() if service != "nws" else F.lit(False)
-    d = bodies.select("*", F.explode(F.array(v)).alias("__v"))
+    d = parsed(bodies, "body", "__v")
     d = d.withColumn("__error", F.when(F.col("__v").isNull(), "malformed_body").when(~(listed | current), f"missing:{part[2:]}"))
     bad = d.where("__error is not null").select(*_KEEP, F.lit(-1).alias("pos"), F.col("__error").alias("error"), F.col("body").alias("raw_value"))
     d = d.where("__error is null").drop("__v", "__error")
     if service == "nws":
         d = d.withColumn("meta", F.struct("grid_id", "grid_x", "grid_y", "office"))
         return nws.periods_to_events(d, "body", "meta", "fetched_at", keep_cols=_KEEP, pos_col="pos"), bad
-    d = d.withColumn("raw", F.from_json("body", _open_meteo_schema(service))).withColumn("__asked", F.col("fetched_at"))
+    # Exploded, so that a body is read once and not for each of its arrays.
+    d = d.select("*", F.explode(F.array(F.from_json("body", _open_meteo_schema(service)))).alias("raw"), F.col("fetched_at").alias("__asked"))
     return open_meteo.payload_events(d, service, ingest_col="__asked", keep_cols=_KEEP, pos_col="pos"), bad
 
 
@@ -72,22 +72,19 @@ class BodyFeed:
     def publish(self, spark: SparkSession, batch: DataFrame, batch_id: int) -> dict:
         """Publish one micro-batch; returns, and appends to ``counts``, how many messages were
         published and how many items or bodies were rejected."""
-        bodies = batch.where(F.col("service") == self.service).persist()
-        try:
-            events, bad = body_events(bodies, self.service)
-            sent, lost = Observation(f"s-{uuid.uuid4().hex}"), Observation(f"r-{uuid.uuid4().hex}")
-            carried = [*_KEEP, "pos"]
-            held = events.withColumn("__m", F.struct(*carried))
-            msgs = to_messages(held, self.key_col, [c for c in events.columns if c not in carried], self.topic, extra=["__m"])
-            msgs = msgs.select("key", "value", "topic", F.lit(0).alias("partition"),
-                               (F.shiftleft(F.col("__m.body_id"), ITEM_BITS) + F.col("__m.pos") + 1).alias("offset"), F.col("__m.fetched_at").alias("timestamp"))
-            (msgs.observe(sent, F.count(F.lit(1)).alias("n")).write.mode("overwrite").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
-             .json(f"{self.topic_path}/batch_id={batch_id}"))
-            bad.observe(lost, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{self.rejects_path}/batch_id={batch_id}")
-            self.counts.append({"batch_id": batch_id, "published": sent.get["n"], "rejected": lost.get["n"]})
-            return self.counts[-1]
-        finally:
-            bodies.unpersist()
+        # Read twice and not kept: bodies would fill the executors' memory.
+        events, bad = body_events(batch.where(F.col("service") == self.service), self.service)
+        sent, lost = Observation(f"s-{uuid.uuid4().hex}"), Observation(f"r-{uuid.uuid4().hex}")
+        carried = [*_KEEP, "pos"]
+        held = events.withColumn("__m", F.struct(*carried))
+        msgs = to_messages(held, self.key_col, [c for c in events.columns if c not in carried], self.topic, extra=["__m"])
+        msgs = msgs.select("key", "value", "topic", F.lit(0).alias("partition"),
+                           (F.shiftleft(F.col("__m.body_id"), ITEM_BITS) + F.col("__m.pos") + 1).alias("offset"), F.col("__m.fetched_at").alias("timestamp"))
+        (msgs.observe(sent, F.count(F.lit(1)).alias("n")).write.mode("overwrite").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+         .json(f"{self.topic_path}/batch_id={batch_id}"))
+        bad.observe(lost, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{self.rejects_path}/batch_id={batch_id}")
+        self.counts.append({"batch_id": batch_id, "published": sent.get["n"], "rejected": lost.get["n"]})
+        return self.counts[-1]
 
     def run_available(self, spark: SparkSession, landed: str, checkpoint: str) -> None:
         """Publish all bodies landed since the last run."""
