@@ -51,10 +51,14 @@ def hourly_events(df: DataFrame, kind: str, record_type: str = "forecast", frequ
     ``kind`` is 'weather' or 'air_quality'; ``pos_col`` names the hour's place."""
     vars_ = WEATHER_VARS if kind == "weather" else AIR_VARS
     hourly = f"{raw_col}.hourly"
-    e = df.select(*keep_cols, lat_col, lon_col, tz_col, ingest_col, F.col(f"{raw_col}.hourly_units").alias("__u"),
-                  *[_field(hourly, v, df, "array<double>").alias(f"__a_{v}") for v in vars_],
-                  F.posexplode(F.coalesce(F.col(f"{hourly}.time"), F.array())).alias("pos", "__t"))
-    return _project(e, kind, record_type, frequency_min, vars_, lambda v: safe_get(f"__a_{v}", F.col("pos")),
+    # The arrays are zipped before they are exploded: carried along whole, they would be copied for every hour.
+    times = F.coalesce(F.col(f"{hourly}.time"), F.array().cast("array<string>"))
+    arrays = {v: _field(hourly, v, df, "array<double>") for v in vars_}
+    hours = F.slice(F.arrays_zip(times.alias("__t"), *[F.coalesce(a, F.array().cast(df.select(a).schema[0].dataType)).alias(v) for v, a in arrays.items()]), 1, F.size(times))
+    e = df.select(*keep_cols, lat_col, lon_col, tz_col, ingest_col, F.col(f"{raw_col}.hourly_units").alias("__u"), F.posexplode(hours).alias("pos", "__h"))
+    names = e.schema["__h"].dataType.fieldNames()
+    e = e.withColumn("__t", F.col("__h")[names[0]])
+    return _project(e, kind, record_type, frequency_min, vars_, lambda v: F.col("__h")[names[1 + list(vars_).index(v)]],
                     lat_col, lon_col, tz_col, ingest_col, df.schema[raw_col].dataType["hourly_units"].dataType,
                     [*keep_cols, *([F.col("pos").alias(pos_col)] if pos_col else [])])
 
